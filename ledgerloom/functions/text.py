@@ -39,7 +39,8 @@ def _ascii_folds():
             continue
         folded = unicodedata.normalize("NFKD", char.casefold())
         folded = "".join(c for c in folded if not unicodedata.combining(c))
-        kept = "".join(c if c.isascii() and c.isalnum() else " " for c in folded).lower()
+        # Folding case comes before decomposition, so capitals it brings out do not survive.
+        kept = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in folded)
         if folded == "":
             removed.append(char)
         elif kept.strip() == "":
@@ -51,29 +52,31 @@ def _ascii_folds():
     return singles, removed, multi
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _expand_ligatures(text: Column) -> Column:
-    """Characters that fold to several letters (sharp s, ligatures, fractions)."""
+    """Characters that fold to several letters (sharp s, ligatures, fractions), letter by letter."""
     multi = _ascii_folds()[2]
-    table = F.create_map(*[F.lit(x) for pair in sorted(multi.items()) for x in pair])
-    expanded = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
-    )
-    return F.when(F.translate(text, "".join(multi), "") == text, text).otherwise(expanded)
+    # One literal text instead of hundreds of map entries keeps the plan small; Spark folds it.
+    table = F.str_to_map(F.lit("\x02".join(f"{k}\x03{v}" for k, v in sorted(multi.items()))), F.lit("\x02"), F.lit("\x03"))
+    letters = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    return F.when(F.translate(text, "".join(multi), "") == text, text).otherwise(F.array_join(letters, ""))
 
 
 def fold(value) -> Column:
-    """Case and accent folding as a character translation; plain ASCII takes the short way."""
+    """Case and accent folding by character translation; plain ASCII takes the short way."""
     singles, removed, _ = _ascii_folds()
-    source = "".join(singles) + "".join(removed)
-    target = "".join(singles.values())
-    text = col(value)
-    folded = F.lower(F.translate(_expand_ligatures(text), source, target))
-    return F.when(text.rlike("^\\p{ASCII}*$"), F.lower(text)).otherwise(folded)
+    source, target = "".join(singles) + "".join(removed), "".join(singles.values())
+    return bound(col(value), lambda x: F.when(x.rlike("^\\p{ASCII}*$"), F.lower(x)).otherwise(
+        F.lower(F.translate(_expand_ligatures(x), source, target))))
 
 
-def match_key(value) -> Column:
+def match_key(value, is_clean=False) -> Column:
     """Comparable form: folded letters and digits separated by single spaces."""
-    text = F.replace(fold(clean(value)), F.lit("&"), F.lit(" and "))
+    text = F.replace(fold(value if is_clean else clean(value)), F.lit("&"), F.lit(" and "))
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
@@ -87,8 +90,8 @@ def suffix_tokens():
 
 def drop_legal_tokens(key) -> Column:
     """Remove legal-form tokens from a match key, wherever they stand; repeats are kept."""
-    legal = list(suffix_tokens())
-    return F.array_join(F.filter(F.split(col(key), " "), lambda t: ~t.isin(legal)), " ")
+    words = "|".join(suffix_tokens())
+    return F.ltrim(F.regexp_replace(col(key), f"(?:^| )(?:{words})(?= |$)", ""))
 
 
 def strict_key(value) -> Column:
@@ -102,8 +105,8 @@ def column_key(name: str) -> str:
     return "".join(c for c in text if c.isascii() and c.isalnum())
 
 
-def record_key(*values) -> Column:
-    return F.sha2(F.concat_ws("|", *[clean(v) for v in values]), 256)
+def record_key(*values, is_clean=False) -> Column:
+    return F.sha2(F.concat_ws("|", *[col(v) if is_clean else clean(v) for v in values]), 256)
 
 
 def is_short_name(strict) -> Column:
@@ -132,9 +135,8 @@ def domain_of(url) -> Column:
 
 def host_within(host, domains) -> Column:
     """True when the host is one of the domains or below one of them."""
-    value = col(host)
-    tests = [(value == d) | value.endswith("." + d) for d in domains]
-    return functools.reduce(lambda a, b: a | b, tests)
+    names = "|".join(d.replace(".", "\\.") for d in domains)
+    return col(host).rlike(f"(^|\\.)({names})$")
 
 
 def generic_domains():
@@ -142,8 +144,9 @@ def generic_domains():
 
 
 def is_matchable_domain(host) -> Column:
-    value = col(host)
-    return (value != "") & ~host_within(value, generic_domains())
+    # One pattern, so that a pushed-down filter holds the host expression once.
+    names = "|".join(d.replace(".", "\\.") for d in generic_domains())
+    return ~col(host).rlike(f"^$|(^|\\.)({names})$")
 
 
 def distinct_domains(*urls) -> Column:

@@ -170,24 +170,24 @@ def classify_sources(df: DataFrame, name="certification") -> DataFrame:
 
 def classify_items(df: DataFrame) -> DataFrame:
     """Industry key, product pictogram group, visualisation class and ISO country per item."""
-    vis = hub_key("visualization_type")
-    return df.select(
-        "*",
-        rules.first_match(hub_key("industry"), fixed.INDUSTRY_KEYS, fixed.INDUSTRY_DEFAULT).alias("industry_key"),
-        rules.first_match(hub_key("product"), fixed.PRODUCT_GROUPS, fixed.PRODUCT_DEFAULT).alias("product_group"),
-        F.when(F.contains(vis, F.lit("3d")), "3d").when(F.contains(vis, F.lit("2d")), "2d").otherwise("other").alias("visual_group"),
-        rules.lookup(hub_key("country"), fixed.COUNTRY_CODES, "").alias("country_code"),
+    keyed = df.withColumns({f"_{n}": hub_key(n) for n in ("industry", "product", "visualization_type", "country")})
+    return keyed.select(
+        *df.columns,
+        rules.first_match("_industry", fixed.INDUSTRY_KEYS, fixed.INDUSTRY_DEFAULT).alias("industry_key"),
+        rules.first_match("_product", fixed.PRODUCT_GROUPS, fixed.PRODUCT_DEFAULT).alias("product_group"),
+        rules.first_match("_visualization_type", [(["3d"], "3d"), (["2d"], "2d")], "other").alias("visual_group"),
+        rules.lookup("_country", fixed.COUNTRY_CODES, "").alias("country_code"),
     )
 
 
-def visualisation_class(value) -> Column:
-    text = F.lower(F.trim(F.regexp_replace(F.coalesce(col(value), F.lit("")), "(?U)\\s+", " ")))
-    return F.when(text == "", "").otherwise(rules.first_match(text, fixed.VISUALISATION_WORDS, ""))
+def squeezed(value) -> Column:
+    return F.lower(F.trim(F.regexp_replace(F.coalesce(col(value), F.lit("")), "(?U)\\s+", " ")))
 
 
-def visualisation_from_text(value) -> Column:
-    text = F.lower(F.trim(F.regexp_replace(F.coalesce(col(value), F.lit("")), "(?U)\\s+", " ")))
-    return rules.first_match(text, fixed.VISUALISATION_TEXT_SIGNALS, "")
+def visualisation(df: DataFrame, value, free_text=False, name="visualisation") -> DataFrame:
+    """Visualisation class from a class word or, if asked, from free text."""
+    signals = fixed.VISUALISATION_TEXT_SIGNALS if free_text else fixed.VISUALISATION_WORDS
+    return df.withColumn("_v", squeezed(value)).withColumn(name, rules.first_match("_v", signals, "")).drop("_v")
 
 
 # --- explorer -----------------------------------------------------------------------------------

@@ -9,9 +9,9 @@ from ledgerloom.functions.text import clean, col
 from ledgerloom.operators.ordered import keep_first, top_n, union_all
 
 
-def with_match_keys(df: DataFrame, names, strict=False) -> DataFrame:
+def with_match_keys(df: DataFrame, names, strict=False, is_clean=False) -> DataFrame:
     """Add ``<name>_normalized`` and, if asked, ``<name>_normalized_strict``."""
-    keyed = df.withColumns({f"{n}_normalized": text.match_key(n) for n in names})
+    keyed = df.withColumns({f"{n}_normalized": text.match_key(n, is_clean) for n in names})
     if strict:
         keyed = keyed.withColumns(
             {f"{n}_normalized_strict": text.drop_legal_tokens(f"{n}_normalized") for n in names}
@@ -50,13 +50,17 @@ def resolve_schema(df: DataFrame, candidates, keep=()) -> DataFrame:
     )
 
 
-def level_from_names(file, sheet) -> Column:
-    """Match level told by the file, its folder and the sheet."""
+def source_names(file, sheet) -> Column:
+    """File, folder and sheet name in lower case."""
     parts = F.split(col(file), "/")
     folder = F.coalesce(F.get(parts, F.size(parts) - 2), F.lit(""))
-    name = F.lower(F.concat_ws(" ", F.element_at(parts, -1), folder, col(sheet)))
+    return F.lower(F.concat_ws(" ", F.element_at(parts, -1), folder, col(sheet)))
+
+
+def level_from_names(names) -> Column:
+    """Match level told by the source names."""
     return rules.first_match(
-        name,
+        names,
         [
             (["product", "epd", "declaration"], "product"),
             (["brand"], "brand"),
@@ -134,19 +138,20 @@ def standardise(df: DataFrame, order=("src_ordinal",), stamp=None) -> DataFrame:
         F.col(c) != "" for c in ("certified_company", "certified_brand", "certified_product", "certificate_identifier", "source_url")
     ])
     rows = rows.filter(has_any).withColumn("certification", clean("certification"))
-    level = F.when(F.col("match_level") != "", F.col("match_level")).otherwise(level_from_names("source_file", "source_sheet"))
+    rows = rows.withColumn("_names", source_names("source_file", "source_sheet"))
+    level = F.when(F.col("match_level") != "", F.col("match_level")).otherwise(level_from_names("_names"))
     rows = rows.withColumn("registry_match_level_raw", level)
     rows = rows.withColumns({
         "evidence_level": evidence_level("registry_match_level_raw", "certified_product", "certified_brand"),
         "certified_entity_name": F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("certified_company", "certified_brand", "certified_product")], F.lit("")),
         "certified_entity_type": F.when(F.col("certified_company") != "", "company").when(F.col("certified_brand") != "", "brand").when(F.col("certified_product") != "", "product").otherwise(""),
     })
-    rows = with_match_keys(rows, ["certified_entity_name", "certified_company", "certified_brand", "certified_product"], strict=True)
-    rows = with_match_keys(rows, ["product_category", "country_or_scope"])
+    rows = with_match_keys(rows, ["certified_entity_name", "certified_company", "certified_brand", "certified_product"], strict=True, is_clean=True)
+    rows = with_match_keys(rows, ["product_category", "country_or_scope"], is_clean=True)
     rows = rows.withColumns({
         "master_record_id": text.record_key(
             "certification", "evidence_level", "certified_company", "certified_brand", "certified_product",
-            "certificate_identifier", "source_url", "source_file", "source_sheet", F.concat_ws("-", *order)),
+            "certificate_identifier", "source_url", "source_file", "source_sheet", F.concat_ws("-", *order), is_clean=True),
         "certification_full_name": F.col("certification"),
         "applies_to_configurator_product_by": applies_by("evidence_level"),
         "source_row_number": F.col(order[0]) + 2,

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["text_queries", "hub_queries", "registry_queries"]
+MODULES = ["text_queries", "hub_queries", "registry_queries", "matching_queries"]
 
 
 def _load():

@@ -82,6 +82,21 @@ ADAPTERS = {
         JOIN @nation n ON n.n_nationkey = s.s_nationkey
         JOIN a_names d ON d.name_id = p.name_ref
     """,
+    # Candidate pairs with ready scores, so that rules after scoring can be checked in SQL.
+    "a_scored": """
+        SELECT l_partkey + 1 AS configurator_id, l_orderkey * 10 + l_linenumber AS src_ordinal, l_partkey * 1000000 + l_suppkey AS src_tie,
+               CASE concat(l_returnflag, l_linestatus) WHEN 'RF' THEN 'GOTS' WHEN 'NO' THEN 'B Corp' WHEN 'AO' THEN 'EU Ecolabel'
+                    WHEN 'RO' THEN 'Bluesign' WHEN 'NF' THEN 'Mystery Label' ELSE 'Fair for Life' END AS certification,
+               CASE l_linenumber % 5 WHEN 0 THEN 'supplier' WHEN 1 THEN 'product' WHEN 2 THEN 'product' WHEN 3 THEN 'brand' ELSE 'company' END AS evidence_level,
+               50.0e0 + l_quantity AS company_score, round(l_discount * 1000) * 1.0e0 AS product_score,
+               CASE WHEN round(l_tax * 100) = 0 THEN 100.0e0 ELSE 0.0e0 END AS domain_score,
+               (l_quantity = 50 AND l_linenumber % 2 = 0) AS entity_exact_match, round(l_discount * 1000) = 100 AS product_exact_match,
+               l_suppkey % 5 = 0 AS short_name, l_linenumber % 3 <> 0 AS has_product, l_linenumber % 4 + 1 AS stage,
+               CASE l_linenumber % 4 WHEN 0 THEN 'company_or_brand_exact_normalized' WHEN 1 THEN 'domain_exact'
+                    WHEN 2 THEN 'company_or_brand_fuzzy_candidate' ELSE 'product_fuzzy_candidate' END AS hint,
+               concat('S', cast(l_suppkey AS string)) AS matched_registry_entity, concat('P', cast(l_partkey AS string)) AS matched_registry_product
+        FROM @lineitem
+    """,
 }
 
 

@@ -91,8 +91,8 @@ query("p12_visualisation_class", f"""
     i AS (SELECT id, lower(trim(visualization_text)) AS v FROM a_configurators)
     SELECT 'document' AS origin, doc_id AS row_id, {c.first_match('t', fixed.VISUALISATION_TEXT_SIGNALS, '')} AS visualisation FROM x
     UNION ALL SELECT 'item', id, CASE WHEN v = '' THEN '' ELSE {c.first_match('v', fixed.VISUALISATION_WORDS, '')} END FROM i""")(
-    lambda t: t.documents.select(F.lit("document").alias("origin"), F.col("doc_id").alias("row_id"), hub.visualisation_from_text("text").alias("visualisation"))
-    .unionByName(t.a_configurators.select(F.lit("item").alias("origin"), F.col("id").alias("row_id"), hub.visualisation_class("visualization_text").alias("visualisation")))
+    lambda t: hub.visualisation(t.documents.select(F.lit("document").alias("origin"), F.col("doc_id").alias("row_id"), "text"), "text", free_text=True).drop("text")
+    .unionByName(hub.visualisation(t.a_configurators.select(F.lit("item").alias("origin"), F.col("id").alias("row_id"), "visualization_text"), "visualization_text").drop("visualization_text"))
 )
 
 _filter = "(contains(lower(coalesce(company, '')), 'in') OR contains(lower(coalesce(product, '')), 'in') OR contains(lower(coalesce(industry, '')), 'in') OR contains(lower(coalesce(country, '')), 'in'))"

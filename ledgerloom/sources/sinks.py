@@ -1,11 +1,28 @@
 """Writers: bounded text columns, decision partitions, ordered files."""
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import truncate
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """New folder under the cluster's checkpoint folder; a temporary one only where none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{named or tempfile.mkdtemp(prefix='spark-')}/ledgerloom-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: computed once, safe against lost
+    executors, and of a size Spark knows when it plans the joins on it."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def truncate_strings(df: DataFrame, limit=2800) -> DataFrame:
     """Clean every string column and cut it at the limit."""
     return df.select(
