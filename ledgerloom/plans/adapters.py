@@ -82,6 +82,17 @@ ADAPTERS = {
         JOIN @nation n ON n.n_nationkey = s.s_nationkey
         JOIN a_names d ON d.name_id = p.name_ref
     """,
+    # Candidate sources: every page as a find for one company.
+    "a_sources": """
+        SELECT p.page_id AS source_candidate_id, d.company_name, d.host,
+               CASE p.page_id % 4 WHEN 0 THEN 'official_common_path' WHEN 1 THEN 'official_sitemap' ELSE 'search_engine' END AS discovery_method,
+               CASE p.page_id % 7 WHEN 0 THEN concat('https://www.', d.host, '/supplier-list.pdf') WHEN 1 THEN 'https://opensupplyhub.org/facilities'
+                    WHEN 2 THEN concat('https://it.linkedin.com/in/', cast(p.page_id AS string)) ELSE p.url END AS url,
+               CASE p.page_id % 5 WHEN 0 THEN '200' WHEN 1 THEN '404' WHEN 2 THEN 'n/a' ELSE '' END AS http_status,
+               CASE p.page_id % 6 WHEN 0 THEN concat(d.company_name, ' factory list') WHEN 1 THEN 'Sustainability report and jobs' WHEN 2 THEN 'Our supply chain: suppliers'
+                    ELSE '' END AS lead, p.html
+        FROM (SELECT *, page_id % (SELECT count(*) FROM @documents) AS name_ref FROM @pages) p JOIN a_names d ON d.name_id = p.name_ref
+    """,
     # Candidate pairs with ready scores, so that rules after scoring can be checked in SQL.
     "a_scored": """
         SELECT l_partkey + 1 AS configurator_id, l_orderkey * 10 + l_linenumber AS src_ordinal, l_partkey * 1000000 + l_suppkey AS src_tie,
