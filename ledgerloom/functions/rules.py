@@ -12,9 +12,14 @@ def any_of(tests) -> Column:
     return functools.reduce(lambda a, b: a | b, tests)
 
 
+def literal(keyword) -> str:
+    """A keyword as a pattern that matches just itself."""
+    return "".join("\\" + c if c in "\\.[]{}()*+-?^$|&/" else c for c in keyword)
+
+
 def contains_any(text, keywords) -> Column:
-    value = col(text)
-    return any_of([F.contains(value, F.lit(k)) for k in keywords])
+    """One pattern pass, naming the text once, so that pushed-down filters stay small."""
+    return col(text).rlike("|".join(literal(k) for k in keywords))
 
 
 def count_hits(text, keywords) -> Column:

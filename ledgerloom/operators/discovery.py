@@ -217,16 +217,8 @@ def score_sources(sources: DataFrame) -> DataFrame:
 
 
 def kept_sources(scored: DataFrame, minimum=35) -> DataFrame:
-    """Candidates from the minimum score up, each (company, address) once, the earliest one.
-
-    The minimum is part of the aggregate: as a filter below it, Spark would copy the whole score
-    expression into the filter.
-    """
-    rest = [c for c in scored.columns if c not in ("company_name", "url")]
-    enough = F.col("source_score") >= minimum
-    first = F.min_by(F.when(enough, F.struct(*rest)), F.when(enough, F.col("source_candidate_id")))
-    grouped = scored.groupBy("company_name", "url").agg(first.alias("_first")).filter("_first IS NOT NULL")
-    return grouped.select("company_name", "url", "_first.*").select(*scored.columns)
+    """Candidates from the minimum score up, each (company, address) once, the earliest one."""
+    return keep_first(scored, ["company_name", "url"], "source_candidate_id", where=F.col("source_score") >= minimum)
 
 
 def source_statistics(sources: DataFrame) -> DataFrame:

@@ -12,12 +12,18 @@ def _cols(names):
     return [names] if isinstance(names, str) else list(names)
 
 
-def keep_first(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key set, the first in source order. Aggregates map-side, so hot keys are cheap."""
+def keep_first(df: DataFrame, keys, order, where=None) -> DataFrame:
+    """One row per key set, the first in source order. Aggregates map-side, so hot keys are cheap.
+
+    ``where`` restricts the rows inside the aggregate: a filter below it would make Spark copy the
+    expressions behind a computed column into the filter.
+    """
     keys, order = _cols(keys), _cols(order)
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+    row, at = F.struct(*[c for c in df.columns if c not in keys]), F.struct(*order)
+    if where is not None:
+        row, at = F.when(where, row), F.when(where, at)
+    firsts = df.groupBy(*keys).agg(F.min_by(row, at).alias("_first")).filter("_first IS NOT NULL")
+    return firsts.select(*keys, "_first.*").select(*df.columns)
 
 
 def top_n(df: DataFrame, keys, order, n, rank="rank") -> DataFrame:

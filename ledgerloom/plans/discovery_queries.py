@@ -169,7 +169,7 @@ _BEST = """SELECT company_name, arg_min(url, rk) AS best_source_url, arg_min(tit
 query("a27_source_statistics", SCORED + _STATS)(lambda t: d.source_statistics(scored(t)))
 query("w5_best_sources", SCORED + _BEST)(lambda t: d.best_sources(scored(t)))
 query("j12_company_summary", COMPANIES + ", " + SCORED.strip()[5:] + f"""
-    , st AS ({_STATS}), bs AS ({_BEST})
+    , named AS (SELECT * REPLACE ({c.clean('company_name')} AS company_name) FROM scored), st AS ({_STATS.replace('FROM scored', 'FROM named')}), bs AS ({_BEST.replace('FROM scored', 'FROM named')})
     SELECT company_name, configurator_rows, industries, company_domains, coalesce(source_count, 0) AS source_count, coalesce(high_sources, 0) AS high_sources, coalesce(medium_sources, 0) AS medium_sources,
            coalesce(max_source_score, 0) AS max_source_score, coalesce(best_source_url, '') AS best_source_url, coalesce(best_source_title, '') AS best_source_title, coalesce(best_source_type, '') AS best_source_type
     FROM uc LEFT JOIN st USING (company_name) LEFT JOIN bs USING (company_name)""")(
