@@ -167,8 +167,7 @@ def canonical_url(url) -> Column:
     """Without query, fragment and trailing slashes; a bare root keeps its slash."""
     text = F.regexp_replace(clean(url), "[?#].*$", "")
     stripped = F.regexp_replace(text, "(?<!/)/+$", "")
-    is_root = stripped.rlike("^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$")
-    return F.when(is_root, F.concat(stripped, F.lit("/"))).otherwise(stripped)
+    return F.regexp_replace(stripped, "^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)$", "$1/")
 
 
 def site_root(url) -> Column:

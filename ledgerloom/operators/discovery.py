@@ -42,7 +42,10 @@ def page_text(pages: DataFrame, html="html") -> DataFrame:
 
 def absolute_url(base, href) -> Column:
     """``href`` seen from ``base``."""
-    base, href = col(base), col(href)
+    return text.bound(F.struct(col(base).alias("base"), col(href).alias("href")), lambda s: _resolved(s["base"], s["href"]))
+
+
+def _resolved(base, href) -> Column:
     page = F.regexp_replace(base, "[?#].*$", "")
     scheme = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     root = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)

@@ -138,6 +138,10 @@ def with_adapters(body: str) -> str:
     return f"WITH {sql}\n{body}"
 
 
+# Row-heavy adapters and the table whose files decide how parallel they start.
+SPREAD = {"a_registry": "lineitem", "a_scored": "lineitem", "a_sources": "pages"}
+
+
 class Tables:
     """Given tables and adapters of one data folder as DataFrames."""
 
@@ -152,5 +156,12 @@ class Tables:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         if name in ADAPTERS:
             parts = [f"{n} AS ({ADAPTERS[n]})" for n in _ordered([name])]
-            return self.spark.sql(self._path_sql(f"WITH {', '.join(parts)} SELECT * FROM {name}"))
+            rows = self.spark.sql(self._path_sql(f"WITH {', '.join(parts)} SELECT * FROM {name}"))
+            return self._spread(rows, SPREAD[name]) if name in SPREAD else rows
         raise AttributeError(name)
+
+    def _spread(self, rows, source):
+        """A table of one small file starts as one task; share its rows out before the text work.
+        A table of many files keeps its partitions and is not shuffled."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows if getattr(self, source).rdd.getNumPartitions() >= cores else rows.repartition(cores)
