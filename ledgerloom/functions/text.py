@@ -40,7 +40,7 @@ def _ascii_folds():
         folded = unicodedata.normalize("NFKD", char.casefold())
         folded = "".join(c for c in folded if not unicodedata.combining(c))
         # Folding case comes before decomposition, so capitals it brings out do not survive.
-        kept = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in folded)
+        kept = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789&" else " " for c in folded)
         if folded == "":
             removed.append(char)
         elif kept.strip() == "":
