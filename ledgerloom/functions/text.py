@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
 
-CONTROL_CHARS = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]"
 LIST_SEPARATOR = " | "
 
 
@@ -16,15 +15,19 @@ def col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def strip_control(value) -> Column:
-    return F.regexp_replace(col(value), CONTROL_CHARS, "")
+# Every Unicode blank, the smiley that stands for one, and what is dropped.
+BLANKS = "\t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000☻"
+DROPPED = "".join(chr(c) for c in range(0x20) if c not in (0x09, 0x0A, 0x0D)).replace("\x0b", "").replace("\x0c", "") + "\x0b\x0c\ufeff"
 
 
 def clean(value) -> Column:
-    """Null to empty; control characters and BOM out; every Unicode blank run to one space."""
-    text = F.translate(strip_control(F.coalesce(col(value).cast("string"), F.lit(""))), "☻﻿", " ")
-    # The (?U) flag makes \s cover NBSP and the other Unicode blanks.
-    return F.regexp_replace(F.regexp_replace(text, "(?U)\\s+", " "), "^ | $", "")
+    """Null to empty; control characters and BOM out; every Unicode blank run to one space.
+
+    One character translation does the dropping and the blanks; patterns see plain spaces only.
+    """
+    blanks = "".join(c for c in BLANKS if c not in DROPPED)
+    text = F.translate(F.coalesce(col(value).cast("string"), F.lit("")), blanks + DROPPED, " " * len(blanks))
+    return F.trim(F.regexp_replace(text, " {2,}", " "))
 
 
 @functools.lru_cache(maxsize=None)
@@ -76,7 +79,8 @@ def fold(value) -> Column:
 
 def match_key(value, is_clean=False) -> Column:
     """Comparable form: folded letters and digits separated by single spaces."""
-    text = F.replace(fold(value if is_clean else clean(value)), F.lit("&"), F.lit(" and "))
+    raw = col(value) if is_clean else F.translate(F.coalesce(col(value).cast("string"), F.lit("")), DROPPED, "")
+    text = F.replace(fold(raw), F.lit("&"), F.lit(" and "))
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
