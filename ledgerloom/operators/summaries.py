@@ -71,6 +71,12 @@ def _inputs(spec, order):
     return list(dict.fromkeys(used))
 
 
+def source_columns(spec, order):
+    """Input columns a summary needs."""
+    filled = [spec.where_filled] if spec.where_filled else []
+    return list(dict.fromkeys([*spec.keys.values(), *_inputs(spec, order), *filled]))
+
+
 def _with_distincts(base, plain, spec, keys):
     sources = list(dict.fromkeys([*spec.unique.values(), *[c for c, _ in spec.lists.values()]]))
     code = {c: i for i, c in enumerate(sources)}

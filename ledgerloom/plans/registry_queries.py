@@ -10,6 +10,7 @@ from ledgerloom.operators import registry, summaries
 from ledgerloom.operators.ordered import keep_first
 from ledgerloom.plans import check_sql as c
 from ledgerloom.plans.catalog import query
+from ledgerloom.sources.sinks import written
 
 ORDER = ("src_ordinal", "src_tie")
 AS_OF = "1998-06-01"
@@ -167,9 +168,14 @@ def summary_sql(spec, source):
     return f"SELECT *, {_evidence_sql(spec.evidence)} AS evidence_text FROM ({inner})" if spec.evidence else inner
 
 
+def stored(rows, spec):
+    """The columns a summary reads, with their keys computed once."""
+    return written(rows.select(*summaries.source_columns(spec, ORDER)))
+
+
 for _name, _spec in summaries.SUMMARIES.items():
     query(_name, ROWS + summary_sql(_spec, "reg"))(
-        lambda t, spec=_spec: summaries.summarise(rows_view(t), spec, ORDER)
+        lambda t, spec=_spec: summaries.summarise(stored(rows_view(t), spec), spec, ORDER)
     )
 
 query("a23_flag_groups", ROWS + """
@@ -182,7 +188,7 @@ query("a23_flag_groups", ROWS + """
 )
 
 query("a24_master_summary", MASTER + summary_sql(summaries.MASTER_SUMMARY, "master"))(
-    lambda t: summaries.summarise(master(t), summaries.MASTER_SUMMARY, ORDER)
+    lambda t: summaries.summarise(stored(master(t), summaries.MASTER_SUMMARY), summaries.MASTER_SUMMARY, ORDER)
 )
 
 query("a28_run_metadata", ROWS + """
