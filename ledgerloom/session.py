@@ -1,6 +1,7 @@
-"""Session settings used by tests and the benchmark; a cluster brings its own."""
+"""Session settings used by tests and the benchmark on one machine; a cluster brings its own."""
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,7 @@ def local_session(cores="8", app="ledgerloom"):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,5 @@
 """Writers: bounded text columns, decision partitions, ordered files."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,15 +9,22 @@ from ledgerloom.functions.text import truncate
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """New folder under the cluster's checkpoint folder; a temporary one only where none is named."""
+    """New folder that driver and executors all reach: under the checkpoint folder, else under the
+    warehouse, which a session always has. It goes when the driver's JVM ends."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{named or tempfile.mkdtemp(prefix='spark-')}/ledgerloom-{uuid.uuid4().hex}"
+    root = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    folder = f"{root}/ledgerloom-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def written(df: DataFrame) -> DataFrame:
     """The frame as a Parquet table in the shared folder: computed once, safe against lost
     executors, and of a size Spark knows when it plans the joins on it."""
-    path = shared_folder(df.sparkSession)
+    path = f"{shared_folder(df.sparkSession)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
