@@ -260,7 +260,7 @@ query("s5_decision_partitions", DECIDED + "SELECT decision, confidence, count(*)
 
 def _reread(t):
     """Registry rows written as CSV files per certification folder, found, read and standardised again."""
-    folder = sinks.shared_folder(t.spark)
+    folder = f"{sinks.shared_folder(t.spark)}/csv"
     rows = t.a_registry.select("certification", F.col("certified_company").alias("Company Name"), F.col("certified_brand").alias("Brand"), F.col("certified_product").alias("Product"),
                                F.col("certificate_identifier").alias("Licence"), F.col("source_url").alias("Profile URL"), F.col("certification").alias("certification_name"))
     rows.write.partitionBy("certification").option("header", True).option("quoteAll", True).option("escape", '"').csv(folder)
