@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import packing, simhash
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -19,3 +19,8 @@ def query(name, check=None):
 @query("op9_simhash_components")
 def op9(spark, folder):
     return simhash.near_duplicates(documents(spark, folder), words=3, radius=2)
+
+
+@query("op10_packed_pieces")
+def op10(spark, folder):
+    return packing.pack(documents(spark, folder))
