@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import packing, simhash
+from ledgerloom.llm import mixing, packing, simhash
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -24,3 +24,8 @@ def op9(spark, folder):
 @query("op10_packed_pieces")
 def op10(spark, folder):
     return packing.pack(documents(spark, folder))
+
+
+@query("op2_mixed_sources", mixing.SQL)
+def op2(spark, folder):
+    return mixing.mix(documents(spark, folder))
