@@ -15,6 +15,7 @@ Special strings hold no white space, so no cut divides one.
 
 import re
 
+import numpy as np
 import public_tokenizers
 
 from ledgerloom.llm.common import worker_state
@@ -42,16 +43,20 @@ def tokenizer(name: str):
     return kept[name]
 
 
-def piece_values(name: str, value, lists) -> dict:
-    """``value(ids)`` of every piece in the lists, as a dict that may hold more."""
-    kept = worker_state().setdefault((name, value.__name__), {"size": 0, "values": {}})
+def piece_counts(name: str, lists) -> dict:
+    """Tokens of every piece in the lists, as a dict that may hold more; for a vocabulary that drops
+    white space. New pieces are encoded as one text, and its tokens dealt to them by their offsets."""
+    kept = worker_state().setdefault((name, "counts"), {"size": 0, "values": {}})
     if kept["size"] > REMEMBERED:
         kept["size"], kept["values"] = 0, {}
     values = kept["values"]
     new = list(set().union(*lists).difference(values))
     for at in range(0, len(new), AT_ONCE):
         part = new[at : at + AT_ONCE]
-        values.update(zip(part, [value(x.ids) for x in tokenizer(name).encode_batch_fast(part, add_special_tokens=False)]))
+        starts = np.cumsum([0, *map(len, part[:-1])]) + np.arange(len(part))
+        encoded = tokenizer(name).encode(" ".join(part), add_special_tokens=False)
+        own = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded))
+        values.update(zip(part, np.bincount(np.searchsorted(starts, own, "right") - 1, minlength=len(part)).tolist()))
     kept["size"] += sum(map(len, new)) + 100 * len(new)
     return values
 

@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import mixing, packing, simhash
+from ledgerloom.llm import mixing, packing, simhash, token_counts
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -29,3 +29,8 @@ def op10(spark, folder):
 @query("op2_mixed_sources", mixing.SQL)
 def op2(spark, folder):
     return mixing.mix(documents(spark, folder))
+
+
+@query("op1_token_counts")
+def op1(spark, folder):
+    return token_counts.token_counts(documents(spark, folder))
