@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import mixing, packing, simhash, token_counts
+from ledgerloom.llm import imatch, mixing, packing, simhash, token_counts
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -34,3 +34,8 @@ def op2(spark, folder):
 @query("op1_token_counts")
 def op1(spark, folder):
     return token_counts.token_counts(documents(spark, folder))
+
+
+@query("op3_imatch_fingerprints")
+def op3(spark, folder):
+    return imatch.fingerprints(documents(spark, folder))
