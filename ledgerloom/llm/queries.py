@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import imatch, mixing, packing, simhash, token_counts
+from ledgerloom.llm import imatch, mixing, packing, simhash, suffix_dedup, token_counts
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -39,3 +39,8 @@ def op1(spark, folder):
 @query("op3_imatch_fingerprints")
 def op3(spark, folder):
     return imatch.fingerprints(documents(spark, folder))
+
+
+@query("op5_suffix_array_removals")
+def op5(spark, folder):
+    return suffix_dedup.removals(documents(spark, folder))
