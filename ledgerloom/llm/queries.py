@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import imatch, mixing, packing, simhash, suffix_dedup, token_counts
+from ledgerloom.llm import debruijn, imatch, mixing, packing, simhash, suffix_dedup, token_counts
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -44,3 +44,8 @@ def op3(spark, folder):
 @query("op5_suffix_array_removals")
 def op5(spark, folder):
     return suffix_dedup.removals(documents(spark, folder))
+
+
+@query("op6_debruijn_removals")
+def op6(spark, folder):
+    return debruijn.removals(documents(spark, folder))
