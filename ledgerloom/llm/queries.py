@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import debruijn, imatch, mixing, packing, simhash, suffix_dedup, token_counts
+from ledgerloom.llm import debruijn, imatch, mixing, packing, simhash, suffix_dedup, token_counts, toxicity
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -49,3 +49,9 @@ def op5(spark, folder):
 @query("op6_debruijn_removals")
 def op6(spark, folder):
     return debruijn.removals(documents(spark, folder))
+
+
+@query("op8_toxicity")
+def op8(spark, folder):
+    docs = documents(spark, folder)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
