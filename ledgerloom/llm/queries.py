@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import debruijn, imatch, mixing, packing, simhash, suffix_dedup, token_counts, toxicity
+from ledgerloom.llm import debruijn, imatch, mixing, neighbours, packing, simhash, suffix_dedup, token_counts, toxicity
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -55,3 +55,8 @@ def op6(spark, folder):
 def op8(spark, folder):
     docs = documents(spark, folder)
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
+@query("op7_learned_partition_search")
+def op7(spark, folder):
+    return neighbours.search(spark.read.parquet(f"{folder}/embeddings.parquet"))
