@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import debruijn, imatch, mixing, neighbours, packing, simhash, suffix_dedup, token_counts, toxicity
+from ledgerloom.llm import debruijn, imatch, mixing, neighbours, packing, pseudo_likelihood, simhash, suffix_dedup, token_counts, toxicity
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -60,3 +60,9 @@ def op8(spark, folder):
 @query("op7_learned_partition_search")
 def op7(spark, folder):
     return neighbours.search(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query("op4_pseudo_likelihood")
+def op4(spark, folder):
+    docs = documents(spark, folder)
+    return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
