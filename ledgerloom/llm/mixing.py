@@ -92,17 +92,18 @@ def route(patterns: dict, quotas: dict, most=3) -> dict:
     return {p: sum(flow.values(), Fraction(0)) for p, flow in given.items()}
 
 
-def sized(docs: DataFrame, members, doc_id="doc_id", text="text") -> DataFrame:
-    """(doc_id, size, members, pattern) of every row; a null text has no words."""
+def sized(docs: DataFrame, members, doc_id="doc_id", text="text", keep=False) -> DataFrame:
+    """(doc_id, size, members, pattern) of every row, and all its columns in ``row`` if kept; a null text has no words."""
     return docs.select(
         docs[doc_id].alias("doc_id"),
         F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.array_sort(F.array_distinct(members)).alias("members"),
+        *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if keep else []),
     ).withColumn("pattern", F.to_json("members"))
 
 
-def mix(docs: DataFrame, members=None, weights=(1, 2, 3), most=3, seed=7, doc_id="doc_id", text="text") -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) of every row of ``docs``.
+def mix(docs: DataFrame, members=None, weights=(1, 2, 3), most=3, seed=7, doc_id="doc_id", text="text", keep=False) -> DataFrame:
+    """(doc_id, size, source_size, target, copies, taken) of every row of ``docs``; with ``keep`` also ``row``, a struct of all its columns.
 
     ``members`` is an array of the sources a document belongs to; by default its ``source`` alone, a
     null being a source of its own. ``source_size`` and ``target`` are sums over the document's
@@ -111,7 +112,7 @@ def mix(docs: DataFrame, members=None, weights=(1, 2, 3), most=3, seed=7, doc_id
     documents without words take nothing; no rows give no rows.
     """
     spark = docs.sparkSession
-    rows = written(sized(docs, F.array(docs["source"]) if members is None else members, doc_id, text))
+    rows = written(sized(docs, F.array(docs["source"]) if members is None else members, doc_id, text, keep))
     found = rows.groupBy("pattern", "members").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
     sources = {}
     for x in found:
@@ -135,14 +136,20 @@ def mix(docs: DataFrame, members=None, weights=(1, 2, 3), most=3, seed=7, doc_id
     key = F.coalesce("pattern", F.lit("")).alias("own")
     sums = rows.groupBy(key, "slice").agg(F.sum("size").alias("words"))
     before = sums.withColumn("before", F.sum("words").over(Window.partitionBy("own").orderBy("slice")) - F.col("words"))
-    slices = before.join(plan.withColumn("own", key).drop("pattern"), "own").withColumn(
-        "extra", F.when(F.col("before") + F.col("words") <= F.col("rest"), 1).when(F.col("before") > F.col("rest"), 0))
+    slices = written(before.join(plan.withColumn("own", key).drop("pattern"), "own").withColumn(
+        "extra", F.when(F.col("before") + F.col("words") <= F.col("rest"), 1).when(F.col("before") > F.col("rest"), 0)))
     placed = rows.withColumn("own", key).drop("pattern").join(slices.drop("words"), ["own", "slice"])
     inside = F.sum("size").over(Window.partitionBy("own").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
     cut = placed.filter("extra IS NULL").withColumn("extra", (F.col("before") + inside - F.col("size") / 2 <= F.col("rest")).cast("int"))
     return placed.filter("extra IS NOT NULL").unionByName(cut).select(
-        "doc_id", "size", "source_size", "target", (F.col("base") + F.col("extra")).alias("copies"),
-        (F.col("size") * F.least(F.col("base") + F.col("extra"), F.lit(most))).alias("taken"))
+        "doc_id", "size", "source_size", "target", F.least(F.col("base") + F.col("extra"), F.lit(most)).alias("copies"),
+        (F.col("size") * F.least(F.col("base") + F.col("extra"), F.lit(most))).alias("taken"),
+        *(["row"] if keep else []))
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    return mix(docs, keep=True, **options).filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 SQL = r"""
@@ -164,7 +171,7 @@ WITH sized AS (
         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.hash, s.doc_id, s.size ROWS UNBOUNDED PRECEDING) AS upto
     FROM sized s JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source
 )
-SELECT doc_id, cast(size AS bigint) AS size, source_size, target, cast(coalesce(base, 0) + CASE WHEN upto - size / 2 <= target - coalesce(base, 0) * source_size THEN 1 ELSE 0 END AS integer) AS copies,
+SELECT doc_id, cast(size AS bigint) AS size, source_size, target, cast(least(coalesce(base, 0) + CASE WHEN upto - size / 2 <= target - coalesce(base, 0) * source_size THEN 1 ELSE 0 END, 3) AS integer) AS copies,
     cast(size * least(coalesce(base, 0) + CASE WHEN upto - size / 2 <= target - coalesce(base, 0) * source_size THEN 1 ELSE 0 END, 3) AS bigint) AS taken
 FROM placed
 """

@@ -5,15 +5,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import anchors
-from ledgerloom.llm.common import column, whole_texts
+from ledgerloom.llm.common import column
 from ledgerloom.sources.sinks import written
 
 #: Row numbers of a part of the table; the part's number stands above.
 ROW_BITS = 36
 
 
-def stored(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """(rid, doc_id, blob): every row with a number of its own and its compressed UTF-8 text, written once.
+def stored(docs: DataFrame, doc_id="doc_id", text="text", keep=()) -> DataFrame:
+    """(rid, doc_id, blob): every row with a number of its own and its compressed UTF-8 text, written once;
+    with a struct ``kept`` of further columns, if any are asked for.
 
     Later passes read this table, so numbers hold even if the input would be dealt out otherwise again.
     """
@@ -27,10 +28,11 @@ def stored(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
             blobs = [pack(x.encode("utf-8", "surrogatepass")) for x in column(batch, "text")]
             ids = pa.array(range(rid, rid + len(blobs)), pa.int64())
             rid += len(blobs)
-            yield pa.RecordBatch.from_arrays([ids, batch.column(0), pa.array(blobs, pa.binary())], ["rid", "doc_id", "blob"])
+            yield pa.RecordBatch.from_arrays([ids, batch.column(0), pa.array(blobs, pa.binary()), *batch.columns[2:]], ["rid", "doc_id", "blob", *batch.schema.names[2:]])
 
-    rows = whole_texts(docs, doc_id, text)
-    return written(rows.mapInArrow(run, f"rid long, doc_id {dict(rows.dtypes)['doc_id']}, blob binary"))
+    rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"), *([F.struct(*[docs[c] for c in keep]).alias("kept")] if keep else []))
+    kinds = dict(rows.dtypes)
+    return written(rows.mapInArrow(run, f"rid long, doc_id {kinds['doc_id']}, blob binary" + (f", kept {kinds['kept']}" if keep else "")))
 
 
 def unpacker():

@@ -183,11 +183,11 @@ def rest(text, starts, ends) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def _texts_with_runs(docs, length, gram, keep_first, doc_id, text):
-    table = stored(docs, doc_id, text)
+def _texts_with_runs(docs, length, gram, keep_first, doc_id, text, keep=()):
+    table = stored(docs, doc_id, text, keep)
     runs = removed_windows(table, length, gram, keep_first)
     lists = runs.groupBy("rid").agg(F.collect_list(F.struct("first", "windows")).alias("rows"))
-    return table.join(lists, "rid", "left").select("rid", "doc_id", "blob", "rows")
+    return table.join(lists, "rid", "left").select("rid", "doc_id", "blob", "rows", *(["kept"] if keep else []))
 
 
 def removals(docs: DataFrame, length=LENGTH, gram=GRAM, keep_first=False, doc_id="doc_id", text="text") -> DataFrame:
@@ -212,5 +212,34 @@ def removals(docs: DataFrame, length=LENGTH, gram=GRAM, keep_first=False, doc_id
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _continues(text, at):
-    return at < len(text) and text[at] & 0xC0 == 0x80
+def whole_characters(text, starts, ends):
+    """The runs without characters of which they hold a part only."""
+    kept = []
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        while a < b and text[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            kept.append((a, b))
+    return np.array([a for a, _ in kept], np.int64), np.array([b for _, b in kept], np.int64)
+
+
+def deduplicated(docs: DataFrame, length=LENGTH, gram=GRAM, keep_first=True, doc_id="doc_id", text="text") -> DataFrame:
+    """``docs`` with all columns, their texts without what ``removals`` counts; a removed run is cut back to
+    whole characters. Rows of which nothing is left go; texts empty before stay as they were."""
+    import pyarrow as pa
+
+    def run(batches):
+        unpack = unpacker()
+        for batch in batches:
+            left = [rest(whole, *whole_characters(whole, starts, ends)).decode("utf-8", "surrogatepass") if len(starts) else None for whole, starts, ends in _kept(batch, unpack, length)]
+            same = [unpack(blob).decode("utf-8", "surrogatepass") if x is None else x for blob, x in zip(column(batch, "blob"), left)]
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("kept")), pa.array(same, pa.string()), pa.array([x == "" for x in left], pa.bool_()), pa.array([x is None for x in left], pa.bool_())], ["kept", "text", "gone", "same"])
+
+    others = [c for c in docs.columns if c != text]
+    rows = _texts_with_runs(docs.withColumn("ledgerloom_null", docs[text].isNull()), length, gram, keep_first, doc_id, text, [*others, "ledgerloom_null"])
+    made = rows.mapInArrow(run, f"kept {dict(rows.dtypes)['kept']}, text string, gone boolean, same boolean").filter("NOT gone")
+    new = F.when(F.col("kept.ledgerloom_null"), None).otherwise(F.col("text"))
+    size = F.when(F.col("same"), F.col("kept.n_chars")).otherwise(F.length("text")) if "n_chars" in docs.columns else None
+    return made.select(*[new.alias(c) if c == text else (size.cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else F.col("kept").getField(c).alias(c)) for c in docs.columns])
