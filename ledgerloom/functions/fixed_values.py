@@ -345,3 +345,52 @@ NEGATIVE_KEYWORDS = [
     "jobs", "careers", "hiring", "coupon", "discount", "sale", "stock price", "press release",
     "newsroom", "facebook", "instagram", "linkedin", "youtube",
 ]
+
+# GRS certificate list: countries, and patterns of lines that are no records.
+GRS_COUNTRIES = [
+    "United Arab Emirates", "United Kingdom", "United States", "South Korea", "Czech Republic", "Switzerland",
+    "Bangladesh", "Netherlands", "Pakistan", "Portugal", "Germany", "Ireland", "Türkiye", "Turkey", "France",
+    "Poland", "India", "Spain", "Italy", "Italia", "taly", "China", "USA", "Taiwan", "Tunisia", "Romania", "Bulgaria",
+    "Austria", "Belgium", "Greece", "Croatia", "Denmark", "Finland", "Sweden", "Norway", "Canada", "Mexico", "Brazil",
+    "Morocco", "Egypt", "Pakistan", "Vietnam", "Japan", "Thailand", "Indonesia", "Sri Lanka",
+]
+GRS_NOISE_PATTERNS = [
+    r"^ICEA\s*-\s*GRS\s*M\.?0403", r"^Last update", r"^Pag\.", r"^Page\s+\d+", r"^LICENSEE$", r"^CERTIFICATE$",
+    r"^CERTIFIED PRODUCTS", r"^PROCESSES$", r"^Facilities$", r"^GRS\s+Version$", r"^Company name$", r"^State$",
+    r"^Web$", r"^N°\s*Certificate$", r"^First issue$", r"^Revision$", r"^Expiring$",
+    r"^Product\s*/\s*Process description$", r"^No\.$", r"^date$", r"^issue$", r"^LEGENDA", r"^Legend", r"^IT\s+EN$",
+    r"^Nuove certificazioni", r"^SOMMARIO", r"^Index$", r"^Registro delle ditte", r"^Register of textile",
+    r"^Maggio,\s*\d{4}$", r"^May,\s*\d{4}$", r"^GRS\s*M0403$",
+]
+
+# FSC licence rows: statuses, roles and countries.
+FSC_STATUSES = "Valid|Suspended and blocked|Suspended|Terminated and blocked|Terminated"
+FSC_ROLES = "Certificate holder|Participating site|Group member|Outsourcing contractor|Site"
+FSC_COUNTRIES = [
+    "United Kingdom of Great Britain and Northern Ireland", "United States of America", "Russian Federation",
+    "Korea, Republic of", "Korea, Democratic People's Republic of", "Iran, Islamic Republic of",
+    "Tanzania, United Republic of", "Moldova, Republic of", "Venezuela, Bolivarian Republic of",
+    "Bolivia, Plurinational State of", "Lao People's Democratic Republic", "Syrian Arab Republic", "Viet Nam",
+    "Czech Republic", "Dominican Republic", "Central African Republic", "Bosnia and Herzegovina", "North Macedonia",
+    "South Africa", "New Zealand", "Saudi Arabia", "United Arab Emirates", "Costa Rica", "Sri Lanka", "El Salvador",
+    "Puerto Rico", "Hong Kong", "Taiwan", "Palestine", "Côte d'Ivoire", "Ivory Coast", "Afghanistan", "Albania",
+    "Algeria", "Andorra", "Angola", "Argentina", "Armenia", "Australia", "Austria", "Azerbaijan", "Bangladesh",
+    "Belarus", "Belgium", "Brazil", "Bulgaria", "Cambodia", "Cameroon", "Canada", "Chile", "China", "Colombia",
+    "Croatia", "Cyprus", "Denmark", "Ecuador", "Egypt", "Estonia", "Ethiopia", "Finland", "France", "Georgia",
+    "Germany", "Ghana", "Greece", "Guatemala", "Honduras", "Hungary", "India", "Indonesia", "Ireland", "Israel",
+    "Italy", "Japan", "Kenya", "Latvia", "Lebanon", "Lithuania", "Luxembourg", "Malaysia", "Mexico", "Morocco",
+    "Myanmar", "Nepal", "Netherlands", "Nigeria", "Norway", "Pakistan", "Panama", "Paraguay", "Peru", "Philippines",
+    "Poland", "Portugal", "Romania", "Serbia", "Singapore", "Slovakia", "Slovenia", "Solomon Islands", "Spain",
+    "Sweden", "Switzerland", "Thailand", "Tunisia", "Türkiye", "Turkey", "Ukraine", "Uruguay", "Uzbekistan",
+    "Zimbabwe",
+]
+
+# Bluesign brand lines: countries and regions.
+BLUESIGN_COUNTRIES = [
+    "United Arab Emirates", "United Kingdom", "United States", "Hong Kong", "New Zealand", "South Korea",
+    "Czech Republic", "South Africa", "Saudi Arabia", "Sri Lanka", "Switzerland", "Netherlands", "Philippines",
+    "Indonesia", "Singapore", "Australia", "Bangladesh", "Cambodia", "Thailand", "Vietnam", "Germany", "Austria",
+    "Belgium", "Bulgaria", "Canada", "China", "Croatia", "Denmark", "Finland", "France", "Greece", "Hungary",
+    "Iceland", "India", "Ireland", "Italy", "Japan", "Latvia", "Lithuania", "Malaysia", "Mexico", "Norway", "Poland",
+    "Portugal", "Romania", "Serbia", "Slovakia", "Slovenia", "Spain", "Sweden", "Taiwan", "Turkey", "Ukraine", "USA",
+]

@@ -2,16 +2,22 @@
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import text
+from ledgerloom.functions import fixed_values, text
 from ledgerloom.operators import lines as ln
 from ledgerloom.plans import check_sql as c
 from ledgerloom.plans.catalog import query
 from ledgerloom.sources.lines import line_table
 
+#: Countries as the certificate list writes them; lines of each noise pattern in turn.
+_GRS_COUNTRIES = "United Arab Emirates|United Kingdom|United States|South Korea|Czech Republic|Switzerland|Bangladesh|Netherlands|Pakistan|Portugal|Germany|Ireland|Türkiye|Turkey|France|Poland|India|Spain|Italy|Italia|taly|China|USA|Taiwan|Tunisia|Romania|Bulgaria|Austria|Belgium|Greece|Croatia|Denmark|Finland|Sweden|Norway|Canada|Mexico|Brazil|Morocco|Egypt|Vietnam|Japan|Thailand|Indonesia|Sri Lanka"
+_NOISE_LINES = "ICEA - GRS M.0403 rev|Last update 2021|Pag. 3|Page 12|LICENSEE|CERTIFICATE|CERTIFIED PRODUCTS AND|PROCESSES|Facilities|GRS Version|Company name|State|Web|N° Certificate|First issue|Revision|Expiring|Product / Process description|No.|date|issue|LEGENDA 1|Legend of|IT EN|Nuove certificazioni di|SOMMARIO x|Index|Registro delle ditte a|Register of textile b|Maggio, 2021|May, 2021|GRS M0403|17"
+_PART = "split_part('{}', '|', cast(source_file % {} + 1 AS int))"
+_COUNTRY, _NOISE = (_PART.format(v, v.count("|") + 1) for v in (_GRS_COUNTRIES, _NOISE_LINES))
+
 # Document lines; by position some become headings, noise, certificate lines and continuations.
-_LINE = """CASE WHEN line_number % 11 = 1 THEN concat('<< Filati ', cast(source_file % 5 AS string), ' - Yarns >>')
-    WHEN line_number % 11 = 3 THEN concat('Acme ', cast(source_file AS string), ' Tessuti Italy www.acme.it GRS 2021 - 00', cast(source_file % 9 + 1 AS string), ' 12-jan-2021 3 feb 2022 04-mar-23 recycled wool 3 GRS 4.0')
-    WHEN line_number % 11 = 4 THEN 'Holding srl' WHEN line_number % 11 = 6 THEN 'Page 12'
+_LINE = f"""CASE WHEN line_number % 11 = 1 THEN concat('<< Filati ', cast(source_file % 5 AS string), ' - Yarns >>')
+    WHEN line_number % 11 = 3 THEN concat('Acme ', cast(source_file AS string), ' Tessuti ', {_COUNTRY}, ' www.acme.it GRS 2021 - 00', cast(source_file % 9 + 1 AS string), ' 12-jan-2021 3 feb 2022 04-mar-23 recycled wool 3 GRS 4.0')
+    WHEN line_number % 11 = 4 THEN 'Holding srl' WHEN line_number % 11 = 5 THEN concat('pre - consumer part ', cast(source_file AS string), ' 9 GRS 1.0') WHEN line_number % 11 = 6 THEN {_NOISE}
     WHEN line_number % 11 = 8 THEN concat('Beta ', cast(source_file AS string), ' GRS 2020-123 5 gen 2020') ELSE raw_line END"""
 
 
@@ -22,8 +28,8 @@ def a_lines(t):
 LINES = f"""
     WITH l0 AS (SELECT doc_id AS source_file, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS line_number FROM @documents),
     l1 AS (SELECT source_file, line_number, {c.clean('raw')} AS raw_line FROM l0 WHERE {c.clean('raw')} <> ''),
-    lines AS (SELECT source_file, line_number, {_LINE} AS raw_line FROM l1),
-    k AS (SELECT *, nullif(regexp_extract(raw_line, '^<<\\s*(.+?)\\s*>>$', 1), '') AS section, regexp_matches(raw_line, '^Page\\s+[0-9]+|^[0-9]+$') AS noise,
+    lines AS (SELECT source_file, line_number, replace(regexp_replace({_LINE}, '[\u2010\u2011\u2013\u2014]', '-', 'g'), 'pre - consumer', 'pre-consumer') AS raw_line FROM l1),
+    k AS (SELECT *, nullif(regexp_extract(raw_line, '^<<\\s*(.+?)\\s*>>$', 1), '') AS section, (line_number % 11 = 6 OR raw_line = 'Legend' OR regexp_matches(raw_line, '^[0-9]+$')) AS noise,
                  regexp_matches(raw_line, '\\bGRS\\s*[0-9]{{4}}\\s*-\\s*[0-9]{{3}}\\b') AS start FROM lines),
     m AS (SELECT *, coalesce(last_value(section IGNORE NULLS) OVER w, '') AS category, max(CASE WHEN section IS NOT NULL THEN line_number END) OVER w AS h,
                  max(CASE WHEN section IS NULL AND NOT noise AND start THEN line_number END) OVER w AS record_line FROM k
@@ -39,13 +45,17 @@ query("w7_assembled_records", LINES + "SELECT * FROM rec")(lambda t: ln.assemble
 query("u3_rejected_lines", LINES + "SELECT source_file, line_number, raw_line, reason, category AS product_category_raw FROM j WHERE reason IS NOT NULL")(
     lambda t: ln.assemble_records(a_lines(t))[1]
 )
-query("t2_certificate_lines", LINES + """
+query("t2_certificate_lines", LINES + f"""
     , acme AS (SELECT *, starts_with(start_line, 'Acme') AS a FROM rec)
-    SELECT source_file, record_line, trim((CASE WHEN a THEN 'Acme ' || source_file || ' Tessuti' ELSE 'Beta ' || source_file END) || ' ' || company_lines) AS company_name, CASE WHEN a THEN 'Italy' ELSE '' END AS country,
+    SELECT source_file, record_line, trim((CASE WHEN a THEN 'Acme ' || source_file || ' Tessuti' ELSE 'Beta ' || source_file END) || ' ' || company_lines) AS company_name,
+           CASE WHEN NOT a THEN '' WHEN {_COUNTRY} IN ('taly', 'Italia') THEN 'Italy' ELSE {_COUNTRY} END AS country,
            CASE WHEN a THEN 'www.acme.it' ELSE '' END AS web, CASE WHEN a THEN 'GRS 2021-00' || (source_file % 9 + 1) ELSE 'GRS 2020-123' END AS certificate_number,
-           CASE WHEN a THEN '12-jan-2021' ELSE '5gen2020' END AS first_issue_date, CASE WHEN a THEN '3feb2022' ELSE '' END AS revision_date, CASE WHEN a THEN '04-mar-23' ELSE '' END AS expiring_date FROM acme""")(
+           CASE WHEN a THEN '12-jan-2021' ELSE '5gen2020' END AS first_issue_date, CASE WHEN a THEN '3feb2022' ELSE '' END AS revision_date, CASE WHEN a THEN '04-mar-23' ELSE '' END AS expiring_date,
+           trim((CASE WHEN a THEN 'recycled wool' ELSE '' END) || ' ' || description_lines) AS product_process_description, CASE WHEN a THEN '3' ELSE '' END AS facilities_no, CASE WHEN a THEN 'GRS 4.0' ELSE '' END AS grs_version,
+           round((40 + CASE WHEN a THEN 30 ELSE 0 END + CASE WHEN a OR description_lines <> '' THEN 20 ELSE 0 END + CASE WHEN product_category_raw <> '' THEN 10 ELSE 0 END) / 100.0, 2) AS parse_confidence FROM acme""")(
     lambda t: ln.parse_certificate_lines(ln.assemble_records(a_lines(t))[0]).select(
-        "source_file", "record_line", "company_name", "country", "web", "certificate_number", "first_issue_date", "revision_date", "expiring_date")
+        "source_file", "record_line", "company_name", "country", "web", "certificate_number", "first_issue_date", "revision_date", "expiring_date",
+        "product_process_description", "facilities_no", "grs_version", "parse_confidence")
 )
 
 query("w8_compressed_text", f"""
@@ -67,10 +77,11 @@ def tagged(t):
 
 query("w10_section_after_heading", _T + """
     , h AS (SELECT source_file, min(line_number) AS head FROM lines WHERE lower(raw_line) = 'standard' GROUP BY 1),
-    a AS (SELECT l.* FROM lines l JOIN h USING (source_file) WHERE line_number > head), s AS (SELECT source_file, min(line_number) AS stop FROM a WHERE lower(raw_line) = 'products' GROUP BY 1),
-    i AS (SELECT a.*, row_number() OVER (PARTITION BY a.source_file ORDER BY line_number) AS n FROM a LEFT JOIN s USING (source_file) WHERE stop IS NULL OR line_number < stop)
-    SELECT source_file, string_agg(raw_line, ' | ' ORDER BY line_number) AS section_text, count(*) AS section_lines FROM i WHERE n <= 5 GROUP BY 1""")(
-    lambda t: ln.section_lines(tagged(t), "source_file", "Standard", ["Products"], 5)
+    a AS (SELECT l.* FROM lines l JOIN h USING (source_file) WHERE line_number > head), s AS (SELECT source_file, min(line_number) AS stop FROM a WHERE contains(lower(raw_line), 'product') GROUP BY 1),
+    i AS (SELECT a.*, stop, row_number() OVER (PARTITION BY a.source_file ORDER BY line_number) AS n FROM a LEFT JOIN s USING (source_file))
+    SELECT source_file, coalesce(string_agg(raw_line, ' ' ORDER BY line_number) FILTER (WHERE stop IS NULL OR line_number < stop), '') AS section_text,
+           cast(count(*) FILTER (WHERE stop IS NULL OR line_number < stop) AS integer) AS section_lines FROM i WHERE n <= 8 GROUP BY 1""")(
+    lambda t: ln.section_lines(tagged(t), "source_file", "Standard", ["Product"], 8)
 )
 query("w10_value_after_label", _T + """
     , h AS (SELECT source_file, min(line_number) AS head FROM lines WHERE lower(raw_line) = 'version' GROUP BY 1)
@@ -86,26 +97,30 @@ query("t1_delimited_labels", f"""
     lambda t: ln.delimited_labels(t.documents.select("doc_id", F.expr(_LABELS).alias("labels")), ["doc_id"])
 )
 
-_FSC = """concat('Select all FSC-C', cast(doc_id AS string), ' NC-COC-00', cast(doc_id AS string), ' Valid Yes 2020-01-0', cast(doc_id % 9 + 1 AS string), ' 2025-01-01 ', lang, ' Timber Ltd Certificate Holder Valid North Shire United Kingdom Select Row FSC-D',
-    cast(doc_id AS string), ' XX-FM-1 Suspended No 2019-05-05 2024-05-05 Wood GmbH Site Suspended Germany FSC-BROKEN ', text)"""
-query("t3_licence_rows", """
+_FSC_NAMES = "|".join(fixed_values.FSC_COUNTRIES).replace("'", "''")
+_OF_DOC = "split_part('{}', '|', cast(doc_id % {} + 1 AS int))"
+_ROLE, _STATUS, _FSC_COUNTRY, _REGION = (_OF_DOC.format(v, v.count("|") + 1) for v in (
+    "Certificate holder|Participating site|Group member|Outsourcing contractor|Site", "Valid|Suspended and blocked|Suspended|Terminated and blocked|Terminated", _FSC_NAMES, "|".join(fixed_values.BLUESIGN_COUNTRIES)))
+_FSC = f"""concat('Select all FSC-C', cast(doc_id AS string), ' NC-COC-00', cast(doc_id AS string), ' Valid Yes 2020-01-0', cast(doc_id % 9 + 1 AS string), ' 2025-01-01 ', lang, ' Timber Ltd ', {_ROLE}, ' ', {_STATUS}, ' North Shire ', {_FSC_COUNTRY}, ' Select Row FSC-D',
+    cast(doc_id AS string), ' XX-FM-1 ', {_STATUS}, ' No 2019-05-05 2024-05-05 Wood GmbH Site Suspended Germany FSC-BROKEN ', text)"""
+query("t3_licence_rows", f"""
     SELECT doc_id, 'FSC-C' || doc_id AS licence, 'NC-COC-00' || doc_id AS certificate_code, 'Valid' AS cert_status, 'Yes' AS cw_dds, '2020-01-0' || (doc_id % 9 + 1) AS date_from, '2025-01-01' AS valid_to,
-           lang || ' Timber Ltd' AS organization_name, 'Certificate Holder' AS role, 'North Shire' AS state_province, 'United Kingdom' AS country_area FROM @documents
-    UNION ALL SELECT doc_id, 'FSC-D' || doc_id, 'XX-FM-1', 'Suspended', 'No', '2019-05-05', '2024-05-05', 'Wood GmbH', 'Site', '', 'Germany' FROM @documents""")(
+           lang || ' Timber Ltd' AS organization_name, {_ROLE} AS role, 'North Shire' AS state_province, {_FSC_COUNTRY} AS country_area FROM @documents
+    UNION ALL SELECT doc_id, 'FSC-D' || doc_id, 'XX-FM-1', {_STATUS}, 'No', '2019-05-05', '2024-05-05', 'Wood GmbH', 'Site', '', 'Germany' FROM @documents""")(
     lambda t: ln.split_licence_rows(t.documents.select("doc_id", F.expr(_FSC).alias("text")), "doc_id").select(
         "doc_id", "licence", "certificate_code", "cert_status", "cw_dds", "date_from", "valid_to", "organization_name", "role", "state_province", "country_area")
 )
 
 
 def _fields(t):
-    d = t.documents.select("doc_id", "lang", "source", "text", F.concat_ws(" ", "lang", "source", F.lit("South Korea")).alias("line"))
+    d = t.documents.select("doc_id", "lang", "source", "text", F.concat_ws(" ", "lang", "source", F.expr(_REGION)).alias("line"))
     name, country = ln.split_name_country("line")
     place, region = ln.split_location(F.when(F.col("doc_id") % 3 == 0, F.concat_ws(", ", "lang", "source", F.lit("Peru"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("Lima "), "source")).otherwise(""))
     label, count = ln.counted_label(F.when(F.col("doc_id") % 2 == 0, F.concat("source", F.lit(" ("), "doc_id", F.lit(")"))).otherwise(F.col("source")))
     return d, (name, country), (place, region), (label, count)
 
 
-query("t4_suffix_split", "SELECT doc_id, lang || ' ' || source AS brand_name, 'South Korea' AS country FROM @documents")(
+query("t4_suffix_split", f"SELECT doc_id, lang || ' ' || source AS brand_name, {_REGION} AS country FROM @documents")(
     lambda t: _fields(t)[0].select("doc_id", _fields(t)[1][0].alias("brand_name"), _fields(t)[1][1].alias("country"))
 )
 _C2C = "array('C2C Certified® ' || lang, 'c2c certified Material Health gold version 3.1', 'GOLD ' || source, 'Version ' || doc_id)"
@@ -113,9 +128,9 @@ query("t5_certification_facets", "SELECT doc_id, 'General | Material Health' AS
     lambda t: ln.certification_facets(t.documents.select("doc_id", F.expr(_C2C).alias("texts"))).drop("texts")
 )
 query("t6_positional_tags", """
-    SELECT doc_id, lang AS product_category, source AS organization_name, CASE WHEN doc_id % 2 = 0 THEN 'Global' ELSE '' END AS geographical_scope, '' AS epd_type, '2020-01-02' AS version_date, '2025-03-04' AS validity_date FROM @documents""")(
-    lambda t: ln.positional_tags(t.documents.select("doc_id", F.expr("filter(array(lang, source, if(doc_id % 2 = 0, 'Global', '')), x -> x <> '')").alias("tags"),
-                                                    F.concat(F.lit("Version date: 2020-01-02 Valid until 2025-03-04 "), "text").alias("text"))).drop("tags", "text")
+    SELECT doc_id, lang AS product_category, source AS organization_name, CASE WHEN doc_id % 2 = 0 THEN 'Global' ELSE '' END AS geographical_scope, '' AS epd_type, lang || ' | ' || source || CASE WHEN doc_id % 2 = 0 THEN ' | Global' ELSE '' END AS all_tags, '2020-01-02' AS version_date, '3/4/2025' AS validity_date FROM @documents""")(
+    lambda t: ln.positional_tags(t.documents.select("doc_id", F.expr("filter(array('', lang, ' ', source, if(doc_id % 2 = 0, 'Global', '')), x -> true)").alias("tags"),
+                                                    F.concat(F.lit("Version date: 2020-01-02 Validity  date: 3/4/2025 "), "text").alias("text"))).drop("tags", "text")
 )
 _BRAND = "CASE p_partkey % 5 WHEN 0 THEN concat(p_brand, ' - ', p_name) WHEN 1 THEN concat('The Honest ', p_name) WHEN 2 THEN concat(p_name, ': ', p_brand) WHEN 3 THEN concat('one two three four five six - ', p_name) ELSE p_name END"
 query("t7_brand_guess", """
