@@ -110,7 +110,8 @@ def decide(pairs: DataFrame, keep_no_from=80.0) -> DataFrame:
     """Add the outcome columns; "No" rows stay only from ``keep_no_from`` up."""
     is_supplier = F.col("registry_usage_mode") == "supplier_oriented_registry"
     outcome = F.when(is_supplier, supplier_decision()).otherwise(direct_decision())
-    decided = pairs.withColumn("_o", outcome).select(*pairs.columns, "_o.*")
+    # A generator keeps the optimiser from copying the whole cascade into every use of its columns.
+    decided = pairs.select(*pairs.columns, F.inline(F.array(outcome)))
     return decided.filter((F.col("decision") != NO) | (F.col("final_score") >= keep_no_from))
 
 
@@ -161,12 +162,9 @@ def with_no_match_rows(best: DataFrame, items: DataFrame, key, certifications) -
     return full.fillna({n: v for n, v in NO_MATCH.items() if n in best.columns})
 
 
-def bounded_certifications(registry: DataFrame, limit=1000):
-    """Sorted certification names, refused beyond ``limit`` (14 are expected)."""
-    rows = registry.select("certification").filter("certification <> ''").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} certifications")
-    return sorted(r[0] for r in rows)
+def certification_names(registry: DataFrame):
+    """Sorted certification names: one for each scheme, whatever the number of rows."""
+    return sorted(r[0] for r in registry.select("certification").filter("certification <> ''").distinct().collect())
 
 
 def matching_summary(best: DataFrame, key="configurator_id") -> DataFrame:
@@ -177,32 +175,42 @@ def matching_summary(best: DataFrame, key="configurator_id") -> DataFrame:
     )
 
 
-def enriched_wide(best: DataFrame, certifications, key="configurator_id") -> DataFrame:
-    """One row per item with 13 columns per certification; the pivot values are given, so Spark
-    needs no extra pass to find them."""
-    direct = F.col("decision").isin(YES, REVIEW)
-    supplier = F.col("decision") == SUPPLIER
-    keep = lambda test, value: F.when(test, value).otherwise("")
-    fields = {
-        "Direct Certification Status": F.when(F.col("decision") == YES, "Yes").when(F.col("decision") == REVIEW, "Review").otherwise("No"),
-        "Direct Claim Type": keep(direct, F.col("site_claim_type")),
-        "Direct Evidence Level": keep(direct, F.col("matched_evidence_level")),
-        "Direct Confidence": keep(direct, F.col("confidence")),
-        "Direct Match Method": keep(direct, F.col("match_method")),
-        "Direct Matched Entity": keep(direct, F.col("matched_registry_entity")),
-        "Direct Matched Product": keep(direct, F.col("matched_registry_product")),
-        "Direct Match Score": F.when(direct, F.col("final_score")).otherwise(0.0),
-        "Direct Evidence": keep(direct, F.col("evidence_text")),
+#: Columns of a best match from which the wide fields are made.
+CELL = ["decision", "site_claim_type", "matched_evidence_level", "confidence", "match_method", "matched_registry_entity",
+        "matched_registry_product", "final_score", "evidence_text", "review_reason"]
+
+
+def _wide_fields(cell):
+    value = lambda n: cell.getField(n)
+    decision = value("decision")
+    direct, supplier = decision.isin(YES, REVIEW), decision == SUPPLIER
+    keep = lambda test, name, default="": F.when(test, value(name)).otherwise(default)
+    return {
+        "Direct Certification Status": F.when(decision == YES, "Yes").when(decision == REVIEW, "Review").otherwise("No"),
+        "Direct Claim Type": keep(direct, "site_claim_type"),
+        "Direct Evidence Level": keep(direct, "matched_evidence_level"),
+        "Direct Confidence": keep(direct, "confidence"),
+        "Direct Match Method": keep(direct, "match_method"),
+        "Direct Matched Entity": keep(direct, "matched_registry_entity"),
+        "Direct Matched Product": keep(direct, "matched_registry_product"),
+        "Direct Match Score": keep(direct, "final_score", 0.0),
+        "Direct Evidence": keep(direct, "evidence_text"),
         "Supplier Candidate": F.when(supplier, "Yes").otherwise("No"),
-        "Supplier Candidate Entity": keep(supplier, F.col("matched_registry_entity")),
-        "Supplier Candidate Score": F.when(supplier, F.col("final_score")).otherwise(0.0),
-        "Supplier Candidate Reason": keep(supplier, F.col("review_reason")),
+        "Supplier Candidate Entity": keep(supplier, "matched_registry_entity"),
+        "Supplier Candidate Score": keep(supplier, "final_score", 0.0),
+        "Supplier Candidate Reason": keep(supplier, "review_reason"),
     }
-    packed = best.select(key, "certification", F.struct(*[v.alias(n) for n, v in fields.items()]).alias("cell"))
+
+
+def enriched_wide(best: DataFrame, certifications, key="configurator_id", catalogue=None) -> DataFrame:
+    """The catalogue's columns (``catalogue``, with the same key), or the key alone, and 13 columns per certification.
+
+    One narrow struct per certification is pivoted, and its fields are made afterwards; the pivot values
+    are given, so Spark needs no extra pass to find them. Without a best match a cell says "No".
+    """
+    packed = best.select(key, "certification", F.struct(*CELL).alias("cell"))
     pivoted = packed.groupBy(key).pivot("certification", list(certifications)).agg(F.first("cell"))
-    columns = []
-    for cert in certifications:
-        for name in fields:
-            default = 0.0 if name.endswith("Score") else "No" if name in ("Direct Certification Status", "Supplier Candidate") else ""
-            columns.append(F.coalesce(F.col(f"`{cert}`").getField(name), F.lit(default)).alias(f"{cert} {name}"))
-    return pivoted.select(key, *columns)
+    if catalogue is not None:
+        pivoted = catalogue.join(pivoted, key, "left")
+    kept = catalogue.columns if catalogue is not None else [key]
+    return pivoted.select(*kept, *[v.alias(f"{cert} {name}") for cert in certifications for name, v in _wide_fields(F.col(f"`{cert}`")).items()])

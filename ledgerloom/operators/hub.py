@@ -7,6 +7,7 @@ from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions import rules
 from ledgerloom.functions.text import col
 from ledgerloom.operators.ordered import numbered, top_n
+from ledgerloom.sources.sinks import written
 
 NUMBER = "^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$"
 
@@ -97,7 +98,7 @@ _ACCENTS = _canonical_accents()
 _MARKS = "".join(chr(c) for c in range(0x300, 0x370))
 
 
-def assign_slugs(rows: DataFrame, order="src_ordinal", max_passes=50) -> DataFrame:
+def assign_slugs(rows: DataFrame, order="src_ordinal") -> DataFrame:
     """Unique slug per row, handed out in source order: base, base-2, base-3, ...
 
     Numbering alone settles everything unless a numbered slug equals another row's own base
@@ -112,7 +113,7 @@ def assign_slugs(rows: DataFrame, order="src_ordinal", max_passes=50) -> DataFra
         based = based.withColumn("_base", F.when(F.col("_base") == "", stand_in).otherwise(F.col("_base"))).drop("_all", "_position")
     ranked = numbered(based, "_base", order, "_number")
     lost = None
-    for _ in range(max_passes):
+    while True:
         slugged = _with_slug(ranked, lost, order)
         held_twice = slugged.groupBy("slug").agg(
             F.count("*").alias("_n"), F.min(order).alias("_owner")
@@ -122,9 +123,7 @@ def assign_slugs(rows: DataFrame, order="src_ordinal", max_passes=50) -> DataFra
         if contested.isEmpty():
             return slugged.drop("_base", "_number", "_suffix")
         lost = contested if lost is None else lost.unionByName(contested)
-        if rows.sparkSession.conf.get("spark.checkpoint.dir", None):
-            lost = lost.checkpoint()
-    raise ValueError(f"slug contests unresolved after {max_passes} passes")
+        lost = written(lost)  # each pass settles slugs for good, so passes end; none repeats earlier ones
 
 
 def _with_slug(ranked, lost, order):

@@ -68,12 +68,14 @@ def _rows(registry):
     return registry.select(*EVIDENCE, "master_record_id", "src_ordinal", "src_tie")
 
 
-def evidence_rows(registry: DataFrame, keep=5) -> DataFrame:
-    """First rows of every distinct evidence.
+def evidence_rows(registry: DataFrame, keep=None) -> DataFrame:
+    """Rows of the registry; with ``keep`` only the first ones of every distinct evidence.
 
-    Rows of one evidence score alike and rank by source order, and no result shows more than the
-    ``keep`` best per item and certification, so later rows of an evidence can never appear.
+    Rows of one evidence score alike and rank by source order, so a result of at most ``keep`` rows per
+    item and certification never shows later ones. All candidates need all rows.
     """
+    if keep is None:
+        return _rows(registry)
     return top_n(_rows(registry), EVIDENCE, [F.asc("src_ordinal"), F.asc("src_tie")], keep, "_rank").drop("_rank")
 
 
@@ -131,25 +133,27 @@ def pair_features(pairs: DataFrame, score=name_score) -> DataFrame:
     })
 
 
-def all_candidates(items: DataFrame, registry: DataFrame) -> DataFrame:
-    """Merged candidates of the four blocking stages, per item profile and registry row."""
+def all_candidates(items: DataFrame, registry: DataFrame, keep=None, company_cutoff=80, product_cutoff=82, names=8, rows_per_name=5) -> DataFrame:
+    """Merged candidates of the four blocking stages, per item profile and registry row: all, or those
+    that can be among the ``keep`` best of an item and certification."""
     profiles = item_profiles(items)
     # Keys are computed once; the stages then read narrow columns.
     registry = written(_rows(registry))
-    rows = evidence_rows(registry)
+    rows = evidence_rows(registry, keep)
     stages = [
         exact_candidates(profiles, rows),
         domain_candidates(profiles, rows),
-        fuzzy_candidates(profiles, registry, "company_strict", "entity_strict", 80, 3, HINTS[2]),
-        fuzzy_candidates(profiles, registry, "product_strict", "registry_product_strict", 82, 4, HINTS[3]),
+        fuzzy_candidates(profiles, registry, "company_strict", "entity_strict", company_cutoff, 3, HINTS[2], names, rows_per_name),
+        fuzzy_candidates(profiles, registry, "product_strict", "registry_product_strict", product_cutoff, 4, HINTS[3], names, rows_per_name),
     ]
     carried = [*PROFILE, *EVIDENCE, "src_ordinal", "src_tie"]
     return merge_candidates(union_all(stages), ["profile", "master_record_id"], carried)
 
 
-def match(items: DataFrame, registry: DataFrame):
-    """(decided candidates per item profile, profile of each item)."""
-    decided = decisions.decide(pair_features(all_candidates(items, registry)))
+def match(items: DataFrame, registry: DataFrame, keep, keep_no_from=80.0, **limits):
+    """(decided candidates per item profile, profile of each item) for results of ``keep`` rows each;
+    ``limits`` are the cutoffs and limits of ``all_candidates``."""
+    decided = decisions.decide(pair_features(all_candidates(items, registry, keep, **limits)), keep_no_from)
     members = items.join(item_profiles(items), PROFILE).select("id", "profile")
     return decided, members
 
@@ -184,17 +188,17 @@ def audit_rows(chosen: DataFrame, items: DataFrame, registry: DataFrame, stamp=N
     return full.fillna("", subset=strings).select(*fixed.AUDIT_COLUMNS)
 
 
-def best_matches(items: DataFrame, registry: DataFrame, certifications=None, stamp=None) -> DataFrame:
+def best_matches(items: DataFrame, registry: DataFrame, certifications=None, stamp=None, **limits) -> DataFrame:
     """One audit row per item and certification."""
-    certifications = certifications or decisions.bounded_certifications(registry)
-    decided, members = match(items, registry)
+    certifications = certifications or decisions.certification_names(registry)
+    decided, members = match(items, registry, 1, **limits)
     best = decisions.best_candidates(decided, ["profile", "certification"], POSITION).select("profile", "certification", "master_record_id", *OUTCOME)
     full = decisions.with_no_match_rows(best, members, "profile", certifications)
     return audit_rows(members.join(full, "profile"), items, registry, stamp)
 
 
-def candidate_matches(items: DataFrame, registry: DataFrame, stamp=None) -> DataFrame:
-    """The five best candidates per item and certification."""
-    decided, members = match(items, registry)
-    top = decisions.top_candidates(decided, ["profile", "certification"], POSITION)
+def candidate_matches(items: DataFrame, registry: DataFrame, stamp=None, n=5, **limits) -> DataFrame:
+    """The ``n`` best candidates per item and certification."""
+    decided, members = match(items, registry, n, **limits)
+    top = decisions.top_candidates(decided, ["profile", "certification"], POSITION, n)
     return audit_rows(members.join(top, "profile"), items, registry, stamp)

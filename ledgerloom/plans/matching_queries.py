@@ -199,12 +199,14 @@ def _wide_sql():
         "Supplier Candidate Score": f"CASE WHEN {sup} THEN final_score ELSE 0 END", "Supplier Candidate Reason": f"CASE WHEN {sup} THEN review_reason ELSE '' END",
     }
     picks = [f"max({v}) FILTER (WHERE certification = '{cert}') AS \"{cert} {n}\"" for cert in CERTIFICATIONS for n, v in fields.items()]
-    return DECIDED + f"SELECT configurator_id, {', '.join(picks)} FROM best GROUP BY 1"
+    wide = f"SELECT configurator_id, {', '.join(picks)} FROM best GROUP BY 1"
+    return DECIDED + f"SELECT p_name, p_brand, p_type, w.* FROM @part JOIN ({wide}) w ON p_partkey + 1 = configurator_id"
 
 
 query("a31_enriched_wide", _wide_sql())(
     lambda t: decisions.enriched_wide(best(t).withColumn("evidence_text", F.concat_ws(" ", "matched_registry_entity", "matched_registry_product"))
-                                      .withColumn("evidence_text", F.when(F.col("decision").isin("Direct Yes", "Direct Review"), F.col("evidence_text")).otherwise("")), CERTIFICATIONS)
+                                      .withColumn("evidence_text", F.when(F.col("decision").isin("Direct Yes", "Direct Review"), F.col("evidence_text")).otherwise("")), CERTIFICATIONS,
+                                      catalogue=t.part.select((F.col("p_partkey") + 1).alias("configurator_id"), "p_name", "p_brand", "p_type"))
 )
 
 query("e6_best_match_audit")(lambda t: matching.best_matches(items(t), registry(t), CERTIFICATIONS, stamp="-"))

@@ -264,12 +264,41 @@ def _reread(t):
     rows = t.a_registry.select("certification", F.col("certified_company").alias("Company Name"), F.col("certified_brand").alias("Brand"), F.col("certified_product").alias("Product"),
                                F.col("certificate_identifier").alias("Licence"), F.col("source_url").alias("Profile URL"), F.col("certification").alias("certification_name"))
     rows.write.partitionBy("certification").option("header", True).option("quoteAll", True).option("escape", '"').csv(folder)
-    return registry_files.read_csv_registry(t.spark, folder).groupBy("certification").agg(
+    return registry_files.read_csv_registry(t.spark, folder, quoted_lines=True).groupBy("certification").agg(
         F.count("*").alias("rows"), F.count_distinct("certified_company").alias("companies"), F.count_if(F.col("certificate_identifier") != "").alias("identified"))
 
 
 query("s2_registry_files", f"""
     SELECT certification, count(*) AS rows, count(DISTINCT {c.clean('certified_company')}) AS companies, count(*) AS identified FROM a_registry GROUP BY 1""")(_reread)
+
+
+# Registry folders with their expected names; each holds several CSV files with brands of their own.
+_FOLDERS = {"B Corp": "b_corp", "Bluesign": "bluesign", "EU Ecolabel": "eu_ecolabel", "GOTS": "gots"}
+
+
+def _folders(t):
+    folder = f"{sinks.shared_folder(t.spark)}/registries"
+    rows = t.lineitem.select(
+        F.element_at(F.array(*[F.lit(f) for f in _FOLDERS.values()]), (F.col("l_orderkey") % 4 + 1).cast("int")).alias("at"),
+        F.format_string("companies_%d.csv", F.col("l_linenumber")).alias("file"),
+        F.concat(F.lit("Company "), F.col("l_suppkey")).alias("Company Name"), F.concat(F.lit("Product "), F.col("l_partkey") % 50).alias("Product"),
+        F.concat(F.lit("L-"), "l_orderkey").alias("Licence"))
+    rows.repartition("at", "file").sortWithinPartitions("Licence").write.partitionBy("at", "file").option("header", True).csv(folder)
+    return folder
+
+
+def _master(t):
+    """Folders are read where Spark wrote them: a folder's name holds the registry's, a file's is Spark's."""
+    folder = _folders(t)
+    rows = registry_files.read_csv_registry(t.spark, folder)
+    return rows.groupBy("source_file").agg(
+        F.count("*").alias("rows"), F.min("source_row_number").alias("first_row"), F.max("source_row_number").alias("last_row"),
+        F.count_distinct("source_row_number").alias("places")).groupBy("first_row").agg(
+        F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum(F.col("last_row") - 1).alias("last_places"), F.sum("places").alias("places"))
+
+
+query("s2_row_numbers", """
+    SELECT cast(2 AS bigint) AS first_row, count(DISTINCT (l_orderkey % 4, l_linenumber)) AS files, count(*) AS rows, count(*) AS last_places, count(*) AS places FROM @lineitem""")(_master)
 query("l2_ordered_output", "SELECT certification, certificate_identifier, src_ordinal, src_tie FROM a_registry")(
     lambda t: t.a_registry.select("certification", "certificate_identifier", "src_ordinal", "src_tie").orderBy("certification", "certificate_identifier", "src_ordinal", "src_tie")
 )

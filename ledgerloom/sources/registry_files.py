@@ -1,12 +1,13 @@
 """Registry folders: manifest, multi-file reading, strict-header CSV."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions import rules, text
-from ledgerloom.operators.ordered import union_all
-from ledgerloom.operators.registry import standardise
+from ledgerloom.operators.ordered import keep_first, union_all
+from ledgerloom.operators.registry import MASTER_DEDUP, infer_certification, standardise
+from ledgerloom.sources.sinks import written
 
 
 def list_files(spark: SparkSession, folder) -> DataFrame:
@@ -56,15 +57,34 @@ def manifest(spark: SparkSession, folder) -> DataFrame:
         F.coalesce("selected_files", F.array().cast("array<string>")).alias("selected_files"), F.startswith(F.coalesce("selection_reason", F.lit("")), F.lit("fallback")).alias("fallback_used"))
 
 
-def read_csv_registry(spark: SparkSession, folder, encoding="UTF-8") -> DataFrame:
-    """All CSV files below the folder to the master schema, certification from the partition folder.
+def _numbered_rows(spark, paths, encoding, quoted_lines) -> DataFrame:
+    """CSV rows as text with their file, and ``src_ordinal``: their place in it from 0.
 
-    Files of one folder share a header; every value is read as text. Quoted values may hold line
-    breaks, so a file is one unit of work and large registries should come as many files.
+    A file may be read in several splits. Rows of a split have successive ids, so a place is the rows of the
+    file's splits before plus the distance to the split's first id; one row for each split is joined.
     """
-    rows = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", True).option("inferSchema", False).csv(folder)
-    numbered = rows.select("*", F.col("_metadata.file_path").alias("source_file"), F.lit("csv").alias("source_sheet"), F.monotonically_increasing_id().alias("src_ordinal"))
-    return standardise(numbered.withColumn("certification", F.col("certification").cast("string")), stamp="-")
+    rows = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", quoted_lines).option("inferSchema", False).csv(paths)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"), F.lit("csv").alias("source_sheet"),
+                       F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_id"))
+    splits = rows.groupBy("source_file", "_split").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("source_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("source_file", "_split", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(splits, ["source_file", "_split"]).withColumn("src_ordinal", F.col("_id") + F.col("_shift")).drop("_split", "_id", "_shift")
+
+
+def _standardised(rows: DataFrame) -> DataFrame:
+    """Rows with the certification of their file to the master schema; places in files are kept."""
+    certified = infer_certification(rows, ["src_ordinal"])
+    return standardise(rows.drop("certification").join(certified, "source_file"), stamp="-")
+
+
+def read_csv_registry(spark: SparkSession, folder, encoding="UTF-8", quoted_lines=False) -> DataFrame:
+    """All CSV files below the folder to the master schema.
+
+    Files of one folder share a header; every value is read as text. ``quoted_lines`` is for files with line
+    breaks in quoted values, of which each is one unit of work.
+    """
+    return _standardised(_numbered_rows(spark, folder, encoding, quoted_lines))
 
 
 def headers(spark: SparkSession, files, encoding="UTF-8"):
@@ -78,22 +98,39 @@ def headers(spark: SparkSession, files, encoding="UTF-8"):
     return found, errors
 
 
-def read_selected(spark: SparkSession, files, encoding="UTF-8"):
+def read_selected(spark: SparkSession, files, encoding="UTF-8", quoted_lines=False):
     """(standardised rows, errors by file): files with one header are read together."""
     found, errors = headers(spark, files, encoding)
     groups = {}
     for path, header in found.items():
         groups.setdefault(header, []).append(path)
-    frames = []
-    for paths in groups.values():
-        rows = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", True).csv(paths)
-        rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"), F.lit("csv").alias("source_sheet"), F.monotonically_increasing_id().alias("src_ordinal"))
-        if "certification" not in rows.columns:
-            rows = rows.withColumn("certification", F.lit(""))
-        frames.append(standardise(rows, stamp="-"))
+    frames = [_standardised(_numbered_rows(spark, paths, encoding, quoted_lines)) for paths in groups.values()]
     return (union_all(frames) if frames else None), errors
 
 
+def inventory(rows: DataFrame, errors) -> DataFrame:
+    """One row per source file: its certification, rows read and error, if it could not be read."""
+    read = rows.groupBy("source_file").agg(F.min("certification").alias("certification"), F.count("*").alias("rows"), F.lit("").alias("error"))
+    failed = rows.sparkSession.createDataFrame([(f, "", 0, e) for f, e in errors.items()], "source_file string, certification string, rows long, error string")
+    return read.unionByName(failed)
+
+
+def build_master(spark: SparkSession, folder, encoding="UTF-8", quoted_lines=False):
+    """(master registry, inventory, manifest) of the registry folders below ``folder``.
+
+    The manifest chooses each folder's files; their rows are read, standardised, united and deduplicated,
+    the first row of a key staying.
+    """
+    listed = manifest(spark, folder)
+    files = sorted({f for r in listed.select("selected_files").collect() for f in r.selected_files if f.lower().endswith(".csv")})
+    rows, errors = read_selected(spark, files, encoding, quoted_lines)
+    if rows is None:
+        raise ValueError(f"no readable registry file below {folder}")
+    rows = written(rows)
+    master = keep_first(rows, MASTER_DEDUP, ["source_file", "src_ordinal"])
+    return master, inventory(rows, errors), listed
+
+
 def read_strict_csv(spark: SparkSession, path, required, constants=()) -> DataFrame:
     """CSV with the separator its header shows; required columns must exist, constants are added."""
     header = spark.read.text(path).limit(1).collect()[0][0].lstrip("﻿")
