@@ -143,15 +143,15 @@ def search(vectors: DataFrame, every=20, k=20, recall=RECALL, sample=SAMPLE, par
     """(query_id, rank, vec_id, score) for every row whose id is divisible by ``every``.
 
     All rows are indexed. Rows whose vector is null, zero, or holds null or non-finite components, or
-    is not as long as the sample's most frequent length, take no part; a null id is never a query. A
-    row is no neighbour of rows with its own id. With fewer than 8 sampled vectors for each part, all are searched.
+    is not as long as the sample's most frequent length, or whose id is null, take no part. A row is no
+    neighbour of rows with its own id. With fewer than 8 sampled vectors for each part, all are searched.
     """
     import pyarrow as pa
 
     spark = vectors.sparkSession
     value = F.transform(vectors[vector], lambda x: x.cast("double"))
     usable = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), value.alias("v")).filter(usable)
+    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), value.alias("v")).filter(usable & F.col("vec_id").isNotNull())
     drawn = [x.v for x in rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(sample).collect()]  # at most ``sample`` vectors
     lengths = np.bincount([len(x) for x in drawn]) if drawn else np.array([0, 1])
     dim = int(lengths.argmax())
