@@ -1,6 +1,6 @@
 """Supplier-source discovery: companies, candidate fan-out, page text and links, typing, scores."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
@@ -99,6 +99,12 @@ def reported_total(value, patterns) -> Column:
 
 # Patterns of reported totals.
 PARTNER_TOTALS = ["([0-9,]+)\\s+certified\\s+partners", "([0-9,]+)\\s+result\\(s\\)", "([0-9,]+)\\s+results"]
+B_CORP_TOTALS = [
+    "Showing\\s+all\\s+([0-9,]+)\\s+B\\s+Corps", "Showing\\s+[0-9,]+\\s*-\\s*[0-9,]+\\s+of\\s+([0-9,]+)", "of\\s+([0-9,]+)", "([0-9,]+)\\s+B\\s+Corps"]
+EWG_TOTALS = [
+    "We\\s+found\\s+([0-9,]+)\\s+items", "found\\s+([0-9,]+)\\s+items", "([0-9,]+)\\s+items\\s+that\\s+are\\s+EWG\\s+Verified"]
+# Words of catalogue searches.
+CATALOGUE_SEARCH_WORDS = ["configurator", "customizer", "product builder", "design your own", "configurateur", "personnaliser", "configurador", "personalizar", "konfigurator"]
 
 # --- companies --------------------------------------------------------------------------------
 
@@ -148,6 +154,21 @@ def search_queries(companies: DataFrame, name="company_name", limit=4, templates
     return filled.select(*companies.columns, F.posexplode(listed).alias("query_number", "query"))
 
 
+def catalogue_queries(items: DataFrame, company="company", product="product", country="country") -> DataFrame:
+    """Searches for every catalogue row, in order: with and without the country for each search word, then the
+    names alone. Equal ones, whatever their case, come once, and so do empty ones not at all."""
+    c, p, n = (clean(x) for x in (company, product, country))
+    joined = lambda *parts: clean(F.concat_ws(" ", *parts))
+    listed = F.filter(F.array(
+        *[joined(p, c, n, F.lit(w)) for w in CATALOGUE_SEARCH_WORDS], *[joined(p, c, F.lit(w)) for w in CATALOGUE_SEARCH_WORDS], joined(c, p, n)), lambda q: q != "")
+    places = F.posexplode(listed).alias("_at", "query")
+    rows = items.select("*", places)
+    first = rows.withColumn("_k", F.lower("query"))
+    kept = keep_first(first, [*items.columns, "_k"], "_at")
+    number = F.row_number().over(Window.partitionBy(*items.columns).orderBy("_at"))  # 19 rows at most
+    return kept.select(*items.columns, number.alias("query_number"), "query")
+
+
 def candidate_urls(hosts: DataFrame, host="host", paths_per_host=35) -> DataFrame:
     """Home page variants, common paths and sitemap addresses of every host."""
     h = F.col(host)

@@ -69,6 +69,15 @@ query("t10_reported_totals", f"""
     .select("doc_id", F.coalesce(d.reported_total("x", d.PARTNER_TOTALS), F.lit(-1)).alias("total"))
 )
 
+_B_CORP = "CASE doc_id % 4 WHEN 0 THEN concat('Showing all 1,', cast(100 + doc_id AS string), ' B Corps') WHEN 1 THEN concat('showing 1 - 20 of 2,', cast(doc_id AS string)) WHEN 2 THEN concat(cast(doc_id AS string), ' b corps') ELSE concat('one of  7', cast(doc_id AS string)) END"
+_EWG = "CASE doc_id % 3 WHEN 0 THEN concat('We found 3,', cast(100 + doc_id AS string), ' items, we') WHEN 1 THEN concat('it found ', cast(doc_id AS string), '  items') ELSE concat(cast(doc_id AS string), ' items that are EWG verified') END"
+for _name, _text, _patterns, _want in (
+    ("b_corp", _B_CORP, d.B_CORP_TOTALS, "CASE doc_id % 4 WHEN 0 THEN '1' || (100 + doc_id) WHEN 1 THEN '2' || doc_id WHEN 2 THEN doc_id || '' ELSE '7' || doc_id END"),
+    ("ewg", _EWG, d.EWG_TOTALS, "CASE doc_id % 3 WHEN 0 THEN '3' || (100 + doc_id) ELSE doc_id || '' END"),
+):
+    query(f"t10_{_name}_totals", f"SELECT doc_id, cast({_want} AS bigint) AS total FROM @documents")(
+        lambda t, x=_text, p=_patterns: t.documents.select("doc_id", F.concat(F.expr(x), F.lit(" "), F.regexp_replace("text", "[0-9]", "")).alias("x")).select("doc_id", d.reported_total("x", p).alias("total")))
+
 # --- companies ------------------------------------------------------------------------------------
 _U1, _U2 = c.clean("configurator_url"), c.clean("alternative_url")
 COMPANIES = f"""
@@ -97,6 +106,20 @@ query("t11_search_queries", COMPANIES + f"""
     lambda t: d.search_queries(companies(t).select("company_name"))
 )
 
+_SEARCH_WORDS = "configurator|customizer|product builder|design your own|configurateur|personnaliser|configurador|personalizar|konfigurator"
+query("t11_catalogue_queries", f"""
+    WITH i AS (SELECT p_partkey AS id, p_brand AS company, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END AS product, CASE WHEN p_partkey % 2 = 0 THEN 'Italy' ELSE '' END AS country FROM @part),
+    w AS (SELECT unnest(string_split('{_SEARCH_WORDS}', '|')) AS word, generate_subscripts(string_split('{_SEARCH_WORDS}', '|'), 1) AS n),
+    q AS (SELECT i.*, n AS place, trim(regexp_replace(product || ' ' || company || ' ' || country || ' ' || word, ' +', ' ', 'g')) AS query FROM i, w
+          UNION ALL SELECT i.*, 9 + n, trim(regexp_replace(product || ' ' || company || ' ' || word, ' +', ' ', 'g')) FROM i, w
+          UNION ALL SELECT i.*, 19, trim(regexp_replace(company || ' ' || product || ' ' || country, ' +', ' ', 'g')) FROM i),
+    f AS (SELECT *, row_number() OVER (PARTITION BY id, lower(query) ORDER BY place) AS rn FROM q)
+    SELECT id, company, product, country, row_number() OVER (PARTITION BY id ORDER BY place) AS query_number, query FROM f WHERE rn = 1""")(
+    lambda t: d.catalogue_queries(t.part.select(
+        F.col("p_partkey").alias("id"), F.col("p_brand").alias("company"), F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.col("p_name")).alias("product"),
+        F.when(F.col("p_partkey") % 2 == 0, "Italy").otherwise("").alias("country")))
+)
+
 _PATHS = ", ".join(f"({c.quoted([m])}, {c.quoted([a])}, {c.quoted([b])})" for m, a, b in
                    [("official_homepage", p, "/") for p in ("https://", "https://www.", "http://", "http://www.")]
                    + [("official_common_path", "https://", p) for p in fixed.COMMON_PATHS[:35]] + [("official_sitemap", "https://", p) for p in ("/sitemap.xml", "/sitemap_index.xml")])

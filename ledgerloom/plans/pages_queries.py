@@ -272,6 +272,22 @@ query("s2_registry_files", f"""
     SELECT certification, count(*) AS rows, count(DISTINCT {c.clean('certified_company')}) AS companies, count(*) AS identified FROM a_registry GROUP BY 1""")(_reread)
 
 
+
+
+def _appended(t):
+    """Order lines appended in three batches with keys in common, the second one twice."""
+    target = f"{sinks.shared_folder(t.spark)}/appended"
+    rows = t.lineitem.select(F.concat_ws("-", "l_partkey", "l_suppkey").alias("record_key"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("src_ordinal"), (F.col("l_linenumber") % 3).alias("batch_number"))
+    for number in (0, 1, 1, 2):
+        jobs.append_batch(rows.filter(F.col("batch_number") == number).drop("batch_number"), number, target)
+    return t.spark.read.parquet(target).select("record_key", "src_ordinal", F.col("batch").cast("bigint").alias("batch"))
+
+
+query("r1_append_batches", """
+    WITH r AS (SELECT l_partkey || '-' || l_suppkey AS record_key, l_orderkey * 10 + l_linenumber AS src_ordinal, l_linenumber % 3 AS batch FROM @lineitem),
+    f AS (SELECT *, row_number() OVER (PARTITION BY record_key ORDER BY batch, src_ordinal) AS rn FROM r)
+    SELECT record_key, src_ordinal, cast(batch AS bigint) AS batch FROM f WHERE rn = 1""")(_appended)
+
 # Registry folders with their expected names; each holds several CSV files with brands of their own.
 _FOLDERS = {"B Corp": "b_corp", "Bluesign": "bluesign", "EU Ecolabel": "eu_ecolabel", "GOTS": "gots"}
 

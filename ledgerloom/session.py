@@ -1,12 +1,11 @@
 """Session settings used by tests and the benchmark on one machine; a cluster brings its own."""
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores="8", app="ledgerloom"):
+def local_session(cores="8", app="ledgerloom", scratch=None):
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -16,8 +15,9 @@ def local_session(cores="8", app="ledgerloom"):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
     )
+    if scratch:  # else intermediate tables go under the warehouse
+        builder = builder.config("spark.checkpoint.dir", scratch)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

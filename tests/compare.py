@@ -2,6 +2,7 @@
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -63,7 +64,7 @@ def main():
     args = sys.argv[1:]
     if args and args[0].startswith("/"):
         folder = args.pop(0)
-    spark = local_session()
+    spark = local_session(scratch=tempfile.mkdtemp(prefix="spark-"))
     con = checker(folder, TABLES)
     checks, bad = entry.oracle_sql(), 0
     for name, run in entry.queries().items():
