@@ -68,7 +68,7 @@ def test_manifest_and_reading(spark, tmp_path):
 
 
 def test_records_from_lines(spark):
-    texts = ["loose", "<< Filati - Yarns >>", "Acme srl Italy www.acme.it GRS 2021-001 12-jan-2021 3 feb 2022 04-mar-23", "& Figli spa", "recycled wool 3 GRS 4.0", "Page 2", "<< Tessuti >>", "after",
+    texts = ["loose", "<< Filati - Yarns >>", "Acme srl Italy www.acme.it GRS 2021-001 12-jan-2021 3 feb 2022 04-mar-23 recycled 3 GRS 4.0", "& Figli spa", "wool, post - consumer 9 GRS 1.0", "Page 2", "<< Tessuti >>", "after",
              "Beta GRS 2020 - 123 5 gen 2020 yarns"]
     rows = spark.createDataFrame([("f", i + 1, t) for i, t in enumerate(texts)], "source_file string, line_number long, raw_line string")
     records, rejected = lines.assemble_records(rows, chunk_rows=2)
@@ -76,7 +76,7 @@ def test_records_from_lines(spark):
     first, second = lines.parse_certificate_lines(records).orderBy("record_line").collect()
     assert (first.company_name, first.country, first.web, first.certificate_number) == ("Acme srl & Figli spa", "Italy", "www.acme.it", "GRS 2021-001")
     assert (first.first_issue_date, first.revision_date, first.expiring_date) == ("12-jan-2021", "3feb2022", "04-mar-23")
-    assert (first.product_process_description, first.facilities_no, first.grs_version, first.parse_confidence) == ("recycled wool", "3", "GRS 4.0", 1.0)
+    assert (first.product_process_description, first.facilities_no, first.grs_version, first.parse_confidence) == ("recycled wool, post-consumer 9 GRS 1.0", "3", "GRS 4.0", 1.0)
     assert (second.company_name, second.country, second.first_issue_date, second.product_process_description, second.parse_confidence) == ("Beta", "", "5gen2020", "yarns", 0.7)
 
 
