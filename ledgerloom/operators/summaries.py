@@ -32,25 +32,26 @@ def fill(template):
     return F.concat(*[F.col(p).cast("string") if i % 2 else F.lit(p) for i, p in enumerate(parts) if p or i % 2])
 
 
-def _join(left, right, keys):
-    """Left join on keys where null equals null."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(renamed, on, "left").drop(*[f"_r_{k}" for k in keys])
+def group_key(columns):
+    """128 bits for the values of some columns; null is a value of its own."""
+    parts = [F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string"))) for c in columns]
+    return F.unhex(F.md5(F.concat(*parts)))
 
 
 def summarise(df: DataFrame, spec: Summary, order) -> DataFrame:
     """Group rows by the keys.
 
-    Counts, bounds, flags and firsts aggregate map-side. Distinct counts and value lists work on
-    one de-duplicated (keys, measure, value) table, so the values of a huge group spread over the
+    Groups go by one short key; the keys themselves are shuffled once. Counts, bounds, flags and
+    firsts aggregate map-side. Distinct counts and value lists work on one de-duplicated (group,
+    measure, value) table, so the values of a huge group spread over the
     cluster, and a limited list never brings more than its limit per group and task together.
     """
     rows = df.filter(F.col(spec.where_filled) != "") if spec.where_filled else df
     keys = list(spec.keys)
     keyed = [F.col(source).alias(out) for out, source in spec.keys.items()]
-    base = rows.select(*keyed, *[F.col(c).alias(f"_in_{c}") for c in _inputs(spec, order)])
-    plain = base.groupBy(*keys).agg(
+    base = rows.select(group_key([F.col(c) for c in spec.keys.values()]).alias("_g"), *keyed, *[F.col(c).alias(f"_in_{c}") for c in _inputs(spec, order)])
+    plain = base.groupBy("_g").agg(
+        *[F.first(k).alias(k) for k in keys],
         F.count("*").alias(spec.rows),
         *[F.min(f"_in_{c}").alias(o) for o, c in spec.least.items()],
         *[F.max(f"_in_{c}").alias(o) for o, c in spec.greatest.items()],
@@ -59,7 +60,8 @@ def summarise(df: DataFrame, spec: Summary, order) -> DataFrame:
     )
     result = plain
     if spec.unique or spec.lists:
-        result = _with_distincts(base, plain, spec, keys)
+        result = _with_distincts(base, plain, spec)
+    result = result.drop("_g")
     if spec.evidence:
         result = result.withColumn("evidence_text", fill(spec.evidence))
     return result
@@ -77,34 +79,28 @@ def source_columns(spec, order):
     return list(dict.fromkeys([*spec.keys.values(), *_inputs(spec, order), *filled]))
 
 
-def _with_distincts(base, plain, spec, keys):
+def _with_distincts(base, plain, spec):
     sources = list(dict.fromkeys([*spec.unique.values(), *[c for c, _ in spec.lists.values()]]))
     code = {c: i for i, c in enumerate(sources)}
     pairs = F.array(*[F.struct(F.lit(code[c]).alias("_m"), F.col(f"_in_{c}").cast("string").alias("_v")) for c in sources])
-    distinct = base.select(*keys, F.inline(pairs)).filter("_v IS NOT NULL").distinct()
+    distinct = base.select("_g", F.inline(pairs)).filter("_v IS NOT NULL").distinct()
     result = plain
-    if spec.unique:
-        counts = distinct.groupBy(*keys).agg(
-            *[F.count_if(F.col("_m") == code[c]).alias(o) for o, c in spec.unique.items()]
-        )
-        result = _join(result, counts, keys).fillna(0, subset=list(spec.unique))
     limited = {o: (c, n) for o, (c, n) in spec.lists.items() if n}
     unlimited = {o: c for o, (c, n) in spec.lists.items() if not n}
-    filled = distinct.filter("_v <> ''")
+    filled = F.when(F.col("_v") != "", F.col("_v"))
+    whole = [F.count_if(F.col("_m") == code[c]).alias(o) for o, c in spec.unique.items()]
+    whole += [_list(F.when(F.col("_m") == code[c], filled)).alias(o) for o, c in unlimited.items()]
+    if whole:
+        result = result.join(distinct.groupBy("_g").agg(*whole), "_g", "left").fillna(0, subset=list(spec.unique))
     if limited:
         ids = [code[c] for c, _ in limited.values()]
         most = max(n for _, n in limited.values())
-        head = top_n(filled.filter(F.col("_m").isin(ids)), [*keys, "_m"], [F.asc("_v")], most, "_rank")
-        lists = head.groupBy(*keys).agg(*[
+        head = top_n(distinct.filter((F.col("_v") != "") & F.col("_m").isin(ids)), ["_g", "_m"], [F.asc("_v")], most, "_rank")
+        lists = head.groupBy("_g").agg(*[
             _list(F.when((F.col("_m") == code[c]) & (F.col("_rank") <= n), F.col("_v"))).alias(o)
             for o, (c, n) in limited.items()
         ])
-        result = _join(result, lists, keys)
-    if unlimited:
-        lists = filled.groupBy(*keys).agg(
-            *[_list(F.when(F.col("_m") == code[c], F.col("_v"))).alias(o) for o, c in unlimited.items()]
-        )
-        result = _join(result, lists, keys)
+        result = result.join(lists, "_g", "left")
     return result.fillna("", subset=list(spec.lists)) if spec.lists else result
 
 
