@@ -39,9 +39,8 @@ def token_rows(docs: DataFrame, vocabulary: str, ranks: str, end_id: int, doc_id
         encode = byte_encoder(ranks, vocabulary)
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            lists = [spaced_pieces(x) for x in column(batch, "text")]
             value = remembered((vocabulary, "ids"), lambda piece: id_bytes(encode(piece))).__getitem__
-            blobs = [b"".join(map(value, pieces)) + end for pieces in lists]
+            blobs = [b"".join(map(value, spaced_pieces(x))) + end for x in column(batch, "text")]
             starts = before + np.concatenate(([0], np.cumsum([len(x) // 2 for x in blobs])))
             before = int(starts[-1])
             yield pa.RecordBatch.from_arrays(
@@ -58,7 +57,8 @@ def pieces(tokens: DataFrame, length: int = LENGTH) -> DataFrame:
 
     totals = tokens.groupBy("part").agg(F.max(F.col("before") + F.octet_length("ids") / 2).cast("long").alias("total"))
     bases = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
-    placed = tokens.join(bases, "part").select("doc_id", (F.col("base") + F.col("before")).alias("place"), "ids")
+    placed = tokens.join(F.broadcast(bases), "part").select(  # one row of two numbers for each task of the first pass
+        "doc_id", (F.col("base") + F.col("before")).alias("place"), "ids")
 
     def cut(batches):
         for batch in batches:
