@@ -112,14 +112,22 @@ def ordered_buckets(ids: DataFrame, rows_each: int, most: int):
     if n > 1:
         cuts = ids.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100_000)).first()[0] or []
     cuts = sorted(set(cuts))
-    heads = ids.groupBy(_slice(cuts).alias("slice")).agg(F.max("doc_id").alias("head")).collect()
+    ends = np.array(cuts, np.int64)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            own = column(batch, "doc_id")
+            yield pa.RecordBatch.from_arrays([pa.array([_slice(ends, x) for x in own], pa.int32()), batch.column(0)], ["slice", "doc_id"])
+
+    heads = ids.mapInArrow(run, "slice int, doc_id long").groupBy("slice").agg(F.max("doc_id").alias("head")).collect()
     return cuts, {x.slice: x.head for x in heads}
 
 
-def _slice(cuts):
+def _slice(ends, doc_id):
     """0, 1, ... by how many cuts lie below doc_id; -1 for null."""
-    ends = F.array(*[F.lit(x).cast("long") for x in cuts]) if cuts else F.array().cast("array<long>")
-    return F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(ends, lambda x: x < F.col("doc_id"))))
+    return -1 if doc_id is None else int(np.searchsorted(ends, doc_id))
 
 
 def fingerprints(docs: DataFrame, band=BAND, seed=11, rows_each=4000, most=20_000, doc_id="doc_id", text="text") -> DataFrame:
@@ -151,7 +159,7 @@ def fingerprints(docs: DataFrame, band=BAND, seed=11, rows_each=4000, most=20_00
             ids, slices, late, blobs = [], [], [], []
             for own, text in zip(column(batch, "doc_id"), column(batch, "text")):
                 blob = pack(text.encode("utf-8", "surrogatepass"))
-                for place, guest in [(-1 if own is None else int(np.searchsorted(ends, own)), False), *((s, True) for s in guests.get(own, ()))]:
+                for place, guest in [(_slice(ends, own), False), *((s, True) for s in guests.get(own, ()))]:
                     ids.append(own)
                     slices.append(place)
                     late.append(guest)
@@ -181,6 +189,6 @@ def fingerprints(docs: DataFrame, band=BAND, seed=11, rows_each=4000, most=20_00
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    dealt = rows.mapInArrow(compressed, "doc_id long, slice int, guest boolean, blob binary").repartition(max(spread, min(len(heads), 4 * spread)), "slice")
+    dealt = rows.mapInArrow(compressed, "doc_id long, slice int, guest boolean, blob binary").repartition(max(spread, len(heads)), "slice")
     ordered = dealt.sortWithinPartitions("slice", "guest", F.desc_nulls_last("doc_id"), "blob")
     return ordered.mapInArrow(printed, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
