@@ -369,11 +369,16 @@ def merge_snapshots(snapshots: DataFrame, key, order, numbers=(), flags=(), text
 STATE = ["total", "disabled", "selected_count", "text_fingerprint", "selected_fingerprint"]
 
 
-def option_changes(groups: DataFrame, keys) -> DataFrame:
-    """Before/after comparison of option groups per action: one aggregation, both phases side by side."""
+def option_changes(groups: DataFrame, keys, totals=None) -> DataFrame:
+    """Before/after comparison of option groups per action: one aggregation, both phases side by side.
+
+    Groups without a key do not count. ``totals`` holds (keys, phase, disabled_total, option_like_total)
+    of whole pages; a change of the disabled total is a change even where no group shows it.
+    """
     side = lambda phase, n, default: F.coalesce(F.max(F.when(F.col("phase") == phase, F.col(n))), F.lit(default))
     defaults = {"total": 0, "disabled": 0, "selected_count": 0, "text_fingerprint": "", "selected_fingerprint": ""}
-    both = groups.groupBy(*keys, "acted_group", "group_key").agg(*[side(p, n, defaults[n]).alias(f"{p[0]}_{n}") for p in ("before", "after") for n in STATE])
+    named = groups.filter("group_key <> ''")
+    both = named.groupBy(*keys, "acted_group", "group_key").agg(*[side(p, n, defaults[n]).alias(f"{p[0]}_{n}") for p in ("before", "after") for n in STATE])
     differs = lambda n: F.col(f"a_{n}") != F.col(f"b_{n}")
     changed = rules.any_of([differs(n) for n in STATE])
     other = changed & (F.col("group_key") != F.col("acted_group"))
@@ -385,17 +390,38 @@ def option_changes(groups: DataFrame, keys) -> DataFrame:
         F.count_if(other & (differs("selected_fingerprint") | differs("selected_count"))).alias("selected_changes_other"),
         F.sum(F.when(other, F.abs(gain("total"))).otherwise(0)).alias("total_delta_other"))
     parts = ["external_group_changes", "disabled_delta_other", "text_changes_other", "selected_changes_other", "total_delta_other"]
+    if totals is not None:
+        signed = lambda n: F.sum(F.when(F.col("phase") == "after", F.coalesce(n, F.lit(0))).otherwise(-F.coalesce(n, F.lit(0))))
+        deltas = totals.groupBy(*keys).agg(signed("disabled_total").alias("global_disabled_delta"), signed("option_like_total").alias("global_option_like_delta"))
+        sums = deltas.join(sums, list(keys), "left").fillna(0, subset=parts)
+        sums = sums.withColumn("any_change", F.coalesce("any_change", F.lit(False)) | (F.col("global_disabled_delta") != 0))
     return sums.withColumn("dependency_like", rules.any_of([F.col(p) >= 1 for p in parts]))
 
 
-def probe_statistics(changes: DataFrame, page) -> DataFrame:
+# Reasons of probe results.
+NO_CANDIDATES = "no safe interactive candidates found for compatibility probing"
+PROBE_REASONS = [
+    "multiple probes changed other option groups after a selection",
+    "at least one probe changed options outside the selected group",
+    "probes changed local selection state but not later options",
+    "interactive probes did not reveal visible cross-option dependencies",
+]
+
+
+def probe_statistics(changes: DataFrame, page, actions: DataFrame) -> DataFrame:
+    """Per page of ``actions`` (page, action, success, null for a page without candidates): actions attempted
+    and successful, events among the compared ones, greatest changes, reason."""
     count = lambda c, n: F.count_if(c).alias(n)
+    sizes = ("external_group_changes", "disabled_delta_other", "text_changes_other", "selected_changes_other", "total_delta_other")
+    events = ["any_change_events", "dependency_events", "disabled_increase_events", *[f"max_{n}" for n in sizes]]
     stats = changes.groupBy(page).agg(
-        F.count("*").alias("actions"), count(F.col("any_change"), "any_change_events"), count(F.col("dependency_like"), "dependency_events"),
-        count(F.col("disabled_delta_other") > 0, "disabled_increase_events"),
-        *[F.max(n).alias(f"max_{n}") for n in ("external_group_changes", "disabled_delta_other", "text_changes_other", "selected_changes_other", "total_delta_other")])
-    return stats.withColumn("probe_reason", F.when((F.col("dependency_events") >= 3) | (F.col("max_external_group_changes") >= 3), "multiple_groups_changed")
-                            .when(F.col("dependency_events") >= 1, "some_group_changed").when(F.col("any_change_events") >= 1, "own_group_only").otherwise("no_change"))
+        count(F.col("any_change"), events[0]), count(F.col("dependency_like"), events[1]), count(F.col("disabled_delta_other") > 0, events[2]),
+        *[F.max(n).alias(f"max_{n}") for n in sizes])
+    tried = actions.groupBy(page).agg(count(F.col("success").isNotNull(), "actions_attempted"), count(F.col("success"), "actions_successful"))
+    full = tried.join(stats, page, "left").fillna(0, subset=events)
+    return full.withColumn("probe_reason", F.when(F.col("actions_attempted") == 0, NO_CANDIDATES)
+                           .when((F.col("dependency_events") >= 3) | (F.col("max_external_group_changes") >= 3), PROBE_REASONS[0])
+                           .when(F.col("dependency_events") >= 1, PROBE_REASONS[1]).when(F.col("any_change_events") >= 1, PROBE_REASONS[2]).otherwise(PROBE_REASONS[3]))
 
 
 def throughput(log: DataFrame, seconds, total_rows) -> DataFrame:

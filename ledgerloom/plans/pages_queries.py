@@ -187,33 +187,44 @@ query("j8_code_lookup", """
 
 # --- snapshots, resources, probes --------------------------------------------------------------------
 _GROUP_COLUMNS = [
-    "user_id % 500 AS page", "cast(floor(event_id / 40) AS bigint) AS action", "event_type AS group_key", "'click' AS acted_group",
+    "user_id % 500 AS page", "cast(floor(event_id / 40) AS bigint) AS action", "CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS group_key", "'click' AS acted_group",
     "CASE WHEN event_id % 2 = 0 THEN 'before' ELSE 'after' END AS phase", "cast(event_id % 7 AS int) AS total",
     "cast(event_id % 3 AS int) AS disabled", "cast(event_id % 2 AS int) AS selected_count",
     "cast(event_id % 5 AS string) AS text_fingerprint", "cast(user_id % 2 AS string) AS selected_fingerprint"]
 CHANGES = f"""
     WITH g AS (SELECT {', '.join(_GROUP_COLUMNS)} FROM @events), b AS (SELECT page, action, acted_group, group_key, {', '.join(f"coalesce(max({n}) FILTER (WHERE phase = '{p}'), {d}) AS {p[0]}_{n}" for p in ('before', 'after')
-                     for n, d in (('total', 0), ('disabled', 0), ('selected_count', 0), ('text_fingerprint', "''"), ('selected_fingerprint', "''")))} FROM g GROUP BY 1, 2, 3, 4),
+                     for n, d in (('total', 0), ('disabled', 0), ('selected_count', 0), ('text_fingerprint', "''"), ('selected_fingerprint', "''")))} FROM g WHERE group_key <> '' GROUP BY 1, 2, 3, 4),
     d AS (SELECT *, {' OR '.join(f'a_{n} <> b_{n}' for n in pages.STATE)} AS ch FROM b), e AS (SELECT *, ch AND group_key <> acted_group AS ot FROM d),
     s AS (SELECT page, action, bool_or(ch) AS any_change, count(*) FILTER (WHERE ot) AS external_group_changes, coalesce(sum(greatest(a_disabled - b_disabled, 0)) FILTER (WHERE ot), 0) AS disabled_delta_other,
                  count(*) FILTER (WHERE ot AND a_text_fingerprint <> b_text_fingerprint) AS text_changes_other, count(*) FILTER (WHERE ot AND (a_selected_fingerprint <> b_selected_fingerprint OR a_selected_count <> b_selected_count)) AS selected_changes_other,
                  coalesce(sum(abs(a_total - b_total)) FILTER (WHERE ot), 0) AS total_delta_other FROM e GROUP BY 1, 2),
-    changes AS (SELECT *, external_group_changes >= 1 OR disabled_delta_other >= 1 OR text_changes_other >= 1 OR selected_changes_other >= 1 OR total_delta_other >= 1 AS dependency_like FROM s)"""
+    w AS (SELECT page, action, cast(sum(CASE WHEN phase = 'after' THEN disabled ELSE -disabled END) AS bigint) AS global_disabled_delta, cast(sum(CASE WHEN phase = 'after' THEN total ELSE -total END) AS bigint) AS global_option_like_delta FROM g GROUP BY 1, 2),
+    sw AS (SELECT w.page, w.action, coalesce(any_change, false) OR global_disabled_delta <> 0 AS any_change, global_disabled_delta, global_option_like_delta,
+                  {', '.join(f'coalesce({n}, 0) AS {n}' for n in ('external_group_changes', 'disabled_delta_other', 'text_changes_other', 'selected_changes_other', 'total_delta_other'))} FROM w LEFT JOIN s USING (page, action)),
+    changes AS (SELECT *, external_group_changes >= 1 OR disabled_delta_other >= 1 OR text_changes_other >= 1 OR selected_changes_other >= 1 OR total_delta_other >= 1 AS dependency_like FROM sw)"""
 
 
 def changes(t):
-    return pages.option_changes(t.events.selectExpr(*_GROUP_COLUMNS), ["page", "action"])
+    groups = t.events.selectExpr(*_GROUP_COLUMNS)
+    totals = groups.groupBy("page", "action", "phase").agg(F.sum("disabled").alias("disabled_total"), F.sum("total").alias("option_like_total"))
+    return pages.option_changes(groups, ["page", "action"], totals)
+
+
+_ACTIONS = ["user_id % 500 AS page", "event_id AS action", "CASE WHEN user_id % 500 = 3 THEN NULL ELSE event_id % 4 <> 0 END AS success"]
 
 
 query("j10_option_changes", CHANGES + "SELECT * REPLACE (any_change::int AS any_change, dependency_like::int AS dependency_like) FROM changes")(
     lambda t: changes(t).withColumns({n: F.col(n).cast("int") for n in ("any_change", "dependency_like")})
 )
-query("a34_probe_statistics", CHANGES + """
-    , p AS (SELECT page, count(*) AS actions, count(*) FILTER (WHERE any_change) AS any_change_events, count(*) FILTER (WHERE dependency_like) AS dependency_events, count(*) FILTER (WHERE disabled_delta_other > 0) AS disabled_increase_events,
+query("a34_probe_statistics", CHANGES + f"""
+    , p AS (SELECT page, count(*) FILTER (WHERE any_change) AS any_change_events, count(*) FILTER (WHERE dependency_like) AS dependency_events, count(*) FILTER (WHERE disabled_delta_other > 0) AS disabled_increase_events,
             max(external_group_changes) AS max_external_group_changes, max(disabled_delta_other) AS max_disabled_delta_other, max(text_changes_other) AS max_text_changes_other, max(selected_changes_other) AS max_selected_changes_other,
-            max(total_delta_other) AS max_total_delta_other FROM changes GROUP BY 1)
-    SELECT *, CASE WHEN dependency_events >= 3 OR max_external_group_changes >= 3 THEN 'multiple_groups_changed' WHEN dependency_events >= 1 THEN 'some_group_changed' WHEN any_change_events >= 1 THEN 'own_group_only' ELSE 'no_change' END AS probe_reason FROM p""")(
-    lambda t: pages.probe_statistics(changes(t), "page")
+            max(total_delta_other) AS max_total_delta_other FROM changes GROUP BY 1),
+    t AS (SELECT page, count(success) AS actions_attempted, count(*) FILTER (WHERE success) AS actions_successful FROM (SELECT {', '.join(_ACTIONS)} FROM @events) GROUP BY 1)
+    SELECT *, CASE WHEN actions_attempted = 0 THEN 'no safe interactive candidates found for compatibility probing' WHEN dependency_events >= 3 OR max_external_group_changes >= 3 THEN 'multiple probes changed other option groups after a selection'
+                   WHEN dependency_events >= 1 THEN 'at least one probe changed options outside the selected group' WHEN any_change_events >= 1 THEN 'probes changed local selection state but not later options'
+                   ELSE 'interactive probes did not reveal visible cross-option dependencies' END AS probe_reason FROM t JOIN p USING (page)""")(
+    lambda t: pages.probe_statistics(changes(t), "page", t.events.selectExpr(*_ACTIONS))
 )
 query("a32_merged_snapshots", """
     WITH s AS (SELECT user_id AS page, event_id, cast(floor(value) AS int) AS button_count, event_type = 'click' AS has_canvas, CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END AS title, [event_type, upper(event_type), props] AS l FROM @events),
