@@ -91,24 +91,25 @@ def carry_forward(df: DataFrame, keys, order, values, chunk_rows=CHUNK_ROWS) ->
 
 
 def salted_join(left: DataFrame, right: DataFrame, on, left_id, rows_per_task=200_000) -> DataFrame:
-    """Equi-join whose hot left keys are split over several tasks.
+    """Equi-join whose hot keys are split over several tasks, whichever side they are hot on.
 
-    Only keys with more than ``rows_per_task`` left rows get more than one salt, so the table of hot
-    keys has at most rows(left) / rows_per_task entries and Spark may broadcast it after measuring it.
+    A key with more than ``rows_per_task`` rows on a side has that side's rows dealt to as many salts and the
+    other side's repeated for each. So the table of hot keys has at most rows / rows_per_task entries of
+    each side, and Spark may broadcast it after measuring it.
     """
     on = _cols(on)
-    hot = (
-        left.groupBy(*on).count().filter(F.col("count") > rows_per_task)
-        .select(*on, F.ceil(F.col("count") / rows_per_task).cast("int").alias("_salts"))
-    )
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    spread = left.join(hot, on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*_cols(left_id)), salts).cast("int")
-    ).drop("_salts")
-    copies = right.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    ).drop("_salts")
-    return spread.join(copies, on + ["_salt"]).drop("_salt")
+
+    def salts(df, name):
+        hot = df.groupBy(*on).count().filter(F.col("count") > rows_per_task)
+        return hot.select(*on, F.ceil(F.col("count") / rows_per_task).cast("int").alias(name))
+
+    hot = salts(left, "_lefts").join(salts(right, "_rights"), on, "full_outer")
+    number = lambda n: F.coalesce(F.col(n), F.lit(1))
+    dealt = lambda columns, n: F.pmod(F.xxhash64(*columns), number(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), number(n) - 1))
+    spread = left.join(hot, on, "left").withColumn("_salt", dealt(_cols(left_id), "_lefts")).withColumn("_other", every("_rights")).drop("_lefts", "_rights")
+    copies = right.join(hot, on, "left").withColumn("_other", dealt(right.columns, "_rights")).withColumn("_salt", every("_lefts")).drop("_lefts", "_rights")
+    return spread.join(copies, on + ["_salt", "_other"]).drop("_salt", "_other")
 
 
 def union_all(frames) -> DataFrame:
