@@ -6,9 +6,6 @@ import types
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch: keeps a batch of long texts within a few tens of MB.
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 
 def whole_texts(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     """(doc_id, text) of every row; a null text is empty. Other columns, whatever their names, are left out."""

@@ -15,7 +15,6 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import column
 from ledgerloom.sources.sinks import written
 
 #: Vectors that the partition is learned from, at most.
