@@ -129,3 +129,17 @@ def test_top_queries_limit_before_the_shuffle(spark):
 
     plan = entry.queries()["w4_top_per_industry"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "BatchEvalPython" not in plan and "CartesianProduct" not in plan
+
+
+def test_master_build_numbers_rows_by_file(spark, tmp_path):
+    files = {"fsc/fsc_companies_1.csv": "Organization,Country\nAcme,Italy\nBeta,Spain\n", "fsc/fsc_companies_2.csv": "Organization,Country\nBeta,Spain\nGamma,France\n",
+             "b_corp/b_corp_companies.csv": "Company Name,Certification\nDelta,B Corporation\n"}
+    for name, body in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(body)
+    master, inventory, listed = registry_files.build_master(spark, str(tmp_path))
+    rows = {(r.certified_company, r.source_file.rsplit("/", 1)[-1], r.source_row_number) for r in master.collect()}
+    assert rows == {("Acme", "fsc_companies_1.csv", 2), ("Beta", "fsc_companies_1.csv", 3), ("Gamma", "fsc_companies_2.csv", 3), ("Delta", "b_corp_companies.csv", 2)}
+    assert {r.certification for r in master.filter("certified_company <> 'Delta'").select("certification").collect()} == {"FSC"}
+    assert {(r.source_file.rsplit("/", 1)[-1], r.rows, r.error) for r in inventory.collect()} == {("fsc_companies_1.csv", 2, ""), ("fsc_companies_2.csv", 2, ""), ("b_corp_companies.csv", 1, "")}
+    assert listed.filter("files_selected > 0").count() == 2
