@@ -6,6 +6,7 @@ from ledgerloom.functions import page_values as v
 from ledgerloom.operators import discovery, pages
 from ledgerloom.plans import check_sql as c
 from ledgerloom.plans.catalog import query
+from ledgerloom.plans.discovery_queries import _P as PAGE
 from ledgerloom.plans.discovery_queries import LINKS
 from ledgerloom.plans.matching_queries import DECIDED, decided
 from ledgerloom.sources import registry_files, sinks
@@ -136,12 +137,13 @@ query("t25_hybrid_scores", f"""
 
 # --- candidate pages, links -------------------------------------------------------------------------
 query("t27_candidate_pages", f"""
-    WITH s AS (SELECT p_partkey, page_id, p_brand AS company, p_name AS product, CASE WHEN p_partkey % 3 = 0 THEN p_brand || ' ' ELSE '' END || p_name || ' studio' AS title, url,
-               regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS tt FROM a_parts JOIN @pages ON page_id = page_ref)
-    SELECT p_partkey, page_id, title FROM s WHERE contains(lower(title || ' ' || url || ' ' || tt), lower(company)) AND contains(lower(title || ' ' || url || ' ' || tt), lower(product))""")(
-    lambda t: pages.candidate_page(t.a_parts.join(t.pages, F.col("page_id") == F.col("page_ref")).select(
-        "p_partkey", "page_id", F.col("p_brand").alias("company"), F.col("p_name").alias("product"), F.expr("CASE WHEN p_partkey % 3 = 0 THEN p_brand || ' ' ELSE '' END || p_name || ' studio'").alias("title"), "url",
-        F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1).alias("visible_text")), "p_partkey", "page_id").select("p_partkey", "page_id", "title")
+    WITH p AS (SELECT page_id, url, {PAGE['visible_text']} AS body FROM @pages),
+    s AS (SELECT p_partkey, page_id, CASE WHEN p_partkey % 3 = 1 THEN split_part(body, ' ', 9) ELSE p_brand END AS company, p_name AS product,
+                 CASE WHEN p_partkey % 3 = 0 THEN p_brand || ' ' ELSE '' END || p_name || ' studio' AS title, url, body FROM a_parts JOIN p ON page_id = page_ref)
+    SELECT p_partkey, page_id, title FROM s WHERE company <> '' AND contains(lower(title || ' ' || url || ' ' || body), lower(company)) AND contains(lower(title || ' ' || url || ' ' || body), lower(product))""")(
+    lambda t: pages.candidate_page(t.a_parts.join(discovery.page_text(t.pages).select("page_id", "url", "visible_text"), F.col("page_id") == F.col("page_ref")).select(
+        "p_partkey", "page_id", F.when(F.col("p_partkey") % 3 == 1, F.split_part("visible_text", F.lit(" "), F.lit(9))).otherwise(F.col("p_brand")).alias("company"), F.col("p_name").alias("product"),
+        F.expr("CASE WHEN p_partkey % 3 = 0 THEN p_brand || ' ' ELSE '' END || p_name || ' studio'").alias("title"), "url", "visible_text"), "p_partkey", "page_id").select("p_partkey", "page_id", "title")
 )
 
 
