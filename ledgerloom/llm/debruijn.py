@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import anchors
 from ledgerloom.llm.common import column
-from ledgerloom.llm.repeats import blocks, contents, repeated, stored, unpacker, with_texts
+from ledgerloom.llm.repeats import blocks, contents, repeated, runs_of, stored, unpacker, with_texts
 from ledgerloom.sources.sinks import written
 
 LENGTH, GRAM = 35, 16
@@ -124,10 +124,9 @@ def removals(docs: DataFrame, length=LENGTH, gram=GRAM, doc_id="doc_id", text="t
         unpack = unpacker()
         for batch in batches:
             made = []
-            for blob, rows in zip(column(batch, "blob"), column(batch, "rows")):
+            for blob, (first, windows) in zip(column(batch, "blob"), runs_of(batch)):
                 words = unpack(blob).split()
-                first = np.array([r["first"] for r in rows or ()], np.int64)
-                starts, ends = anchors.merged(first, first + np.array([r["windows"] for r in rows or ()], np.int64) + length - 1)
+                starts, ends = anchors.merged(first, first + windows + length - 1)
                 edges = [0, *np.stack((starts, ends), 1).ravel().tolist(), len(words)]
                 kept = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]
                 made.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))

@@ -24,7 +24,7 @@ BEFORE_SPACE = re.compile(r"(?<=\S)(?=[ \t-\r])")
 #: A space after white space other than a space.
 SPACE_AFTER = re.compile(r"[\t-\r\x1c-\x1f] ")
 #: Characters a worker remembers, with 100 for each piece; beyond, it forgets all and starts anew.
-REMEMBERED = 120_000_000
+REMEMBERED = 60_000_000
 AT_ONCE = 20_000
 
 
@@ -110,8 +110,10 @@ class Remembered(dict):
 
 
 def remembered(key, make) -> Remembered:
-    """The worker's own, so that later tasks find what earlier ones made."""
+    """The worker's own, so that later tasks find what earlier ones made; others are given up."""
     kept = worker_state()
+    for other in [k for k, v in kept.items() if k != key and hasattr(v, "trimmed")]:
+        del kept[other]
     if key not in kept:
         kept[key] = Remembered(make)
     return kept[key].trimmed()

@@ -88,3 +88,15 @@ def with_texts(rows: DataFrame, table: DataFrame) -> DataFrame:
     """The rows of each text as a list beside it; texts without any are left out."""
     lists = rows.groupBy("rid").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "rid"])).alias("rows"))
     return table.join(lists, "rid")
+
+
+def runs_of(batch):
+    """(first, windows) of every row's list ``rows`` in an Arrow batch, as arrays; a null list has none."""
+    lists = batch.column(batch.schema.get_field_index("rows"))
+    flat = lists.flatten()
+    first, windows = (flat.field(c).to_numpy(zero_copy_only=False).astype("int64") for c in ("first", "windows"))
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    at = 0
+    for size in sizes.tolist():
+        yield first[at : at + size], windows[at : at + size]
+        at += size

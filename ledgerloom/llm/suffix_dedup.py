@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import anchors
 from ledgerloom.llm.common import column
-from ledgerloom.llm.repeats import blocks, contents, repeated, stored, unpacker, with_texts
+from ledgerloom.llm.repeats import blocks, contents, repeated, runs_of, stored, unpacker, with_texts
 from ledgerloom.sources.sinks import written
 
 LENGTH, GRAM = 200, 48
@@ -171,11 +171,8 @@ def removed_windows(table: DataFrame, length=LENGTH, gram=GRAM, keep_first=False
 
 def _kept(batch, unpack, length):
     """(text, starts, ends) of every row: its bytes and the runs that go."""
-    for blob, rows in zip(column(batch, "blob"), column(batch, "rows")):
-        text = unpack(blob)
-        starts = np.array([r["first"] for r in rows or ()], np.int64)
-        ends = np.array([r["first"] + r["windows"] + length - 1 for r in rows or ()], np.int64)
-        yield (text, *anchors.merged(starts, ends))
+    for blob, (first, windows) in zip(batch.column(batch.schema.get_field_index("blob")), runs_of(batch)):
+        yield (unpack(blob.as_py()), *anchors.merged(first, first + windows + length - 1))
 
 
 def rest(text, starts, ends) -> bytes:
