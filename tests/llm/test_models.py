@@ -170,6 +170,23 @@ def test_classifier_on_held_out_rows(spark, corpus, clash):
     assert toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).count() == 902
 
 
+def test_toxic_documents_of_small_languages_are_found(spark, corpus):
+    ran = random.Random(17)
+    bad = {"en": ["trash", "moron"], "de": ["achlich" + x for x in "abcdefghijkl"], "es": ["bomente" + x for x in "abcdefgh"]}
+    spelt = lambda n: "".join("abcdefghij"[int(d)] for d in str(n))
+    langs = ["en"] * 1500 + ["de"] * 300 + ["es"] * 200
+    toxic = [int(ran.random() < 0.12) for _ in langs]
+    texts = [" ".join([*(f"{x}{spelt(int(ran.paretovariate(0.4)) % 5000)}" for _ in range(60)), *(ran.sample(bad[x], 2) if y else [])]) for x, y in zip(langs, toxic)]
+    docs = corpus(texts, langs=langs)
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    for sample in (6000, 900):
+        rows = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, labels, sample=sample)).collect()}
+        for lang in bad:
+            own = [i for i in rows if rows[i].held_out and langs[i] == lang]
+            assert np.mean([rows[i].rejected for i in own if toxic[i]]) >= 0.8, (sample, lang)
+            assert np.mean([rows[i].rejected for i in own if not toxic[i]]) <= 0.05, (sample, lang)
+
+
 def test_thresholds_lean_on_all_languages():
     scores, labels = np.concatenate((np.full(300, 0.1), np.full(60, 0.8))), np.concatenate((np.zeros(300, int), np.ones(60, int)))
     langs = ["en"] * 350 + ["es"] * 10
