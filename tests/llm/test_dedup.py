@@ -141,6 +141,32 @@ def test_near_copies_leave_one(spark, corpus, clash):
     assert simhash.without_near_copies(docs.limit(0)).count() == 0
 
 
+def firsts_of_groups(texts, least=0.8):
+    """Least index of each group of near copies, all pairs compared."""
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and simhash.similarity(texts[i], texts[j], 5) >= least:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return sorted(set(root))
+
+
+def test_appended_cut_and_short_copies_are_linked(spark, corpus):
+    ran = random.Random(21)
+    prose = lambda n: [f"w{ran.randint(0, 50000)}" for _ in range(n)]
+    line = prose(12)
+    texts = []
+    for n in (10, 12, 20, 60, 200, 400):
+        for _ in range(6):
+            words = prose(n)
+            block = max(1, n // 20)
+            texts += [words, words + prose(max(1, n // 10)), words + prose(n // 5), words[: n - n // 6], words[: n // 2] + prose(block) + words[n // 2 + block :], line + words]
+    texts = [" ".join(x) for x in texts] + ["a a a a a", "a a a a a a", "a a", "a a a"]
+    got = sorted(r.doc_id for r in simhash.without_near_copies(corpus(texts)).select("doc_id").collect())
+    assert got == firsts_of_groups(texts)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (102, 101)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
