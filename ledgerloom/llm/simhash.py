@@ -342,6 +342,14 @@ def _open_rows(shared, root):
     return rows.join(sizes.select("hash", "size"), "hash")
 
 
+def head_pairs(shared: DataFrame, root: DataFrame, least: float, turn: int) -> DataFrame:
+    """(u, v): the open pairs with one text of each common shingle, another one each turn."""
+    rows = written(_open_rows(shared, root).drop("size"))
+    one = rows.groupBy("hash").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "hash"]), F.xxhash64("node", F.lit(turn))).alias("head")).select("hash", "head.*")
+    both = _sided(rows, "u").join(_sided(one, "v"), "hash").filter(_fits(least))
+    return both.select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v")).distinct()
+
+
 def open_pairs(shared: DataFrame, root: DataFrame, least: float) -> DataFrame:
     """(u, v): all pairs of texts of different groups that a common shingle of their prefixes makes possible.
 
@@ -361,7 +369,8 @@ def without_near_copies(docs: DataFrame, words=5, least=0.8, doc_id="doc_id", te
     ``least`` of their ``words``-word shingles; groups are the links' components. First candidates are texts
     with a SimHash of their words within ``WIDE`` bits in any of ``TABLES`` tables; in each table those not
     yet in one group are compared, nearest first along each tree's spanning forest, by their whole
-    texts. Then all texts of different groups are compared that have one of their rarest shingles in common, of so many
+    texts. Then texts that share rare shingles are compared with one text of each such shingle, with another one each
+    turn until a turn links nothing, and at last all texts of different groups that have one of their rarest shingles in common, of so many
     that no pair with ``least`` in common is missed (but for equal 64-bit hashes of a text's different shingles).
     Rows without words form one group. Ties on doc_id go to the row read first.
     """
@@ -396,6 +405,11 @@ def without_near_copies(docs: DataFrame, words=5, least=0.8, doc_id="doc_id", te
     rows_of = written(prefixes(texts, words, least))
     several = rows_of.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
     shared = written(rows_of.join(several, "hash", "left_semi"))
+    # a group without a link so far is joined through heads, turn by turn, before all its pairs that are left are compared
+    turn, before, now = 0, -1, edges.count()
+    while before < now:
+        edges, root = linked(edges, head_pairs(shared, root, least, turn))
+        turn, before, now = turn + 1, now, edges.count()
     edges, root = linked(edges, open_pairs(shared, root, least))
     firsts = distinct.join(root, "node").groupBy("root").agg(F.min("least").alias("least")).select(F.col(f"least.{ROW}").alias(ROW))
     return rows.join(firsts, ROW, "left_semi").drop(ROW)

@@ -167,6 +167,27 @@ def test_appended_cut_and_short_copies_are_linked(spark, corpus):
     assert got == firsts_of_groups(texts)
 
 
+def test_copies_meet_beside_an_unlike_head_of_equal_words(spark, corpus):
+    ran = random.Random(22)
+    words = [f"w{i}" for i in range(200)]
+    mixed = lambda: " ".join(ran.sample(words, len(words)))
+    head, one, other = mixed(), mixed().split(), mixed().split()
+    swapped = lambda x, i: " ".join([*x[:i], x[i + 1], x[i], *x[i + 2 :]])
+    texts = [head, " ".join(one), swapped(one, 50), swapped(one, 150), " ".join(other), swapped(other, 90), mixed()]
+    assert len({tuple(simhash.sketches(x)) for x in texts}) == 1
+    got = sorted(r.doc_id for r in simhash.without_near_copies(corpus(texts)).select("doc_id").collect())
+    assert got == firsts_of_groups(texts) == [0, 1, 4, 6]
+
+
+def test_heads_leave_few_pairs(spark):
+    """A group of copies that nothing linked yet is as many pairs with heads as it has members, not its square."""
+    rows = [(h, node, 100, h) for h in range(10) for node in range(60)]
+    shared = spark.createDataFrame(rows, "hash long, node long, n int, place int")
+    root = spark.createDataFrame([(i, i) for i in range(60)], "node long, root long")
+    assert simhash.head_pairs(shared.filter("hash = 0"), root, 0.8, 0).count() == 59
+    assert simhash.open_pairs(shared, root, 0.8).count() == 60 * 59 // 2
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (102, 101)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
