@@ -100,15 +100,15 @@ class Router:
 
 
 def fit(vectors, k=20, recall=RECALL, parts=PARTS):
-    """(router, parts to visit) from sample vectors, scaled to length one for routing."""
-    vectors = unit(vectors)
+    """(router, parts to visit) from sample vectors, scaled to length one for routing; true neighbours are those of the vectors as they are."""
+    whole, vectors = vectors, unit(vectors)
     if len(vectors) < 8 * parts:
         return Router(vectors.shape[1], 1), 1
     held = len(vectors) // 4
     part = balanced_cut(graph(vectors[held:], GRAPH), parts)
     router = Router(vectors.shape[1], parts).fit(vectors[held:], part)
     filed = router.log_odds(vectors[held:]).argmax(axis=1)
-    near = vectors[:held] @ vectors[held:].T
+    near = whole[:held] @ whole[held:].T
     true = np.argpartition(-near, k - 1, axis=1)[:, :k]
     rank = np.argsort(np.argsort(-router.log_odds(vectors[:held]), axis=1), axis=1)
     needed = np.take_along_axis(rank, filed[true], axis=1)

@@ -226,6 +226,19 @@ def test_search_recall_and_few_visits_on_clusters(spark):
         assert [(-s, v) for _, v, s in got] == sorted((-s, v) for _, v, s in got)
 
 
+def test_visits_reach_recall_with_skewed_lengths():
+    ran = np.random.default_rng(6)
+    centres = ran.normal(size=(16, 16))
+    vectors = centres[ran.integers(0, 16, 4000)] + 0.3 * ran.normal(size=(4000, 16))
+    vectors *= np.exp(1.5 * ran.normal(size=(4000, 1)))
+    router, visits = neighbours.fit(vectors[:3000])
+    stored, asked = vectors, vectors[3000:]
+    filed = router.log_odds(neighbours.unit(stored)).argmax(axis=1)
+    true = np.argsort(-(asked @ stored.T), axis=1)[:, :20]
+    visited = np.argsort(-router.log_odds(neighbours.unit(asked)), axis=1)[:, :visits]
+    assert np.mean([np.isin(filed[t], v).mean() for t, v in zip(true, visited)]) >= 0.93
+
+
 def test_search_edges(spark, clash, monkeypatch):
     monkeypatch.setattr(neighbours, "CHUNK", 16)
     monkeypatch.setattr(neighbours, "BLOCK", 4)
