@@ -143,7 +143,7 @@ def search(vectors: DataFrame, every=20, k=20, recall=RECALL, sample=SAMPLE, par
 
     All rows are indexed. Rows whose vector is null, zero, or holds null or non-finite components, or
     is not as long as the sample's most frequent length, or whose id is null, take no part. A row is no
-    neighbour of rows with its own id. With fewer than 8 sampled vectors for each part, all are searched.
+    neighbour of rows with its own id. Equal rows ask once; rows of one id with different vectors each have their ``k``. With fewer than 8 sampled vectors for each part, all are searched.
     """
     import pyarrow as pa
 
@@ -173,19 +173,20 @@ def search(vectors: DataFrame, every=20, k=20, recall=RECALL, sample=SAMPLE, par
     counted = filed.select("vec_id", "v", F.col("parts")[0].alias("part")).join(F.broadcast(sizes), "part")  # one row for each part
     chunks = counted.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), "chunks")).groupBy("part", "chunk").agg(
         F.collect_list("vec_id").alias("ids"), F.flatten(F.collect_list("v")).alias("vs"))
-    asked = filed.filter(F.col("vec_id") % every == 0).select("vec_id", "v", F.explode("parts").alias("part"))
+    asking = filed.filter(F.col("vec_id") % every == 0).withColumn("mark", F.xxhash64("v")).groupBy("vec_id", "mark").agg(F.first("v").alias("v"), F.first("parts").alias("parts"))
+    asked = asking.select("vec_id", "mark", "v", F.explode("parts").alias("part"))
     asked_sizes = asked.groupBy("part").agg(F.ceil(F.count("*") / (BLOCK / 2)).alias("blocks"))
     blocks = asked.join(F.broadcast(asked_sizes), "part").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), "blocks")).groupBy("part", "block").agg(
-        F.collect_list("vec_id").alias("query_ids"), F.flatten(F.collect_list("v")).alias("queries"))
+        F.collect_list("vec_id").alias("query_ids"), F.collect_list("mark").alias("marks"), F.flatten(F.collect_list("v")).alias("queries"))
 
     def scored(batches):
         for batch in batches:
-            for ids, vs, asked_ids, asked_vs in zip(*(batch.column(i) for i in range(4))):
-                own_ids, asking = (x.values.to_numpy(zero_copy_only=False) for x in (ids, asked_ids))
+            for ids, vs, asked_ids, asked_marks, asked_vs in zip(*(batch.column(i) for i in range(5))):
+                own_ids, asking, marks = (x.values.to_numpy(zero_copy_only=False) for x in (ids, asked_ids, asked_marks))
                 q, v, s = best(_vectors(asked_vs.values.to_numpy(), dim), asking, _vectors(vs.values.to_numpy(), dim), own_ids, k)
-                yield pa.RecordBatch.from_arrays([pa.array(asking[q]), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(asking[q]), pa.array(marks[q]), pa.array(v), pa.array(s)], ["query_id", "mark", "vec_id", "score"])
 
-    pairs = chunks.join(blocks, "part").select("ids", "vs", "query_ids", "queries").repartition(spark.sparkContext.defaultParallelism * 2, F.xxhash64("ids", "query_ids"))
-    found = pairs.mapInArrow(scored, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = chunks.join(blocks, "part").select("ids", "vs", "query_ids", "marks", "queries").repartition(spark.sparkContext.defaultParallelism * 2, F.xxhash64("ids", "query_ids"))
+    found = pairs.mapInArrow(scored, "query_id long, mark long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -239,6 +239,17 @@ def test_visits_reach_recall_with_skewed_lengths():
     assert np.mean([np.isin(filed[t], v).mean() for t, v in zip(true, visited)]) >= 0.93
 
 
+def test_repeated_queries_keep_all_their_neighbours(spark):
+    ran = np.random.default_rng(9)
+    vectors = [(i, ran.normal(size=4).tolist()) for i in range(60)]
+    other = (40, ran.normal(size=4).tolist())
+    got = {}
+    for r in neighbours.search(spark.createDataFrame([*vectors, vectors[20], vectors[20], other], "vec_id long, embedding array<double>"), k=10).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(x for x, _ in got[20]) == list(range(1, 11)) and len({v for _, v in got[20]} - {40}) >= 9
+    assert sorted(x for x, _ in got[40]) == sorted([*range(1, 11)] * 2)
+
+
 def test_search_edges(spark, clash, monkeypatch):
     monkeypatch.setattr(neighbours, "CHUNK", 16)
     monkeypatch.setattr(neighbours, "BLOCK", 4)
