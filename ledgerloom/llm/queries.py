@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import debruijn, imatch, mixing, neighbours, packing, pseudo_likelihood, simhash, suffix_dedup, token_counts, toxicity
+from ledgerloom.llm import debruijn, imatch, mixing, neighbours, packing, pseudo_likelihood, simhash, spelling, suffix_dedup, token_counts, toxicity
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -66,3 +66,8 @@ def op7(spark, folder):
 def op4(spark, folder):
     docs = documents(spark, folder)
     return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
+
+
+@query("op13_spelling_variants")
+def op13(spark, folder):
+    return spelling.variant_groups(documents(spark, folder))
