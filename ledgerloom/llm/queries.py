@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and their checking SQL where SQL can say it."""
 
-from ledgerloom.llm import debruijn, imatch, mixing, neighbours, packing, parity, pseudo_likelihood, simhash, spelling, suffix_dedup, token_counts, toxicity
+from ledgerloom.llm import alignment, debruijn, imatch, mixing, neighbours, packing, parity, pseudo_likelihood, simhash, spelling, suffix_dedup, token_counts, toxicity
 from ledgerloom.llm.common import documents
 
 QUERIES, CHECKS = {}, {}
@@ -76,3 +76,8 @@ def op13(spark, folder):
 @query("op12_parity_components")
 def op12(spark, folder):
     return parity.joined(documents(spark, folder), words=3, least=90)
+
+
+@query("op11_token_alignment")
+def op11(spark, folder):
+    return alignment.aligned(documents(spark, folder))
