@@ -34,7 +34,7 @@ from ledgerloom.sources.sinks import written
 
 PIECE = 256
 #: Bits of a compact sketch for each shingle of difference; rows of a shard; pairs of a head in one task.
-SHARP, SHARD, MEETINGS = 8, 1024, 256
+SHARP, SHARD, MEETINGS = 16, 1024, 256
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -165,9 +165,8 @@ def _alike(words: int, least: int):
 
 
 def alike(pairs: DataFrame, texts: DataFrame, words: int, least: int) -> DataFrame:
-    """Those of the (u, v) pairs whose texts are similar enough. Each text meets its partners in tasks of
+    """Those of the different (u, v) pairs of a written table whose texts are similar enough. Each text meets its partners in tasks of
     ``MEETINGS`` pairs or so, and is sent once to each; a partner is sent once for each pair."""
-    pairs = written(pairs.distinct())
     counts = pairs.groupBy("u").agg(F.ceil(F.count("*") / MEETINGS).cast("int").alias("salts"))
     salted = written(pairs.join(written(counts), "u").select("u", "v", F.pmod(F.xxhash64("v"), "salts").cast("int").alias("salt")))
     heads = salted.select(F.col("u").alias("node"), "u", "salt", F.lit(None).cast("long").alias("v")).distinct()
@@ -176,6 +175,22 @@ def alike(pairs: DataFrame, texts: DataFrame, words: int, least: int) -> DataFra
     return rows.mapInArrow(_alike(words, least), "u long, v long")
 
 
+def promising(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
+    """Those of the (u, v) pairs whose compact sketches are near enough, so that texts of unlike ones need not meet."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for a, b, one, two in zip(*(column(batch, c) for c in ("n_u", "n_v", "sketch_u", "sketch_v"))):
+                both = folded([one, two])
+                keep.append(int(np.bitwise_count(both[0] ^ both[1]).sum()) <= differing(a, b, least))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    of = lambda side: sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+    return pairs.distinct().join(of("u"), "u").join(of("v"), "v").filter(100 * F.least("n_u", "n_v") >= least * F.greatest("n_u", "n_v")).mapInArrow(run, "u long, v long")
+
+
 def _open_pairs(least: int, forest: bool):
     """Pairs of a shard or of two shards that differ in root and whose sketches are near enough."""
     import pyarrow as pa
@@ -239,7 +254,7 @@ def joined(docs: DataFrame, words=3, least=90, doc_id="doc_id", text="text") ->
     # what shares a key with another class; texts and sketches of the rest are not needed again
     met = written(shared.select("node").distinct())
     texts = written(table.select("node", "blob").join(met, "node", "left_semi"))
-    plain = firsts.select("node", "n", "sketch").join(met, "node", "left_semi")
+    plain = written(firsts.select("node", "n", "sketch").join(met, "node", "left_semi"))
     root = written(met.select("node", F.col("node").alias("root")))
 
     def linked(root, pairs):
@@ -250,11 +265,13 @@ def joined(docs: DataFrame, words=3, least=90, doc_id="doc_id", text="text") ->
         upper = components(edges).select(F.col("node").alias("root"), F.col("root").alias("upper"))
         return written(root.join(upper, "root", "left").select("node", F.coalesce("upper", "root").alias("root")))
 
-    stars = shared.filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))
-    root = linked(root, stars)
+    stars = shared.filter("node <> head").select(F.least("head", "node").alias("u"), F.greatest("head", "node").alias("v"))
+    seen = written(promising(stars, plain, least))
+    root = linked(root, seen)
     for forest in (True, False):
         rows_now = shared.select("key", "node", "is_left").join(root.join(plain, "node"), "node")
-        root = linked(root, open_pairs(rows_now, least, forest))
+        pairs = written(open_pairs(rows_now, least, forest).distinct().join(seen, ["u", "v"], "left_anti"))
+        root, seen = linked(root, pairs), seen.unionByName(pairs)
     rooted = classes.join(root, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     least_id = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     component = written(rooted.join(least_id, "root").select("digest", "component_id"))
