@@ -7,36 +7,20 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import page_values as v
 from ledgerloom.functions import rules, text
 from ledgerloom.functions.text import clean, col
-from ledgerloom.operators.discovery import inner_text, page_text
+from ledgerloom.operators import dom
+from ledgerloom.operators.discovery import page_text
 from ledgerloom.operators.ordered import keep_first, top_n
 
 # --- static signals ---------------------------------------------------------------------------
 
-ELEMENTS = {
-    "form_count": "<form\\b", "input_count": "<input\\b", "checkbox_count": "<input\\b[^>]*type\\s*=\\s*[\"']?checkbox",
-    "radio_count": "<input\\b[^>]*type\\s*=\\s*[\"']?radio", "range_count": "<input\\b[^>]*type\\s*=\\s*[\"']?range",
-    "number_input_count": "<input\\b[^>]*type\\s*=\\s*[\"']?number", "select_count": "<select\\b", "option_count": "<option\\b",
-    "button_count": "<button\\b", "img_count": "<img\\b", "svg_count": "<svg\\b", "canvas_count": "<canvas\\b",
-    "iframe_count": "<iframe\\b", "anchor_count": "<a\\b", "model_viewer_count": "<model-viewer\\b", "script_count": "<script\\b",
-    "text_block_count": "<p\\b",
-}
-LISTS = {"heading_texts": "<h[1-6][^>]*>(.*?)</h[1-6]>", "button_texts": "<button[^>]*>(.*?)</button>",
-         "label_texts": "<label[^>]*>(.*?)</label>", "link_texts": "<a\\s[^>]*>(.*?)</a>"}
 # Layout and script facts that only a browser can see; taken from the table where it has them.
 BROWSER_COLUMNS = {"large_image_count": 0, "webgl_canvas_count": 0, "large_iframe_count": 0, "visible_large_iframe_count": 0,
                    "three_global": False, "babylon_global": False, "blend4web_global": False, "model_viewer_global": False}
 
 
-def dom_signals(pages: DataFrame, html="html") -> DataFrame:
-    """Element counts, text lists, sources and meta text of every page."""
-    texts = lambda pattern: F.filter(F.transform(F.regexp_extract_all(html, F.lit(f"(?is){pattern}"), 1), inner_text), lambda t: t != "")
-    found = page_text(pages, html).withColumns({
-        **{n: F.regexp_count(html, F.lit(f"(?i){p}")) for n, p in ELEMENTS.items()},
-        **{n: texts(p) for n, p in LISTS.items()},
-        "img_src_hints": F.regexp_extract_all(html, F.lit("(?is)<img\\b[^>]*src\\s*=\\s*[\"']([^\"']*)"), 1),
-        "script_hints": F.regexp_extract_all(html, F.lit("(?is)<script\\b[^>]*src\\s*=\\s*[\"']([^\"']*)"), 1),
-        "meta_description": F.regexp_extract(html, "(?is)<meta\\b[^>]*name=[\"']description[\"'][^>]*content=[\"']([^\"']*)", 1),
-    }).drop(html)
+def dom_signals(pages: DataFrame, html="html", page="page_id") -> DataFrame:
+    """Element counts, text lists, sources and meta texts of every page; ``page`` tells the rows apart."""
+    found = page_text(dom.element_texts(dom.tag_facts(pages, html), page, html), html).drop(html)
     missing = {n: F.lit(d) for n, d in BROWSER_COLUMNS.items() if n not in pages.columns}
     return found.withColumns({**missing, "visible_text_length": F.length("visible_text")})
 
@@ -62,11 +46,12 @@ def _choice_count() -> Column:
 def page_verdict(signals: DataFrame, url="url") -> DataFrame:
     """Active or not, with reason, confidence and source; pages no rule settles stay open."""
     joined = lambda *cols: F.lower(F.concat_ws(" ", *cols))
-    listed = {n: F.array_join(n, " ") for n in LISTS}
+    listed = {n: F.array_join(n, " ") for n in ("heading_texts", "button_texts", "link_texts", "label_texts")}
+    seen = list(listed.values())[:3]  # what the entry, teaser and home tests read
     rows = signals.withColumns({
         "_url": F.lower(url), "_page": joined("title", url, "visible_text"),
         "_body": F.lower("visible_text"),
-        "_all": joined("title", url, "visible_text", *listed.values()),
+        "_all": joined("title", url, "visible_text", *listed.values()), "_seen": joined("title", url, "visible_text", *seen), "_home": joined("title", "visible_text", *seen),
         "_score": rules.total(control_terms()), "_choices": _choice_count(),
         "_steps": F.size(F.filter(F.concat("heading_texts", "label_texts", "button_texts"), lambda t: F.lower(t).rlike(v.STEP_PATTERN))) >= 2,
         "_host": text.domain_of(url),
@@ -76,10 +61,10 @@ def page_verdict(signals: DataFrame, url="url") -> DataFrame:
         "_error": rules.contains_any("_page", v.ERROR_PHRASES),
         "_blocked": rules.any_of([F.contains(F.col("_body"), F.lit(a)) & rules.contains_any("_body", b) for a, b in v.BLOCKED_PAIRS]),
         "_market": rules.count_hits("_page", v.MARKETPLACE_WORDS), "_editorial": rules.count_hits("_page", v.EDITORIAL_WORDS),
-        "_custom_path": rules.contains_any("_url", v.CUSTOM_PATHS), "_custom_copy": rules.contains_any("_all", v.CUSTOM_COPY),
-        "_entry_copy": rules.contains_any("_all", v.ENTRY_COPY), "_actions": rules.count_hits("_all", v.ACTION_WORDS), "_options": rules.count_hits("_all", v.OPTION_WORDS),
-        "_config_path": rules.contains_any("_url", v.CONFIG_PATHS), "_teaser": rules.contains_any("_all", v.TEASER_WORDS),
-        "_nav": rules.count_hits("_all", v.NAV_WORDS), "_home_copy": rules.count_hits("_all", v.HOME_COPY),
+        "_custom_path": rules.contains_any("_url", v.CUSTOM_PATHS), "_custom_copy": rules.contains_any("_seen", v.CUSTOM_COPY),
+        "_entry_copy": rules.contains_any("_seen", v.ENTRY_COPY), "_actions": rules.count_hits("_all", v.ACTION_WORDS), "_options": rules.count_hits("_all", v.OPTION_WORDS),
+        "_config_path": rules.contains_any("_url", v.CONFIG_PATHS), "_teaser": rules.contains_any("_seen", v.TEASER_WORDS),
+        "_nav": rules.count_hits("_home", v.NAV_WORDS), "_home_copy": rules.count_hits("_home", v.HOME_COPY),
         "_home_exempt": rules.contains_any("_url", v.HOME_EXEMPT_PATHS),
         "_rootish": F.size(F.filter(F.split(F.regexp_extract("_url", "^[a-z]+://[^/?#]*([^?#]*)", 1), "/"), lambda s: (s != "") & ~s.rlike("^[a-z]{2}(-[a-z]{2})?$"))) == 0,
         "_static": F.size(F.filter("img_src_hints", lambda s: F.lower(s).rlike("\\.(jpg|jpeg|png|webp)"))),
@@ -275,17 +260,20 @@ def hybrid_scores(rows: DataFrame) -> DataFrame:
 def gateway_scores(signals: DataFrame, url="url") -> DataFrame:
     """Scores for working tools and for pages that lead to one."""
     c = F.col
+    joined = lambda *lists: F.lower(F.concat_ws(" ", *[F.array_join(n, " ") for n in lists], "meta_description", "meta_og_description", url))
     rows = signals.withColumns({
-        "_blob": F.lower(F.concat_ws(" ", *[F.array_join(n, " ") for n in LISTS], "meta_description", url)), "_url": F.lower(url),
+        "_blob": joined("heading_texts", "button_texts", "link_texts", "label_texts", "cta_texts"), "_gate_blob": joined("heading_texts", "button_texts", "link_texts", "cta_texts"), "_url": F.lower(url),
         "_primary": c("select_count") + c("radio_count") + c("checkbox_count") + c("range_count") + c("number_input_count"),
     }).withColumn("_total", c("_primary") + c("option_count") + c("button_count"))
     tool_url = c("_url").rlike("custom|customi[sz]e|configurator|builder|unique|configure")
+    grid = (c("product_card_count") >= 6) & (c("_primary") == 0) & ~rules.contains_any("_blob", ["apply", "finish"])
     effective = rules.total([
         (tool_url, 2), (rules.contains_any("_blob", v.EFFECTIVE_WORDS), 3), (c("_primary") >= 2, 3), (c("_primary") == 1, 1), (c("_total") >= 6, 2),
-        (c("canvas_count") + c("model_viewer_count") + c("webgl_canvas_count") > 0, 1), (rules.contains_any("_blob", v.FINISH_WORDS), 2)])
+        (c("canvas_count") + c("model_viewer_count") + c("webgl_canvas_count") > 0, 1), (rules.contains_any("_blob", v.FINISH_WORDS), 2), (grid, -3)])
     gateway = rules.total([
-        (rules.contains_any("_blob", v.GATEWAY_PRIMARY_WORDS), 4), (rules.contains_any("_blob", v.GATEWAY_CHOICE_WORDS), 2), (tool_url, 2), (c("_primary") >= 2, -2)])
-    scored = rows.withColumns({"effective_score": effective, "_gateway": gateway, "_penalty": rules.contains_any("_blob", v.GATEWAY_PENALTY_WORDS)})
+        (rules.contains_any("_gate_blob", v.GATEWAY_PRIMARY_WORDS), 4), (rules.contains_any("_gate_blob", v.GATEWAY_CHOICE_WORDS), 2), (c("dialog_count") > 0, 3),
+        (c("product_card_count") >= 3, 2), (c("clickable_count") >= 6, 1), (tool_url, 2), (c("_primary") >= 2, -2)])
+    scored = rows.withColumns({"effective_score": effective, "_gateway": gateway, "_penalty": rules.contains_any("_gate_blob", v.GATEWAY_PENALTY_WORDS)})
     gate = F.when(c("_penalty") & (c("_gateway") > 0), c("_gateway") - 1).otherwise(c("_gateway"))
     return scored.select(
         *signals.columns, "effective_score", (c("effective_score") >= 5).alias("is_effective"), gate.alias("gateway_score"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import page_values as v
 from ledgerloom.operators import discovery, pages
 from ledgerloom.plans import check_sql as c
+from ledgerloom.plans import dom_sql
 from ledgerloom.plans.catalog import query
 from ledgerloom.plans.discovery_queries import _P as PAGE
 from ledgerloom.plans.discovery_queries import LINKS
@@ -13,27 +14,36 @@ from ledgerloom.sources import registry_files, sinks
 from ledgerloom.streaming import jobs
 
 # Pages as given, with controls and copy appended by position (the given pages have none).
-_CONTROLS = """concat(html, CASE page_id % 6
+_CONTROLS = """concat(html, CASE page_id % 10
     WHEN 0 THEN '<form><label>Select size</label><label>Choose colour</label><input type="radio"><input type="radio"><input type=checkbox><input type="checkbox"><input type="range"><select><option>A</option></select><button>Apply</button><button>Customize</button></form>'
     WHEN 1 THEN '<p>This domain is for sale. Buy this domain at Sedo</p>' WHEN 2 THEN '<p>404 Not Found</p>'
     WHEN 3 THEN '<article>Interview with the author. Published reviews</article>' WHEN 4 THEN '<img src="a.jpg"><img src="b.png"><model-viewer src="x.glb"></model-viewer><script src="three.min.js"></script>'
+    WHEN 5 THEN '<div class="card"><a href="/one"><img src="A.JPG"></a><span>Nested <b>bold</b> text here</span><div>deeper block of text</div></div><div role="button">View in your space</div><input type=submit value="Send it"><button aria-label="Drag to rotate"></button><a>no address</a><a href="x.usdz" rel="ar">AR</a>'
+    WHEN 6 THEN '<div class="popup big"><h2>Choose product</h2><h2>CHOOSE PRODUCT</h2></div><dialog>shut</dialog><div style="display: none" class="modal">unseen</div><meta property="og:description" content="Build yours"><meta name="description" content="Pick a model"><video></video><textarea></textarea><input type="text">'
+    WHEN 7 THEN '<p>Coming soon' WHEN 8 THEN concat('<div class="tile"><img src="', page_id % 3, '.png"><span>Model one</span></div><div class="tile"><img src="2.png"><span>Model two</span></div><div class="tile"><img src="3.webp"><a href="#">Model three</a></div><a href="/custom">Design your own</a><button>Choose your bag</button>')
     ELSE '' END)"""
+_URL = "CASE WHEN page_id % 10 = 8 THEN url || '/custom' WHEN page_id % 40 = 9 THEN 'https://jobs.upwork.com/x' WHEN page_id % 40 = 19 THEN regexp_extract(url, '^(https?://[^/]+)', 1) || '/en/' ELSE url END"
 
 
 def a_pages(t):
-    return t.pages.select("page_id", "url", F.expr(_CONTROLS).alias("html"))
+    return t.pages.select("page_id", F.expr(_URL).alias("url"), F.expr(_CONTROLS).alias("html"))
 
 
 def signals(t):
     return pages.dom_signals(a_pages(t))
 
 
-_COUNTS = ", ".join(f"len(regexp_extract_all(html, '(?i){p.replace(chr(39), chr(39) * 2)}')) AS {n}" for n, p in pages.ELEMENTS.items())
-query("t18_dom_signals", f"WITH p AS (SELECT page_id, {_CONTROLS} AS html FROM @pages) SELECT page_id, {_COUNTS} FROM p")(
-    lambda t: signals(t).select("page_id", *pages.ELEMENTS)
+_PAGES = f"WITH p AS (SELECT page_id, {_URL} AS url, {_CONTROLS} AS html FROM @pages), "
+_SUMS = ["text_block_count", "dialog_count", "clickable_count", "product_card_count"]
+query("t18_dom_signals", _PAGES + dom_sql.SIGNALS + f" SELECT page_id, {', '.join([*dom_sql.COUNTS, *_SUMS])} FROM sig")(
+    lambda t: signals(t).select("page_id", *dom_sql.COUNTS, *_SUMS)
+)
+query("t18_dom_texts", _PAGES + dom_sql.SIGNALS + f" SELECT page_id, {', '.join([*dom_sql.TEXTS, 'meta_description', 'meta_og_description'])} FROM sig")(
+    lambda t: signals(t).select("page_id", *[F.array_join(n, " | ").alias(n) for n in dom_sql.TEXTS], "meta_description", "meta_og_description")
 )
 
-query("t20_page_verdict")(lambda t: pages.page_verdict(signals(t)).select("page_id", "control_score", "active", "reason", "confidence", "source"))
+query("t20_page_verdict", _PAGES + dom_sql.VERDICTS + " SELECT * FROM verdicts")(
+    lambda t: pages.page_verdict(signals(t)).select("page_id", "control_score", "active", "reason", "confidence", "source"))
 
 _W = lambda ws: c.any_hit("body", ws)
 query("t20_keyword_negatives", f"""
@@ -44,7 +54,9 @@ query("t20_keyword_negatives", f"""
             pages.rules.count_hits("body", v.EDITORIAL_WORDS).alias("editorial_hits"), pages.rules.count_hits("body", v.MARKETPLACE_WORDS).alias("marketplace_hits"))
 )
 
-query("t26_gateway_scores")(lambda t: pages.gateway_scores(signals(t)).select("page_id", "effective_score", "is_effective", "gateway_score", "is_gateway"))
+query("t26_gateway_scores", _PAGES + dom_sql.GATEWAYS)(
+    lambda t: pages.gateway_scores(signals(t)).select("page_id", "effective_score", F.col("is_effective").cast("int").alias("is_effective"), "gateway_score", F.col("is_gateway").cast("int").alias("is_gateway"))
+)
 
 # --- metrics from events --------------------------------------------------------------------------
 _VIS = {"model_viewer_count": "event_id % 13 = 0", "asset_3d_count": "event_id % 5 = 0", "model_content_type_count": "event_id % 7 = 0", "webgl_canvas_count": "event_id % 3 = 0",

@@ -91,7 +91,7 @@ def test_page_verdicts(spark):
         "blocked": ("https://d.com/", "<p>Your account was suspended</p>", "NO"), "plain": ("https://e.com/x", "<p>Hello there</p>", ""),
     }
     frame = spark.createDataFrame([(k, u, h) for k, (u, h, _) in cases.items()], "k string, url string, html string")
-    got = {r.k: r.active for r in pages.page_verdict(pages.dom_signals(frame)).collect()}
+    got = {r.k: r.active for r in pages.page_verdict(pages.dom_signals(frame, page="k")).collect()}
     assert got == {k: v for k, (_, _, v) in cases.items()}
 
 
