@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["text_queries", "hub_queries", "registry_queries", "matching_queries", "discovery_queries", "lines_queries", "pages_queries"]
+MODULES = ["text_queries", "hub_queries", "registry_queries", "matching_queries", "discovery_queries", "lines_queries", "pages_queries", "answers_queries"]
 
 
 def _load():
