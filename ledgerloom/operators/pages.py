@@ -313,6 +313,28 @@ def rank_internal_links(links: DataFrame, key, limit=8) -> DataFrame:
     return top_n(scored, key, [F.desc("link_score"), F.asc("link_url")], limit, "link_rank").select(key, "link_rank", "link_url", "link_text", "link_score")
 
 
+def company_tokens(name) -> Column:
+    """Words of a company's name that can stand in its domain: three or more letters or digits, no legal forms."""
+    return F.filter(F.regexp_extract_all(F.lower(clean(name)), F.lit("[a-z0-9]+"), 0), lambda t: (F.length(t) > 2) & ~t.isin(v.COMPANY_STOP_WORDS))
+
+
+def rank_external_links(links: DataFrame, key, company="company", limit=8, links_read=250) -> DataFrame:
+    """Best external links per page as seeds of a search: official-looking ones, and those with the company's words in their host.
+
+    The first ``links_read`` different links of a page are looked at; of one address the first that scores.
+    """
+    rows = split_links(links).withColumns({"_href": F.lower("link_url"), "_said": F.lower("link_text")})
+    first = top_n(keep_first(rows, [key, "_href", "_said"], "link_position"), key, [F.asc("link_position")], links_read, "_place")
+    seen = first.withColumn("link_url", text.canonical_url("link_url")).withColumns({"_url": F.lower("link_url"), "_tokens": company_tokens(company)})
+    seen = seen.filter(seen._url.rlike("^https?://") & ~rules.contains_any("_url", v.EXCLUDED_LINK_PARTS) & ~F.col("is_internal")).withColumns({
+        "_full": F.concat_ws(" ", "_url", F.lower("link_text")), "_host": text.domain_of("link_url")})
+    named = F.size(F.filter("_tokens", lambda t: F.contains("_host", t)))
+    official = ~rules.contains_any("_full", v.NO_SITE_WORDS) & (rules.contains_any("_full", v.SITE_WORDS) | (named > 0))
+    score = F.when(official, 6).otherwise(0) + F.least(named * 3, F.lit(6)) + F.when(rules.contains_any("_full", v.SEED_WORDS), 2).otherwise(0) + F.when(F.col("link_text") != "", 1).otherwise(0)
+    scored = keep_first(seen.withColumn("link_score", score).select(key, "link_position", "link_url", "link_text", "link_score"), [key, "link_url"], "link_position", where=F.col("link_score") > 0)
+    return top_n(scored, key, [F.desc("link_score"), F.asc("link_url")], limit, "link_rank").select(key, "link_rank", "link_url", "link_text", "link_score")
+
+
 def unprocessed(inputs: DataFrame, done: DataFrame, url="url") -> DataFrame:
     """Distinct input addresses that have no output yet."""
     return inputs.select(url).distinct().join(done.select(url).distinct(), url, "left_anti")

@@ -182,6 +182,24 @@ query("w11_ranked_links", _L + f"""
     SELECT page_id, link_rank, lu AS link_url, link_text, link_score FROM r WHERE link_rank <= 8""")(
     lambda t: pages.rank_internal_links(links(t), "page_id")
 )
+_SEED_URL = """CASE link_position % 6 WHEN 0 THEN 'https://www.acme-tools.example.org/x?y=' || page_id WHEN 1 THEN 'https://cdn.acme.example.net/blog/' WHEN 2 THEN 'https://amazon.de/acme' WHEN 3 THEN 'https://plain.example.net/p/' || link_position
+    WHEN 4 THEN 'https://www.facebook.com/acme' ELSE link_url END"""
+_SEED_TEXT = "CASE WHEN link_position % 6 = 3 AND page_id % 2 = 0 THEN '' WHEN link_position % 6 = 0 THEN 'Official site' ELSE link_text END"
+_COMPANY = "CASE page_id % 3 WHEN 0 THEN 'The ACME Tools GmbH' WHEN 1 THEN 'Plain & Co' ELSE '' END"
+query("w11_external_seeds", LINKS + f""", x AS (SELECT page_id, url, link_position, {_SEED_TEXT} AS link_text, {_SEED_URL} AS link_url, {_COMPANY} AS company FROM links),
+    sp AS (SELECT *, {c.domain('url')} AS page_host, {c.domain('link_url')} AS link_host, row_number() OVER (PARTITION BY page_id, lower(link_url), lower(link_text) ORDER BY link_position) AS again FROM x),
+    f AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY link_position) AS place FROM sp WHERE again = 1),
+    cn AS (SELECT *, CASE WHEN regexp_matches(link_url, '^[a-z]+://[^/]*/?$') THEN rtrim(link_url, '/') || '/' ELSE rtrim(split_part(split_part(link_url, '#', 1), '?', 1), '/') END AS lu FROM f
+           WHERE place <= 250 AND NOT (page_host = link_host OR ends_with(link_host, '.' || page_host) OR ends_with(page_host, '.' || link_host))),
+    t AS (SELECT *, lower(lu || ' ' || link_text) AS ful, len(list_filter(regexp_extract_all(lower(company), '[a-z0-9]+'), lambda w: length(w) > 2 AND w NOT IN ({c.quoted(v.COMPANY_STOP_WORDS)}) AND contains(link_host, w))) AS named FROM cn
+          WHERE NOT {c.any_hit('lower(lu)', v.EXCLUDED_LINK_PARTS)}),
+    k AS (SELECT *, CASE WHEN NOT {c.any_hit('ful', v.NO_SITE_WORDS)} AND ({c.any_hit('ful', v.SITE_WORDS)} OR named > 0) THEN 6 ELSE 0 END + least(named * 3, 6) + CASE WHEN {c.any_hit('ful', v.SEED_WORDS)} THEN 2 ELSE 0 END + CASE WHEN link_text <> '' THEN 1 ELSE 0 END AS link_score FROM t),
+    g AS (SELECT *, row_number() OVER (PARTITION BY page_id, lu ORDER BY link_position) AS first_ FROM k WHERE link_score > 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY link_score DESC, lu) AS link_rank FROM g WHERE first_ = 1)
+    SELECT page_id, link_rank, lu AS link_url, link_text, link_score FROM r WHERE link_rank <= 8""")(
+    lambda t: pages.rank_external_links(
+        discovery.page_links(t.pages.select("page_id", "url", "html")).select("page_id", "url", "link_position", F.expr(_SEED_TEXT).alias("link_text"), F.expr(_SEED_URL).alias("link_url"), F.expr(_COMPANY).alias("company")), "page_id")
+)
 query("u2_unprocessed_urls", "SELECT DISTINCT url FROM @pages WHERE url NOT IN (SELECT url FROM @pages WHERE page_id % 3 = 0)")(
     lambda t: pages.unprocessed(t.pages, t.pages.filter("page_id % 3 = 0"))
 )
