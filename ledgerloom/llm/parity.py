@@ -5,8 +5,11 @@ distance of two sketches is at most the number of shingles that only one of the
 documents of a and b shingles with a share ``least`` of 100 in common differ in at most
 (a + b) (100 - least) / (100 + least) of them. Documents are dealt to bands of sizes; within a size band
 and towards the next one the largest such difference is d, so a sketch cut into d + 1 pieces agrees in
-one piece at least (pigeonhole). Each piece has ``PIECE`` bits for some ten shingles; its hash is the
-key of an equi-join. The candidates' whole texts are compared, so results are exact.
+one piece at least (pigeonhole). Each piece has ``PIECE`` bits for some eight shingles; its hash is the
+key of an equi-join. A piece of very few bits is in many documents by chance. So larger sketches have
+some more pieces, ``spare`` ones: two documents then agree in spare + 1 pieces, and a document with no
+more poor pieces than that leaves them out, since a rich one is left to meet by. Whoever has more keeps
+all. The candidates' whole texts are compared, so results are exact.
 
 Documents of equal sets are one class. Of the classes that share a key, all first meet the key's head
 (one pair for each row). What these pairs leave in different components meets in bounded shards, where
@@ -33,6 +36,8 @@ from ledgerloom.llm.simhash import LOWER, Forest, shingles
 from ledgerloom.sources.sinks import written
 
 PIECE = 256
+#: Bits below which a piece is poor; pieces from which on a sketch has spare ones, and pieces for each more of them.
+POOR, LARGE, SPARED = 3, 10, 25
 #: Bits of a compact sketch for each shingle of difference; rows of a shard; pairs of a head in one task.
 SHARP, SHARD, MEETINGS = 16, 1024, 256
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -56,14 +61,16 @@ class Bands:
 
     def _extend(self):
         low = self.bounds[-1]
-        self.bounds.append(max(low * 100 // self.least, low * 3 // 2) + 1)
+        self.bounds.append(max(low * 100 // self.least, low * 5 // 4) + 1)
 
-    def pieces(self, band: int) -> int:
-        """Pieces of the sketches of a band and the next one: one more than the largest difference."""
+    def pieces(self, band: int) -> tuple[int, int]:
+        """Pieces of the sketches of a band and the next one, one more than the largest difference and the spare ones; how many are spare."""
         while len(self.bounds) < band + 2:
             self._extend()
         most = self.bounds[band + 1] - 1
-        return differing(most, most * 100 // self.least, self.least) + 1
+        needed = differing(most, most * 100 // self.least, self.least) + 1
+        spare = 2 + needed // SPARED if needed >= LARGE else 0
+        return needed + spare, spare
 
     def reaches_down(self, n: int, band: int) -> bool:
         """Whether a smaller band has sizes that go with n."""
@@ -81,14 +88,16 @@ def hashes(text: str, words: int, known) -> np.ndarray:
     return np.unique(mixed(mixed(total)))
 
 
-def piece_keys(values: np.ndarray, band: int, pieces: int) -> np.ndarray:
-    """Hash of every piece of the parity sketch of a set of hashes."""
+def piece_keys(values: np.ndarray, band: int, pieces: int, spare: int) -> np.ndarray:
+    """Hashes of the pieces of the parity sketch of a set of hashes; without poor ones if they are no more than the spare ones."""
     places, counts = np.unique((values >> np.uint64(9)) % np.uint64(PIECE * pieces), return_counts=True)
     odd = places[counts % 2 == 1]
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed((odd + np.uint64(1)) * _FACTOR), dtype=np.uint64)))
     cuts = np.searchsorted(odd, np.arange(pieces + 1, dtype=np.uint64) * np.uint64(PIECE))
     salts = mixed((np.arange(pieces, dtype=np.uint64) + np.uint64(band << 32)) * _FACTOR)
-    return mixed(((sums[cuts[1:]] - sums[cuts[:-1]]) ^ salts) * _FACTOR).view(np.int64)
+    keys = mixed(((sums[cuts[1:]] - sums[cuts[:-1]]) ^ salts) * _FACTOR).view(np.int64)
+    poor = np.diff(cuts) < POOR
+    return keys[~poor] if poor.sum() <= spare else keys
 
 
 def compact(values: np.ndarray, pieces: int) -> bytes:
@@ -128,9 +137,9 @@ def sketched(docs: DataFrame, words: int, least: int, doc_id="doc_id", text="tex
                 n, lefts, rights, sketch = len(values), None, None, None
                 if n:
                     band = bands.of(n)
-                    lefts, sketch = piece_keys(values, band, bands.pieces(band)), compact(values, bands.pieces(band))
+                    lefts, sketch = piece_keys(values, band, *bands.pieces(band)), compact(values, bands.pieces(band)[0])
                     if bands.reaches_down(n, band):
-                        rights = piece_keys(values, band - 1, bands.pieces(band - 1))
+                        rights = piece_keys(values, band - 1, *bands.pieces(band - 1))
                 rows.append((node, doc, n, hashlib.blake2b(values.tobytes(), digest_size=16).digest(), lefts, rights, sketch, pack(text.encode("utf-8", "surrogatepass"))))
                 node += 1
             each = list(zip(*rows)) if rows else [()] * len(names)
