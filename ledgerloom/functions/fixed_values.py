@@ -394,3 +394,19 @@ BLUESIGN_COUNTRIES = [
     "Iceland", "India", "Ireland", "Italy", "Japan", "Latvia", "Lithuania", "Malaysia", "Mexico", "Norway", "Poland",
     "Portugal", "Romania", "Serbia", "Slovakia", "Slovenia", "Spain", "Sweden", "Taiwan", "Turkey", "Ukraine", "USA",
 ]
+
+# Key column and key columns of each registry, in order.
+REGISTRY_KEYS = {
+    "grs": ("record_key", ["company_name", "country", "certificate_number", "product_category_raw", "product_process_description", "source_page"]),
+    "fsc": ("record_key", ["licence", "certificate_code", "organization_name", "role", "site_status", "state_province", "country_area"]),
+    "green_circle": ("record_key", ["certificate_id", "company_name", "product_name", "product_type", "certification_claim", "effective_date", "expiration_date", "location"]),
+    "epd": ("record_key", ["epd_number", "product_name", "organization_name", "product_url"]),
+    "gots": ("supplier_key", ["company_name", "country", "product_category", "brand_name", "detail_url"]),
+    "b_corp": ("company_key", ["company_name", "profile_url", "certified_since"]),
+    "peta": ("company_key", ["company_name", "website_url", "compliance_code"]),
+    "fair_for_life": ("partner_key", ["normalised partner_name", "normalised location_text", "partner_url"]),
+    "ewg": ("product_key", ["normalised product_name", "more_info_url"]),
+    "oeko_tex": ("brand_key", ["brand_name", "website_url", "standards_raw", "country_id", "source_file"]),
+}
+# Registries whose rows without a key are told apart by all their columns.
+WHOLE_ROW_KEYS = ["gots"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions import text
-from ledgerloom.operators import registry, summaries
+from ledgerloom.operators import registry, registry_keys, summaries
 from ledgerloom.operators.ordered import keep_first
 from ledgerloom.plans import check_sql as c
 from ledgerloom.plans.catalog import query
@@ -149,6 +149,51 @@ for _name, _keys in DEDUP_KEYS.items():
         lambda t, keys=_keys: keep_first(rows_view(t).select(*ORDER, *dict.fromkeys(["company", "product", "licence", *keys])), keys, list(ORDER)).select(*ORDER, "company", "product", "licence")
     )
 
+# --- keys of the single registries ---------------------------------------------------------------
+# Where each key column comes from in the registry rows; repeated values are wanted, so that rows fall together.
+KEY_COLUMNS = {
+    "company_name": "company", "organization_name": "company", "partner_name": "company", "brand_name": "brand", "product_name": "product", "product_category_raw": "category", "product_category": "category",
+    "product_process_description": "product", "country": "country", "country_area": "country", "state_province": "level", "location": "country", "location_text": "country", "certificate_number": "licence", "licence": "licence",
+    "certificate_code": "licence", "certificate_id": "licence", "epd_number": "licence", "role": "level", "site_status": "status", "product_type": "category", "certification_claim": "claim", "standards_raw": "claim", "source_page": "page",
+    "effective_date": "date_text", "expiration_date": "expiry", "certified_since": "date_text", "product_url": "url", "detail_url": "url", "profile_url": "url", "website_url": "url", "partner_url": "url", "more_info_url": "url",
+    "compliance_code": "level", "country_id": "country_id", "source_file": "file",
+}
+
+
+def _key_columns(registry):
+    return [n.removeprefix("normalised ") for n in fixed.REGISTRY_KEYS[registry][1]]
+
+
+def _key_sql(registry):
+    return "sha256(" + " || '|' || ".join(c.key(n.removeprefix("normalised ")) if n.startswith("normalised ") else c.clean(n) for n in fixed.REGISTRY_KEYS[registry][1]) + ")"
+
+
+# a third of the rows come with a key of their own, that several rows share, and a third without any
+GIVEN = "CASE src_ordinal % 3 WHEN 0 THEN concat(' k', page, ' ') WHEN 1 THEN '' ELSE NULL END"
+
+
+def _keyed_rows(t, registry):
+    own = [F.col(KEY_COLUMNS[n]).alias(n) for n in dict.fromkeys(_key_columns(registry))]
+    return rows_view(t).select(*ORDER, *own, F.expr(GIVEN).alias(fixed.REGISTRY_KEYS[registry][0]))
+
+
+def _keyed_sql(registry):
+    own = ", ".join(f"{KEY_COLUMNS[n]} AS {n}" for n in dict.fromkeys(_key_columns(registry)))
+    return ROWS + f", kr AS (SELECT {', '.join(ORDER)}, {own}, {GIVEN} AS {fixed.REGISTRY_KEYS[registry][0]} FROM reg)"
+
+
+for _name in fixed.REGISTRY_KEYS:
+    query(f"p5_key_{_name}", _keyed_sql(_name) + f" SELECT {', '.join(ORDER)}, {_key_sql(_name)} AS computed_key FROM kr")(
+        lambda t, r=_name: registry_keys.with_key(_keyed_rows(t, r), r).select(*ORDER, F.col(fixed.REGISTRY_KEYS[r][0]).alias("computed_key"))
+    )
+for _name, _given in (("grs", False), ("fsc", True), ("gots", True), ("green_circle", True), ("epd", True)):
+    _column = fixed.REGISTRY_KEYS[_name][0]
+    _anew = "sha256(" + " || '|' || ".join(c.clean(n) for n in [*dict.fromkeys(_key_columns(_name)), _column]) + ")" if _name in fixed.WHOLE_ROW_KEYS else _key_sql(_name)
+    _own = f"coalesce(nullif({c.clean(_column)}, ''), {_anew})" if _given else _key_sql(_name)
+    query(f"w1_dedup_{_name}_records", _keyed_sql(_name) + f", d AS (SELECT *, {_own} AS whole_key FROM kr), r AS (SELECT *, {_first_of(['whole_key'])} FROM d) SELECT {', '.join(ORDER)}, coalesce({_column}, '') AS given_key FROM r WHERE rn = 1")(
+        lambda t, r=_name, g=_given, k=_column: registry_keys.deduplicated(_keyed_rows(t, r), r, ORDER, g).select(*ORDER, F.coalesce(k, F.lit("")).alias("given_key"))
+    )
+
 # --- grouped summaries --------------------------------------------------------------------------
 
 
