@@ -19,6 +19,7 @@ merges never leave a pre-token, and no piece of the other vocabulary has a space
 """
 
 import hashlib
+import itertools
 import os
 import re
 
@@ -72,12 +73,13 @@ class Flat:
     def __init__(self):
         self.values, self.bounds = np.empty(1 << 16, np.int32), np.zeros(1, np.int64)
 
-    def extend(self, lists):
-        flat, used = np.fromiter((x for one in lists for x in one), np.int32), int(self.bounds[-1])
+    def extend(self, flat: np.ndarray, sizes):
+        """Adds lists of so many values each."""
+        used = int(self.bounds[-1])
         while used + len(flat) > len(self.values):
             self.values = np.concatenate((self.values, np.empty(len(self.values), np.int32)))
         self.values[used : used + len(flat)] = flat
-        self.bounds = np.concatenate((self.bounds, used + np.cumsum([len(one) for one in lists])))
+        self.bounds = np.concatenate((self.bounds, used + np.cumsum(sizes)))
 
     def of(self, numbers):
         """Values of the numbered lists in turn, and the length of each."""
@@ -120,26 +122,81 @@ class Encoders:
     def numbers(self, found: list[str]) -> np.ndarray:
         """Numbers of the words; new ones are encoded."""
         new = list(set(found).difference(self.known))
-        for at in range(0, len(new), AT_ONCE):
-            part = new[at : at + AT_ONCE]
-            a = [x.ids for x in self.a.encode_batch_fast([" " + w for w in part], add_special_tokens=False)]
-            # an empty word is a space alone, which the library would not encode
-            b = [ids if w else [self.b.piece_to_id("▁")] for w, ids in zip(part, self.b.encode(part, num_threads=1))]
-            own = [(" " + w).encode("utf-8", "surrogatepass") for w in part]
-            sound = [b"".join(map(self.a_bytes.__getitem__, x)) == w == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, w in zip(a, b, own)]
-            self.flat[0].extend(a)
-            self.flat[1].extend(b)
-            self.sound = np.concatenate((self.sound, np.array(sound, bool)))
-            self.known.update(zip(part, range(len(self.known), len(self.known) + len(part))))
+        plain = [w for w in new if w and not w[-1].isspace() and w[-1] != "\u180e" and "▁" not in w]
+        for at in range(0, len(plain), AT_ONCE):
+            self._learn_together(plain[at : at + AT_ONCE])
+        if len(plain) < len(new):
+            self._learn_each(list(set(new).difference(plain)))
         self.size += sum(map(len, new)) + 100 * len(new)
         return np.fromiter(map(self.known.__getitem__, found), np.int32, len(found))
 
-    def encoded(self, text: str):
-        """Numbers of all words of a text; None if a tokenizer's bytes are not the text's, or it is empty."""
-        if not text:
-            return None
-        numbers = np.concatenate([self.numbers(part) for part in words(text)])
-        return numbers if self.sound[numbers].all() else None
+    def _learn(self, part, ids, sizes, sound):
+        for flat, own, n in zip(self.flat, ids, sizes):
+            flat.extend(own, n)
+        self.sound = np.concatenate((self.sound, sound))
+        self.known.update(zip(part, range(len(self.known), len(self.known) + len(part))))
+
+    def _learn_together(self, part: list[str]):
+        """Encodes words between which both tokenizers are bound to cut as one text, and divides its tokens among them."""
+        text = " " + " ".join(part)
+        raw = text.encode("utf-8", "surrogatepass")
+        ids = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:], num_threads=1)
+        word_ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in part])
+        places, sound = [], True
+        for own, spelled, size in zip(ids, (self.a_bytes, self.b_bytes), self.sizes):
+            ends = np.cumsum(size[own])
+            places.append(np.searchsorted(ends, word_ends))
+            sound = sound and b"".join(map(spelled.__getitem__, own)) == raw and (ends[np.minimum(places[-1], len(ends) - 1)] == word_ends).all()
+        if sound:
+            self._learn(part, [np.array(own, np.int32) for own in ids], [np.diff(p, prepend=-1) for p in places], np.ones(len(part), bool))
+        else:
+            self._learn_each(part)
+
+    def _learn_each(self, part: list[str]):
+        a = [x.ids for x in self.a.encode_batch_fast([" " + w for w in part], add_special_tokens=False)]
+        # an empty word is a space alone, which the library would not encode
+        b = [ids if w else [self.b.piece_to_id("▁")] for w, ids in zip(part, self.b.encode(part, num_threads=1))]
+        own = [(" " + w).encode("utf-8", "surrogatepass") for w in part]
+        sound = [b"".join(map(self.a_bytes.__getitem__, x)) == w == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, w in zip(a, b, own)]
+        self._learn(part, [np.fromiter(itertools.chain.from_iterable(x), np.int32) for x in (a, b)], [[len(one) for one in x] for x in (a, b)], np.array(sound, bool))
+
+    def encoded(self, texts: list) -> list:
+        """Numbers of all words of each text; None if a tokenizer's bytes are not the text's, or it is empty.
+
+        Some ``WORDS`` words are looked up at once, of one text or of many.
+        """
+        parts, found, owners = [[] for _ in texts], [], []
+
+        def look_up():
+            numbers, at = self.numbers(found), 0
+            for owner, n in owners:
+                parts[owner].append(numbers[at : at + n])
+                at += n
+            found.clear()
+            owners.clear()
+
+        for owner, text in enumerate(texts):
+            for part in words(text) if text else ():
+                found += part
+                owners.append((owner, len(part)))
+                if len(found) > WORDS:
+                    look_up()
+        look_up()
+        whole = [np.concatenate(p) if p else None for p in parts]
+        return [n if n is not None and self.sound[n].all() else None for n in whole]
+
+
+def together(rows, size: int):
+    """Lists of successive (id, text) rows of some ``size`` characters, each of one row at least."""
+    taken, n = [], 0
+    for row in rows:
+        taken.append(row)
+        n += len(row[1])
+        if n >= size:
+            yield taken
+            taken, n = [], 0
+    if taken:
+        yield taken
 
 
 def encoders(byte_bpe: str, piece_bpe: str) -> Encoders:
@@ -354,10 +411,10 @@ def _aligned(byte_bpe: str, piece_bpe: str):
 
         for batch in batches:
             types["doc_id"] = batch.schema.field("doc_id").type
-            for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text")):
-                numbers = enc.encoded(text)
-                slicer.add(Doc(rid, doc_id, numbers is None), numbers)
-                rid += 1
+            for some in together(zip(column(batch, "doc_id"), column(batch, "text")), STRETCH):
+                for (doc_id, _), numbers in zip(some, enc.encoded([text for _, text in some])):
+                    slicer.add(Doc(rid, doc_id, numbers is None), numbers)
+                    rid += 1
                 if enc.size > REMEMBERED:
                     slicer.align()  # waiting words are known by number
                     enc.clear()
