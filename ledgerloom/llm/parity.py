@@ -117,37 +117,46 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return rows
 
 
-def sketched(docs: DataFrame, words: int, least: int, doc_id="doc_id", text="text") -> DataFrame:
-    """A written table with one row for each row of ``docs``: number, id, size and digest of its set, keys of
-    its pieces as a left and as a right partner, compact sketch, compressed text."""
+def band_keys(least: int):
+    """Function from a set's hashes to its keys as a left and as a right partner, and its compact sketch."""
+    bands = Bands(least)
+
+    def keys(values):
+        n = len(values)
+        if not n:
+            return None, None, None
+        band = bands.of(n)
+        rights = piece_keys(values, band - 1, *bands.pieces(band - 1)) if bands.reaches_down(n, band) else None
+        return piece_keys(values, band, *bands.pieces(band)), rights, compact(values, bands.pieces(band)[0])
+
+    return keys
+
+
+def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text", mark=None) -> DataFrame:
+    """A written table with one row for each row of ``docs``: number, id, size and digest of its set, the keys
+    and the compact sketch that ``keys_of()`` makes of its hashes, compressed text, and ``mark`` of the text, if asked for."""
     import pyarrow as pa
 
-    names = ["node", "doc_id", "n", "digest", "lefts", "rights", "sketch", "blob"]
+    names = ["node", "doc_id", "n", "digest", "lefts", "rights", "sketch", "blob", "mark"]
 
     def run(batches):
         import zstandard
 
         known = remembered("parity words", lambda w: xxhash.xxh64_intdigest(w, 42))
-        node, bands, pack = TaskContext.get().partitionId() << ROW_BITS, Bands(least), zstandard.ZstdCompressor(level=3).compress
+        node, keys, pack = TaskContext.get().partitionId() << ROW_BITS, keys_of(), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             known.trimmed()
             rows = []
-            for doc, text in zip(column(batch, "doc_id"), column(batch, "text")):
-                values = hashes(text, words, known)
-                n, lefts, rights, sketch = len(values), None, None, None
-                if n:
-                    band = bands.of(n)
-                    lefts, sketch = piece_keys(values, band, *bands.pieces(band)), compact(values, bands.pieces(band)[0])
-                    if bands.reaches_down(n, band):
-                        rights = piece_keys(values, band - 1, *bands.pieces(band - 1))
-                rows.append((node, doc, n, hashlib.blake2b(values.tobytes(), digest_size=16).digest(), lefts, rights, sketch, pack(text.encode("utf-8", "surrogatepass"))))
+            for doc, said in zip(column(batch, "doc_id"), column(batch, "text")):
+                values = hashes(said, words, known)
+                rows.append((node, doc, len(values), hashlib.blake2b(values.tobytes(), digest_size=16).digest(), *keys(values), pack(said.encode("utf-8", "surrogatepass")), mark(said) if mark else None))
                 node += 1
             each = list(zip(*rows)) if rows else [()] * len(names)
-            kinds = [pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            kinds = [pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(each, kinds)], names)
 
     rows = whole_texts(docs, doc_id, text)
-    return written(rows.mapInArrow(run, f"node long, doc_id {dict(rows.dtypes)['doc_id']}, n long, digest binary, lefts array<long>, rights array<long>, sketch binary, blob binary"))
+    return written(rows.mapInArrow(run, f"node long, doc_id {dict(rows.dtypes)['doc_id']}, n long, digest binary, lefts array<long>, rights array<long>, sketch binary, blob binary, mark long"))
 
 
 def _alike(words: int, least: int):
@@ -185,7 +194,7 @@ def alike(pairs: DataFrame, texts: DataFrame, words: int, least: int) -> DataFra
 
 
 def promising(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
-    """Those of the (u, v) pairs whose compact sketches are near enough, so that texts of unlike ones need not meet."""
+    """Those of the different (u, v) pairs whose compact sketches are near enough, so that texts of unlike ones need not meet."""
     import pyarrow as pa
 
     def run(batches):
@@ -197,7 +206,7 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     of = lambda side: sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
-    return pairs.distinct().join(of("u"), "u").join(of("v"), "v").filter(100 * F.least("n_u", "n_v") >= least * F.greatest("n_u", "n_v")).mapInArrow(run, "u long, v long")
+    return pairs.join(of("u"), "u").join(of("v"), "v").filter(100 * F.least("n_u", "n_v") >= least * F.greatest("n_u", "n_v")).mapInArrow(run, "u long, v long")
 
 
 def _open_pairs(least: int, forest: bool):
@@ -245,25 +254,23 @@ def open_pairs(rows: DataFrame, least: int, forest: bool) -> DataFrame:
     return alone.unionByName(between).mapInArrow(_open_pairs(least, forest), "u long, v long")
 
 
-def joined(docs: DataFrame, words=3, least=90, doc_id="doc_id", text="text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int, first: DataFrame = None) -> DataFrame:
+    """(node, root): the least node reachable over links, of every class that may have one.
 
-    A document's set are its distinct runs of ``words`` words, A-Z in lower case; fewer words are one run. Two
-    documents link when they have ``least`` of 100 shingles of both in common; a component's id is its least
-    doc_id (null if it has none). Null and wordless texts have no shingles and link with nothing, so their
-    component is their own id. Repeated rows stay and are copies; no rows give no rows.
+    ``table`` is made by ``sketched``, ``classes`` has the nodes to be linked; ``first`` are pairs (u, v) to be compared
+    with those of the keys' heads.
     """
-    table = sketched(docs, words, least, doc_id, text)
-    classes = written(table.filter("n > 0").groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("first_id")))
     firsts = written(table.select("node", "n", "sketch", "lefts", "rights").join(classes.select("node"), "node", "left_semi"))
     side = lambda name, left: firsts.filter(f"{name} IS NOT NULL").select(F.explode(name).alias("key"), "node", F.lit(left).alias("is_left"))
     rows = side("lefts", True).unionByName(side("rights", False))
     keys = written(rows.groupBy("key").agg(F.min(F.when(F.col("is_left"), F.col("node"))).alias("head"), F.count("*").alias("size")).filter("size > 1 AND head IS NOT NULL").select("key", "head"))
     shared = written(rows.join(keys, "key"))
-    # what shares a key with another class; texts and sketches of the rest are not needed again
-    met = written(shared.select("node").distinct())
+    pairs = shared.filter("node <> head").select(F.least("head", "node").alias("u"), F.greatest("head", "node").alias("v"))
+    pairs = written((pairs if first is None else pairs.unionByName(first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))).distinct())
+    # texts and sketches of what meets no other class are not needed again
+    met = written(shared.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct())
+    plain = written(firsts.select("node", "n", "sketch").filter("n > 0").join(met, "node", "left_semi"))
     texts = written(table.select("node", "blob").join(met, "node", "left_semi"))
-    plain = written(firsts.select("node", "n", "sketch").join(met, "node", "left_semi"))
     root = written(met.select("node", F.col("node").alias("root")))
 
     def linked(root, pairs):
@@ -274,13 +281,26 @@ def joined(docs: DataFrame, words=3, least=90, doc_id="doc_id", text="text") ->
         upper = components(edges).select(F.col("node").alias("root"), F.col("root").alias("upper"))
         return written(root.join(upper, "root", "left").select("node", F.coalesce("upper", "root").alias("root")))
 
-    stars = shared.filter("node <> head").select(F.least("head", "node").alias("u"), F.greatest("head", "node").alias("v"))
-    seen = written(promising(stars, plain, least))
+    seen = written(promising(pairs, plain, least))
     root = linked(root, seen)
     for forest in (True, False):
         rows_now = shared.select("key", "node", "is_left").join(root.join(plain, "node"), "node")
         pairs = written(open_pairs(rows_now, least, forest).distinct().join(seen, ["u", "v"], "left_anti"))
         root, seen = linked(root, pairs), seen.unionByName(pairs)
+    return root
+
+
+def joined(docs: DataFrame, words=3, least=90, doc_id="doc_id", text="text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+
+    A document's set are its distinct runs of ``words`` words, A-Z in lower case; fewer words are one run. Two
+    documents link when they have ``least`` of 100 shingles of both in common; a component's id is its least
+    doc_id (null if it has none). Null and wordless texts have no shingles and link with nothing, so their
+    component is their own id. Repeated rows stay and are copies; no rows give no rows.
+    """
+    table = sketched(docs, words, lambda: band_keys(least), doc_id, text)
+    classes = written(table.filter("n > 0").groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("first_id")))
+    root = linked_classes(table, classes, words, least)
     rooted = classes.join(root, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     least_id = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     component = written(rooted.join(least_id, "root").select("digest", "component_id"))

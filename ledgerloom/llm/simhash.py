@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import column, whole_texts
 from ledgerloom.llm.components import components
-from ledgerloom.llm.encoding import remembered
 from ledgerloom.sources.sinks import written
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -205,211 +204,3 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, doc_id="do
     prints = written(fingerprints(docs, words, doc_id, text))
     return prints.join(near_groups(prints, radius), "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-#: For groups by similarity: fingerprints of distinct words, each with hashes of its own, and their radius.
-TABLES, WIDE = 4, 4
-ROW = "ledgerloom_row"
-
-
-def sketches(text: str) -> list[int]:
-    """Majority of the bits of the hashes of a text's distinct words, for each table, signed."""
-    found = set(text.encode("utf-8", "surrogatepass").translate(LOWER).split())
-    if not found:
-        return [0] * TABLES
-    digest = xxhash.xxh128_digest
-    hashes = np.frombuffer(b"".join(digest(w, seed) for w in found for seed in range(TABLES // 2)), np.uint8).reshape(len(found), -1)
-    counts = np.zeros(64 * TABLES, np.int64)
-    for at in range(0, len(hashes), BLOCK // 4):
-        counts += np.unpackbits(hashes[at : at + BLOCK // 4], axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(found)).view(">i8").astype(np.int64).tolist()
-
-
-def similarity(a: str, b: str, words: int) -> float:
-    """Share of shingles in both of the shingles in either; texts without words are alike."""
-    one, two = set(shingles(a, words)), set(shingles(b, words))
-    return len(one & two) / len(one | two) if one or two else 1.0
-
-
-def _sketched(batches):
-    import hashlib
-
-    import pyarrow as pa
-
-    for batch in batches:
-        texts = column(batch, "text")
-        digests = [hashlib.blake2b(b" ".join(x.encode("utf-8", "surrogatepass").translate(LOWER).split()), digest_size=16).digest() for x in texts]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(digests, pa.binary()), pa.array([sketches(x) for x in texts], pa.list_(pa.int64()))], [*batch.schema.names[:-1], "digest", "prints"])
-
-
-def _similar(words, least):
-    import pyarrow as pa
-
-    def run(batches):
-        for batch in batches:
-            keep = [similarity(a, b, words) >= least for a, b in zip(column(batch, "text_u"), column(batch, "text_v"))]
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-#: Documents whose shingles tell which are common, at most; common shingles told apart; rows of a shingle in one task.
-SAMPLE, COMMON, SALT_ROWS = 2048, 1 << 16, 2048
-_FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
-
-def shingle_hashes(text: str, words: int, known) -> np.ndarray:
-    """Distinct 64-bit hashes of a text's shingles; ``known`` has the hashes of words.
-
-    A text of fewer words has none: its only shingle is in no other text.
-    """
-    found = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
-    n = len(found) - words + 1
-    if n < 1:
-        return np.zeros(0, np.int64)
-    each = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-    hashes = np.zeros(n, np.uint64)
-    for k in range(words):
-        hashes = hashes * _FACTOR + each[k : k + n]
-    hashes = (hashes ^ (hashes >> np.uint64(32))) * _MIX
-    return np.unique((hashes ^ (hashes >> np.uint64(29))).view(np.int64))
-
-
-def _known_words():
-    return remembered("shingle words", lambda w: xxhash.xxh64_intdigest(w, SEED))
-
-
-def common_shingles(texts: DataFrame, words: int):
-    """(hashes in order, sampled documents that hold each) of shingles that several of a sample of documents hold."""
-    import pyarrow as pa
-
-    def run(batches):
-        known = _known_words()
-        for batch in batches:
-            known.trimmed()
-            for text in column(batch, "text"):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text, words, known))], ["hash"])
-
-    sampled = texts.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("text").repartition(texts.sparkSession.sparkContext.defaultParallelism)
-    counts = sampled.mapInArrow(run, "hash long").groupBy("hash").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "hash").limit(COMMON)
-    found = sorted((r["hash"], r.n) for r in counts.collect())  # COMMON rows at most
-    return np.array([h for h, _ in found], np.int64), np.array([n for _, n in found], np.int64)
-
-
-def prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
-    """(hash, node, n, place): of each text's n shingles the first in one order of all, rarer before common ones.
-
-    There are so many that two texts with ``least`` of their shingles in common have one of these in common.
-    """
-    import pyarrow as pa
-
-    shared = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words))
-
-    def run(batches):
-        common, counts = shared.value
-        known = _known_words()
-        for batch in batches:
-            known.trimmed()
-            for node, text in zip(column(batch, "node"), column(batch, "text")):
-                hashes = shingle_hashes(text, words, known)
-                if not len(hashes):
-                    continue
-                at = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
-                held = np.where(common[at] == hashes, counts[at], 0) if len(common) else np.zeros(len(hashes), np.int64)
-                size = len(hashes) - int(np.ceil(least * len(hashes) - 1e-9)) + 1
-                first = hashes[np.argsort(held, kind="stable")[:size]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(first), pa.array(np.full(size, node, np.int64)), pa.array(np.full(size, len(hashes), np.int32)), pa.array(np.arange(size, dtype=np.int32))],
-                    ["hash", "node", "n", "place"])
-
-    return texts.mapInArrow(run, "hash long, node long, n int, place int")
-
-
-def _fits(least):
-    """Whether rows u and v of a shingle can be the first in common of texts with ``least`` of their shingles in common."""
-    most = F.least(F.col("n_u") - F.col("place_u"), F.col("n_v") - F.col("place_v"))
-    return (F.col("node_u") != F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & (most * (1 + least) >= least * (F.col("n_u") + F.col("n_v")) - 1e-6)
-
-
-def _sided(rows, side):
-    return rows.select(*[F.col(c).alias(c if c in ("hash", "salt") else f"{c}_{side}") for c in rows.columns])
-
-
-def _open_rows(shared, root):
-    """Rows of the shingles that texts of several groups have, with their groups, and the shingles' sizes."""
-    rows = written(shared.join(root, "node"))
-    sizes = rows.groupBy("hash").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).filter("low < high")
-    return rows.join(sizes.select("hash", "size"), "hash")
-
-
-def head_pairs(shared: DataFrame, root: DataFrame, least: float, turn: int) -> DataFrame:
-    """(u, v): the open pairs with one text of each common shingle, another one each turn."""
-    rows = written(_open_rows(shared, root).drop("size"))
-    one = rows.groupBy("hash").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "hash"]), F.xxhash64("node", F.lit(turn))).alias("head")).select("hash", "head.*")
-    both = _sided(rows, "u").join(_sided(one, "v"), "hash").filter(_fits(least))
-    return both.select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v")).distinct()
-
-
-def open_pairs(shared: DataFrame, root: DataFrame, least: float) -> DataFrame:
-    """(u, v): all pairs of texts of different groups that a common shingle of their prefixes makes possible.
-
-    Shingles of many rows are salted.
-    """
-    rows = written(_open_rows(shared, root).withColumn("salts", F.ceil(F.col("size") / SALT_ROWS).cast("int")))
-    left = rows.withColumn("salt", F.pmod(F.xxhash64("node"), "salts").cast("int")).drop("size", "salts")
-    right = rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("size", "salts")
-    both = _sided(left, "u").join(_sided(right, "v"), ["hash", "salt"]).filter((F.col("node_u") < F.col("node_v")) & _fits(least))
-    return both.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
-
-
-def without_near_copies(docs: DataFrame, words=5, least=0.8, doc_id="doc_id", text="text") -> DataFrame:
-    """``docs`` with all columns, of each group of near copies the row with the smallest doc_id (null last).
-
-    Texts of the same words, but for the case of A-Z, are copies. Different ones are linked if they share at least
-    ``least`` of their ``words``-word shingles; groups are the links' components. First candidates are texts
-    with a SimHash of their words within ``WIDE`` bits in any of ``TABLES`` tables; in each table those not
-    yet in one group are compared, nearest first along each tree's spanning forest, by their whole
-    texts. Then texts that share rare shingles are compared with one text of each such shingle, with another one each
-    turn until a turn links nothing, and at last all texts of different groups that have one of their rarest shingles in common, of so many
-    that no pair with ``least`` in common is missed (but for equal 64-bit hashes of a text's different shingles).
-    Rows without words form one group. Ties on doc_id go to the row read first.
-    """
-    spark = docs.sparkSession
-    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    plain = rows.select(ROW, F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = dict(plain.dtypes)["doc_id"]
-    prints = written(plain.mapInArrow(_sketched, f"{ROW} long, doc_id {kind}, digest binary, prints array<long>"))
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", ROW)
-    distinct = written(prints.groupBy("digest").agg(F.min(order).alias("least"), F.first("prints").alias("prints"), F.min(ROW).alias("node")))
-    edges = spark.createDataFrame([], "u long, v long")
-    root = written(distinct.select("node", F.col("node").alias("root")))
-
-    def linked(edges, pairs):
-        """Edges with those of the pairs that are similar enough, and the root of each node."""
-        text_u, text_v = (plain.select(F.col(ROW).alias(c), F.col("text").alias(f"text_{c}")) for c in "uv")
-        found = pairs.join(text_u, "u").join(text_v, "v").select("u", "v", "text_u", "text_v").mapInArrow(_similar(words, least), "u long, v long")
-        edges = written(edges.unionByName(found))
-        joined = components(edges).select("node", F.col("root").alias("joined"))
-        return edges, written(distinct.select("node").join(joined, "node", "left").select("node", F.coalesce("joined", "node").alias("root")))
-
-    for table in range(TABLES):
-        own = written(distinct.select("node", F.col("prints")[table].alias("fingerprint")))
-        heads = own.groupBy("fingerprint").agg(F.min("node").alias("head"))
-        same = own.join(heads, "fingerprint").filter("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v"))
-        near = links(heads.select("fingerprint"), WIDE)
-        left, right = (heads.select(F.col("fingerprint").alias(c), F.col("head").alias(f"{c}_head")) for c in "uv")
-        pairs = same.unionByName(near.join(left, "u").join(right, "v").select(F.col("u_head").alias("u"), F.col("v_head").alias("v")))
-        of_u, of_v = (root.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "uv")
-        edges, root = linked(edges, pairs.join(of_u, "u").join(of_v, "v").filter("root_u <> root_v").select("u", "v"))
-    texts = plain.select(F.col(ROW).alias("node"), "text").join(distinct.select("node"), "node", "left_semi")
-    rows_of = written(prefixes(texts, words, least))
-    several = rows_of.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    shared = written(rows_of.join(several, "hash", "left_semi"))
-    # a group without a link so far is joined through heads, turn by turn, before all its pairs that are left are compared
-    turn, before, now = 0, -1, edges.count()
-    while before < now:
-        edges, root = linked(edges, head_pairs(shared, root, least, turn))
-        turn, before, now = turn + 1, now, edges.count()
-    edges, root = linked(edges, open_pairs(shared, root, least))
-    firsts = distinct.join(root, "node").groupBy("root").agg(F.min("least").alias("least")).select(F.col(f"least.{ROW}").alias(ROW))
-    return rows.join(firsts, ROW, "left_semi").drop(ROW)

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from ledgerloom.llm import debruijn, repeats, simhash, suffix_dedup
+from ledgerloom.llm import debruijn, near_copies, parity, repeats, simhash, suffix_dedup
 from ledgerloom.llm.components import components
 
 
@@ -135,10 +135,15 @@ def test_near_copies_leave_one(spark, corpus, clash):
     far = [w if i % 6 else "changed" for i, w in enumerate(words)]
     clean = [" ".join(f"w{ran.randint(0, 5000)}" for _ in range(300)) for _ in range(20)]
     docs = clash(corpus([" ".join(near), " ".join(words), " ".join(words).upper(), " ".join(far), None, "", *clean], ids=[7, 5, 6, 8, 9, 10, *range(20, 40)]))
-    kept = simhash.without_near_copies(docs)
+    kept = near_copies.without_near_copies(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [5, 8, 9, *range(20, 40)]
-    assert simhash.without_near_copies(docs.limit(0)).count() == 0
+    assert near_copies.without_near_copies(docs.limit(0)).count() == 0
+
+
+def similarity(a, b, words):
+    one, two = set(simhash.shingles(a, words)), set(simhash.shingles(b, words))
+    return len(one & two) / len(one | two) if one or two else 1.0
 
 
 def firsts_of_groups(texts, least=0.8):
@@ -146,7 +151,7 @@ def firsts_of_groups(texts, least=0.8):
     root = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
-            if root[i] != root[j] and simhash.similarity(texts[i], texts[j], 5) >= least:
+            if root[i] != root[j] and similarity(texts[i], texts[j], 5) >= least:
                 low, high = sorted((root[i], root[j]))
                 root = [low if r == high else r for r in root]
     return sorted(set(root))
@@ -163,7 +168,7 @@ def test_appended_cut_and_short_copies_are_linked(spark, corpus):
             block = max(1, n // 20)
             texts += [words, words + prose(max(1, n // 10)), words + prose(n // 5), words[: n - n // 6], words[: n // 2] + prose(block) + words[n // 2 + block :], line + words]
     texts = [" ".join(x) for x in texts] + ["a a a a a", "a a a a a a", "a a", "a a a"]
-    got = sorted(r.doc_id for r in simhash.without_near_copies(corpus(texts)).select("doc_id").collect())
+    got = sorted(r.doc_id for r in near_copies.without_near_copies(corpus(texts)).select("doc_id").collect())
     assert got == firsts_of_groups(texts)
 
 
@@ -174,18 +179,17 @@ def test_copies_meet_beside_an_unlike_head_of_equal_words(spark, corpus):
     head, one, other = mixed(), mixed().split(), mixed().split()
     swapped = lambda x, i: " ".join([*x[:i], x[i + 1], x[i], *x[i + 2 :]])
     texts = [head, " ".join(one), swapped(one, 50), swapped(one, 150), " ".join(other), swapped(other, 90), mixed()]
-    assert len({tuple(simhash.sketches(x)) for x in texts}) == 1
-    got = sorted(r.doc_id for r in simhash.without_near_copies(corpus(texts)).select("doc_id").collect())
+    got = sorted(r.doc_id for r in near_copies.without_near_copies(corpus(texts)).select("doc_id").collect())
     assert got == firsts_of_groups(texts) == [0, 1, 4, 6]
 
 
-def test_heads_leave_few_pairs(spark):
-    """A group of copies that nothing linked yet is as many pairs with heads as it has members, not its square."""
-    rows = [(h, node, 100, h) for h in range(10) for node in range(60)]
-    shared = spark.createDataFrame(rows, "hash long, node long, n int, place int")
-    root = spark.createDataFrame([(i, i) for i in range(60)], "node long, root long")
-    assert simhash.head_pairs(shared.filter("hash = 0"), root, 0.8, 0).count() == 59
-    assert simhash.open_pairs(shared, root, 0.8).count() == 60 * 59 // 2
+def test_a_forest_of_a_group_has_few_pairs(spark):
+    """Copies of one key that nothing linked yet are as many pairs as they need, not their square; with ``forest`` off all pairs are left."""
+    sketch = bytes(8)
+    rows = [(key, node, True, node, 100, sketch) for key in range(2) for node in range(60)]
+    frame = spark.createDataFrame(rows, "key long, node long, is_left boolean, root long, n long, sketch binary")
+    assert parity.open_pairs(frame, 90, True).distinct().count() == 59
+    assert parity.open_pairs(frame, 90, False).distinct().count() == 60 * 59 // 2
 
 
 def test_components(spark):

@@ -64,4 +64,4 @@ def test_run_is_registered(spark):
     assert "pipeline" not in __spark_entry__.oracle_sql()
     assert sorted(n for n in __spark_entry__.queries() if n.startswith("op")) == sorted(
         ["op1_token_counts", "op2_mixed_sources", "op3_imatch_fingerprints", "op4_pseudo_likelihood", "op5_suffix_array_removals",
-         "op6_debruijn_removals", "op7_learned_partition_search", "op8_toxicity", "op9_simhash_components", "op10_packed_pieces"])
+         "op6_debruijn_removals", "op7_learned_partition_search", "op8_toxicity", "op9_simhash_components", "op10_packed_pieces", "op11_token_alignment", "op12_parity_components", "op13_spelling_variants"])
