@@ -344,21 +344,28 @@ def unprocessed(inputs: DataFrame, done: DataFrame, url="url") -> DataFrame:
 
 
 def resource_signals(resources: DataFrame, key, list_size=8, cap=50) -> DataFrame:
-    """Counts (at most ``cap``) and first lists of 3D assets, AR assets, viewers, model types, frames."""
-    rows = resources.withColumns({"_u": F.lower("url"), "_t": F.lower(F.coalesce("content_type", F.lit("")))})
+    """Counts (at most ``cap``) and first lists of 3D assets, AR assets, viewers, model types, frames.
+
+    A resource is an address with its content type, whatever their case; counts and lists are of different
+    addresses (for model types of addresses with their type).
+    """
+    rows = resources.withColumns({"_u": F.lower(clean("url")), "_t": F.lower(clean("content_type"))}).filter("_u <> ''")
     rows = keep_first(rows, [key, "_u", "_t"], "position")
     u, t = F.col("_u"), F.col("_t")
-    ar = F.contains(u, F.lit(".usdz")) | F.contains(t, F.lit("model/vnd.usdz"))
+    model_type = t.startswith("model/") | F.contains(t, F.lit("gltf"))
     flags = {
-        "asset_3d": ~ar & (rules.contains_any(u, v.MODEL_FILES) | t.startswith("model/") | F.contains(t, F.lit("gltf"))), "ar_asset": ar,
-        "viewer_platform": rules.contains_any(u, v.VIEWER_WORDS), "model_content_type": t.startswith("model/") | F.contains(t, F.lit("gltf")),
+        "asset_3d": rules.contains_any(u, v.MODEL_FILES) | model_type | (F.contains(t, F.lit("octet-stream")) & rules.contains_any(u, [f.removeprefix(".") for f in v.MODEL_FILES])),
+        "ar_asset": F.contains(u, F.lit(".usdz")) | F.contains(t, F.lit("model/vnd.usdz")), "viewer_platform": rules.contains_any(u, v.VIEWER_WORDS),
+        "model_content_type": model_type | (F.contains(t, F.lit("model")) & rules.contains_any(t, ["obj", "usdz"])),
         "iframe_configurator": F.contains(t, F.lit("frame")) & rules.contains_any(u, v.FRAME_WORDS),
     }
-    long = rows.select(key, "position", "url", F.explode(F.array_compact(F.array(*[F.when(f, F.lit(n)) for n, f in flags.items()]))).alias("signal"))
+    named = lambda n: F.concat(clean("url"), F.lit(" ["), clean("content_type"), F.lit("]")) if n == "model_content_type" else clean("url")
+    long = rows.select(key, "position", F.inline(F.array_compact(F.array(*[F.when(f, F.struct(F.lit(n).alias("signal"), named(n).alias("said"))) for n, f in flags.items()]))))
+    once = keep_first(long.withColumn("_said", F.lower("said")), [key, "signal", "_said"], "position").drop("_said")
     counts = rows.groupBy(key).agg(F.count("*").alias("resource_count"))
-    per = long.groupBy(key).agg(*[F.least(F.count_if(F.col("signal") == n), F.lit(cap)).cast("int").alias(f"{n}_count") for n in flags])
-    head = top_n(long, [key, "signal"], [F.asc("position"), F.asc("url")], list_size, "_r")
-    lists = head.groupBy(key).agg(*[F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("signal") == n, F.struct("_r", "url")))), lambda s: s["url"]), " | ").alias(f"{n}_urls") for n in flags])
+    per = once.groupBy(key).agg(*[F.least(F.count_if(F.col("signal") == n), F.lit(cap)).cast("int").alias(f"{n}_count") for n in flags])
+    head = top_n(once, [key, "signal"], [F.asc("position"), F.asc("said")], list_size, "_r")
+    lists = head.groupBy(key).agg(*[F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("signal") == n, F.struct("_r", "said")))), lambda s: s["said"]), " | ").alias(f"{n}_urls") for n in flags])
     return counts.join(per, key, "left").join(lists, key, "left").fillna(0).fillna("")
 
 

@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import page_values as v
+from ledgerloom.functions import text
 from ledgerloom.operators import discovery, pages
 from ledgerloom.plans import check_sql as c
 from ledgerloom.plans import dom_sql
 from ledgerloom.plans.catalog import query
 from ledgerloom.plans.discovery_queries import _P as PAGE
-from ledgerloom.plans.discovery_queries import LINKS
+from ledgerloom.plans.discovery_queries import COMPANIES, LINKS, SCORED, companies, scored
 from ledgerloom.plans.matching_queries import DECIDED, decided
+from ledgerloom.plans.registry_queries import MASTER, master
 from ledgerloom.sources import registry_files, sinks
 from ledgerloom.streaming import jobs
 
@@ -270,18 +272,32 @@ query("a32_merged_snapshots", """
 )
 
 
-def resources(t):
-    found = discovery.page_links(t.pages.select("page_id", "url", "html")).select("page_id", F.col("link_position").alias("position"), "link_url", "link_text")
-    return found.selectExpr("page_id", "position", "CASE position % 4 WHEN 0 THEN concat(link_url, '.glb') WHEN 1 THEN concat(link_url, '/three.min.js') WHEN 2 THEN concat(link_url, '.usdz') ELSE 'https://x.example/configurator' END AS url",
-                            "CASE position % 4 WHEN 0 THEN 'model/gltf-binary' WHEN 3 THEN 'frame' ELSE '' END AS content_type")
+_RESOURCE_URL = """CASE position % 9 WHEN 0 THEN concat(link_url, '.glb') WHEN 1 THEN concat(link_url, '/three.min.js') WHEN 2 THEN concat(link_url, '.usdz') WHEN 3 THEN ' https://x.example/configurator' WHEN 4 THEN concat(link_url, '/objfile')
+    WHEN 5 THEN concat(link_url, '/scene') WHEN 6 THEN 'HTTPS://X.example/Configurator' WHEN 7 THEN concat(link_url, '/a.bin') ELSE '' END"""
+_RESOURCE_TYPE = "CASE position % 9 WHEN 0 THEN 'model/gltf-binary' WHEN 3 THEN 'frame' WHEN 4 THEN 'application/octet-stream' WHEN 5 THEN 'x-model-obj' WHEN 6 THEN CASE WHEN page_id % 2 = 0 THEN 'Frame' ELSE 'iframe' END WHEN 7 THEN 'model/vnd.usdz+zip' ELSE NULL END"
 
 
-query("a33_resource_signals", LINKS + """
-    , r AS (SELECT page_id, link_position AS position, CASE link_position % 4 WHEN 0 THEN concat(link_url, '.glb') WHEN 1 THEN concat(link_url, '/three.min.js') WHEN 2 THEN concat(link_url, '.usdz') ELSE 'https://x.example/configurator' END AS url, link_position % 4 AS k FROM links),
-    d AS (SELECT *, row_number() OVER (PARTITION BY page_id, lower(url), k ORDER BY position) AS rn FROM r)
-    SELECT page_id, count(*) AS resource_count, least(50, count(*) FILTER (WHERE k = 0)) AS asset_3d_count, least(50, count(*) FILTER (WHERE k = 2)) AS ar_asset_count, least(50, count(*) FILTER (WHERE contains(lower(url), 'three'))) AS viewer_platform_count,
-           count(*) FILTER (WHERE k = 0) AS model_content_type_count, count(*) FILTER (WHERE k = 3) AS iframe_configurator_count FROM d WHERE rn = 1 GROUP BY 1""")(
-    lambda t: pages.resource_signals(resources(t), "page_id").drop("asset_3d_urls", "ar_asset_urls", "viewer_platform_urls", "model_content_type_urls", "iframe_configurator_urls")
+def all_resources(t):
+    found = discovery.page_links(t.pages.select("page_id", "url", "html")).select("page_id", F.col("link_position").alias("position"), "link_url")
+    return found.select("page_id", "position", F.expr(_RESOURCE_URL).alias("url"), F.expr(_RESOURCE_TYPE).alias("content_type"))
+
+
+def _listed(flag, value, name):
+    return f"""(SELECT page_id, '{name}' AS signal, said, position FROM (SELECT page_id, {value} AS said, position, row_number() OVER (PARTITION BY page_id, lower({value}) ORDER BY position) AS again FROM d WHERE rn = 1 AND {flag}) WHERE again = 1)"""
+
+
+_MODEL_TYPE = "(starts_with(t, 'model/') OR contains(t, 'gltf'))"
+_SIGNALS = {
+    "asset_3d": (f"({c.any_hit('u', v.MODEL_FILES)} OR {_MODEL_TYPE} OR (contains(t, 'octet-stream') AND {c.any_hit('u', [x[1:] for x in v.MODEL_FILES])}))", "cu"), "ar_asset": ("(contains(u, '.usdz') OR contains(t, 'model/vnd.usdz'))", "cu"),
+    "viewer_platform": (c.any_hit("u", v.VIEWER_WORDS), "cu"), "model_content_type": (f"({_MODEL_TYPE} OR (contains(t, 'model') AND (contains(t, 'obj') OR contains(t, 'usdz'))))", "cu || ' [' || ct || ']'"),
+    "iframe_configurator": (f"(contains(t, 'frame') AND {c.any_hit('u', v.FRAME_WORDS)})", "cu")}
+query("a33_resource_signals", LINKS + f"""
+    , r AS (SELECT page_id, position, {c.clean(_RESOURCE_URL)} AS cu, {c.clean(_RESOURCE_TYPE)} AS ct FROM (SELECT page_id, link_position AS position, link_url FROM links)),
+    d AS (SELECT *, lower(cu) AS u, lower(ct) AS t, row_number() OVER (PARTITION BY page_id, lower(cu), lower(ct) ORDER BY position) AS rn FROM r WHERE cu <> ''),
+    l AS ({' UNION ALL '.join(_listed(flag, value, n) for n, (flag, value) in _SIGNALS.items())}), p AS (SELECT *, row_number() OVER (PARTITION BY page_id, signal ORDER BY position, said) AS place FROM l)
+    SELECT page_id, resource_count, {', '.join(f"coalesce({n}_count, 0) AS {n}_count, coalesce({n}_urls, '') AS {n}_urls" for n in _SIGNALS)} FROM (SELECT page_id, count(*) AS resource_count FROM d WHERE rn = 1 GROUP BY 1)
+    LEFT JOIN (SELECT page_id, {', '.join(f"least(50, count(*) FILTER (WHERE signal = '{n}')) AS {n}_count, string_agg(said, ' | ' ORDER BY place) FILTER (WHERE signal = '{n}' AND place <= 8) AS {n}_urls" for n in _SIGNALS)} FROM p GROUP BY 1) USING (page_id)""")(
+    lambda t: pages.resource_signals(all_resources(t), "page_id")
 )
 query("a35_throughput", "SELECT count(*) AS rows_done, round(avg(value), 4) AS mean_seconds, round(greatest(200000 - count(*), 0) * round(avg(value), 4), 2) AS seconds_left FROM @events")(
     lambda t: pages.throughput(t.events, "value", 200000)
@@ -358,6 +374,19 @@ def _master(t):
 
 query("s2_row_numbers", """
     SELECT cast(2 AS bigint) AS first_row, count(DISTINCT (l_orderkey % 4, l_linenumber)) AS files, count(*) AS rows, count(*) AS last_places, count(*) AS places FROM @lineitem""")(_master)
+def _written_in_order(t, rows, table):
+    """Writes a table in its canonical order and reports on the files."""
+    spark = rows.sparkSession
+    path = f"{sinks.shared_folder(spark)}/{table}"
+    sinks.write_ordered(rows, path, *sinks.ordered_by(table), partitions=7)
+    return sinks.order_report(spark, path, table)
+
+
+_IN_ORDER = "SELECT count(*) AS rows, 0 AS breaks_in_files, 0 AS breaks_between_files FROM "
+query("l2_master_order", MASTER + _IN_ORDER + "master")(lambda t: _written_in_order(t, master(t), "master"))
+query("l2_source_order", SCORED + _IN_ORDER + "scored")(lambda t: _written_in_order(t, scored(t).withColumn("company_name_normalized", text.match_key("company_name")), "sources"))
+query("l2_summary_order", COMPANIES + _IN_ORDER + "uc")(
+    lambda t: _written_in_order(t, discovery.company_summary(companies(t), scored(t)).withColumn("company_name_normalized", text.match_key("company_name")), "summary"))
 query("l2_ordered_output", "SELECT certification, certificate_identifier, src_ordinal, src_tie FROM a_registry")(
     lambda t: t.a_registry.select("certification", "certificate_identifier", "src_ordinal", "src_tie").orderBy("certification", "certificate_identifier", "src_ordinal", "src_tie")
 )

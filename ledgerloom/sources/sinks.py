@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import truncate
@@ -41,7 +41,32 @@ def write_by_decision(audit: DataFrame, path: str) -> None:
     audit.write.mode("overwrite").partitionBy("decision").parquet(path)
 
 
+#: Canonical orders of the written tables: columns, with a minus where the largest come first.
+ORDERS = {
+    "master": ["certification", "evidence_level", "certified_entity_name_normalized_strict", "certified_product_normalized_strict"],
+    "sources": ["company_name_normalized", "-source_score", "source_confidence"],
+    "summary": ["-source_count", "-max_source_score", "company_name_normalized"],
+}
+
+
+def ordered_by(table: str) -> list:
+    """Sort expressions of a table's canonical order."""
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in ORDERS[table]]
+
+
 def write_ordered(df: DataFrame, path: str, *order, partitions=None) -> None:
-    """Globally ordered files: range shuffle, then a sort inside each file."""
+    """Globally ordered files: range shuffle, then a sort inside each file. Rows of equal keys lie in one file."""
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def order_report(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """One row about a written table: its rows, rows out of order inside a file, and files whose range begins
+    before an earlier file's ends. Only one row for each file is compared across files."""
+    keys = [c.lstrip("-") for c in ORDERS[table]]
+    upward = F.struct(*[-F.col(c[1:]) if c.startswith("-") else F.col(c) for c in ORDERS[table]])
+    rows = spark.read.parquet(path).select(*keys, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")).select("file", "place", upward.alias("key"))
+    inside = rows.withColumn("before", F.lag("key").over(Window.partitionBy("file").orderBy("place")))
+    files = inside.groupBy("file").agg(F.count("*").alias("rows"), F.count_if(F.col("before") > F.col("key")).alias("breaks"), F.min("key").alias("low"), F.max("key").alias("high"))
+    overlaps = files.withColumn("reached", F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)))
+    return overlaps.agg(F.sum("rows").alias("rows"), F.sum("breaks").alias("breaks_in_files"), F.count_if(F.col("reached") > F.col("low")).alias("breaks_between_files"))
