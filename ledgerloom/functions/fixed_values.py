@@ -410,3 +410,9 @@ REGISTRY_KEYS = {
 }
 # Registries whose rows without a key are told apart by all their columns.
 WHOLE_ROW_KEYS = ["gots"]
+
+# Header and footer lines of the brand list, and its date line.
+BRAND_LIST_DATE = "(?i)^April\\s+\\d{1,2},\\s+\\d{4}$"
+BRAND_LIST_NOISE = [
+    BRAND_LIST_DATE, "(?i)^Company Name Country / Region$", "(?i)^LIST OF SYSTEM PARTNERS \\(BRANDS ONLY\\)$", "(?i)^Page\\s+\\d+\\s+of\\s+\\d+$",
+]

@@ -123,6 +123,22 @@ def _fields(t):
 query("t4_suffix_split", f"SELECT doc_id, lang || ' ' || source AS brand_name, {_REGION} AS country FROM @documents")(
     lambda t: _fields(t)[0].select("doc_id", _fields(t)[1][0].alias("brand_name"), _fields(t)[1][1].alias("country"))
 )
+_BRAND_LINE = """CASE doc_id % 9 WHEN 0 THEN concat(lang, ' Brand & Co  south KOREA') WHEN 1 THEN concat('Acme ', source, ' USA') WHEN 2 THEN concat(source, ' Atlantis') WHEN 3 THEN 'Germany' WHEN 4 THEN 'Page 3 of 12' WHEN 5 THEN concat('april ', doc_id % 28 + 1, ', 2024')
+    WHEN 6 THEN ' ' WHEN 7 THEN 'List of system partners (brands only)' ELSE concat('Élan ', lang, ' united arab emirates') END"""
+_BRAND_SPLIT = f"""WITH l AS (SELECT source AS source_file, doc_id AS line_number, {_BRAND_LINE} AS raw_line FROM @documents), x AS (SELECT *, {c.clean('raw_line')} AS ln FROM l),
+    s AS (SELECT *, regexp_extract(ln, '(?i)^(.+?)\\s+(South Korea|USA|Germany|United Arab Emirates)$', 1) AS brand_name, lower(regexp_extract(ln, '(?i)^(.+?)\\s+(South Korea|USA|Germany|United Arab Emirates)$', 2)) AS lc,
+          ln = '' OR regexp_matches(ln, '(?i)^April\\s+\\d{{1,2}},\\s+\\d{{4}}$') OR regexp_matches(ln, '(?i)^List of system partners \\(brands only\\)$') OR regexp_matches(ln, '(?i)^Page\\s+\\d+\\s+of\\s+\\d+$') AS noise FROM x),
+    d AS (SELECT source_file, arg_min(ln, line_number) AS registry_date FROM x WHERE regexp_matches(ln, '(?i)^April\\s') GROUP BY 1)"""
+
+
+def _brand_lines(t):
+    return t.documents.select(F.col("source").alias("source_file"), F.col("doc_id").alias("line_number"), F.expr(_BRAND_LINE).alias("raw_line"))
+
+
+query("u3_brand_records", _BRAND_SPLIT + f""" SELECT source_file, line_number, brand_name, {c.key('brand_name')} AS brand_name_normalized, CASE lc WHEN 'south korea' THEN 'South Korea' WHEN 'usa' THEN 'USA' WHEN 'germany' THEN 'Germany' ELSE 'United Arab Emirates' END AS country_region,
+    coalesce(registry_date, '') AS registry_date, ln AS evidence_text FROM s LEFT JOIN d USING (source_file) WHERE NOT noise AND brand_name <> '' AND lc <> ''""")(lambda t: ln.brand_records(_brand_lines(t))[0])
+query("u3_rejected_brand_lines", _BRAND_SPLIT + """ SELECT source_file, line_number, raw_line, CASE WHEN noise THEN 'header/footer/empty' ELSE 'could_not_split_brand_and_country' END AS reason FROM s WHERE noise OR brand_name = '' OR lc = ''""")(
+    lambda t: ln.brand_records(_brand_lines(t))[1])
 _C2C = "array('C2C Certified® ' || lang, 'c2c certified Material Health gold version 3.1', 'GOLD ' || source, 'Version ' || doc_id)"
 query("t5_certification_facets", "SELECT doc_id, 'General | Material Health' AS certification_types, 'Gold' AS certification_levels, CASE WHEN doc_id = 3 THEN '3.1 | 3' ELSE '3.1 | ' || doc_id END AS certification_versions FROM @documents")(
     lambda t: ln.certification_facets(t.documents.select("doc_id", F.expr(_C2C).alias("texts"))).drop("texts")
