@@ -146,15 +146,23 @@ def _share(part, whole) -> Column:
 
 
 def mobile_score(metrics: DataFrame) -> DataFrame:
-    """5 minus layout penalties, with reasons. A missing or zero overflow ratio counts as the worst."""
+    """5 minus layout penalties, with reasons. A missing or zero overflow ratio counts as the worst.
+
+    Touch is a touch point, a coarse pointer or no hovering; the latter two, and the greatest ratios seen while
+    scrolling (``max_small_tap_ratio``, ``max_offscreen_ratio``, ``max_tiny_text_ratio``), are taken where the table
+    has them, else the ratios follow from the counts.
+    """
     c = F.col
+    given = lambda n, otherwise: F.coalesce(F.col(n), F.lit(0.0)) if n in metrics.columns else otherwise
+    has = lambda n: F.coalesce(F.col(n), F.lit(False)) if n in metrics.columns else F.lit(False)
     rows = metrics.withColumns({
         "_over": F.when(F.coalesce(c("overflow_ratio"), F.lit(0.0)) == 0, 999.0).otherwise(c("overflow_ratio")),
-        "_small": _share("small_tap_targets", "total_controls"), "_off": _share("offscreen_controls", "total_controls"), "_tiny": _share("tiny_text_elements", "text_elements"),
+        "_small": given("max_small_tap_ratio", _share("small_tap_targets", "total_controls")), "_off": given("max_offscreen_ratio", _share("offscreen_controls", "total_controls")),
+        "_tiny": given("max_tiny_text_ratio", _share("tiny_text_elements", "text_elements")),
     })
     many, texts = c("total_controls") >= 4, c("text_elements") >= 8
     terms = [
-        (~c("viewport_meta_present"), 1, "no viewport meta"), (~c("mobile_user_agent_detected"), 1, "no mobile agent"), (c("max_touch_points") <= 0, 1, "no touch"),
+        (~c("viewport_meta_present"), 1, "no viewport meta"), (~c("mobile_user_agent_detected"), 1, "no mobile agent"), ((c("max_touch_points") <= 0) & ~has("coarse_pointer") & ~has("hover_none"), 1, "no touch"),
         (c("_over") > 1.20, 4, "severe overflow"), ((c("_over") > 1.08) & (c("_over") <= 1.20), 2, "overflow"), ((c("_over") > 1.03) & (c("_over") <= 1.08), 1, "slight overflow"),
         (many & (c("_small") > 0.60), 2, "most tap targets small"), (many & (c("_small") > 0.30) & (c("_small") <= 0.60), 1, "many tap targets small"),
         (~many & (c("small_tap_targets") >= 3), 1, "small tap targets"),

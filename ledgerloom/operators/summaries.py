@@ -24,6 +24,8 @@ class Summary:
     first: dict = field(default_factory=dict)
     where_filled: str = ""
     evidence: str = ""
+    #: Further columns by SQL expressions over the summary's own.
+    derived: dict = field(default_factory=dict)
 
 
 def fill(template):
@@ -61,7 +63,7 @@ def summarise(df: DataFrame, spec: Summary, order) -> DataFrame:
     result = plain
     if spec.unique or spec.lists:
         result = _with_distincts(base, plain, spec)
-    result = result.drop("_g")
+    result = result.drop("_g").select("*", *[F.expr(e).alias(o) for o, e in spec.derived.items()])
     if spec.evidence:
         result = result.withColumn("evidence_text", fill(spec.evidence))
     return result
@@ -167,7 +169,7 @@ SUMMARIES = {
         unique={"unique_product_names": "product_norm", "unique_licences": "licence"},
         lists={"product_groups": ("category", None), "licence_numbers": ("licence", None)},
         least={"earliest_expiration": "expiry"}, greatest={"latest_expiration": "expiry"},
-        flags={"active_certificates": "active"}, first={**_URL, "source_file": "file"},
+        flags={"active_certificates": "active"}, first={**_URL, "source_file": "file"}, derived={"is_company_currently_active": "active_certificates > 0"},
         evidence="{company_name} has {certified_product_rows} EU Ecolabel product rows across {unique_licences} licence(s). Groups: {product_groups}",
     ),
     "a3_eu_licences": Summary(

@@ -101,6 +101,15 @@ query("t22_mobile_score", f"""
     lambda t: pages.mobile_score(t.events.selectExpr(*_MOBILE)).select("event_id", "mobile_score", "mobile_reasons")
 )
 
+_SCROLLED = [*_MOBILE, "CASE WHEN event_id % 8 = 0 THEN NULL ELSE (event_id % 10) / 10.0e0 END AS max_small_tap_ratio", "(event_id % 7) / 14.0e0 AS max_offscreen_ratio", "(event_id % 9) / 12.0e0 AS max_tiny_text_ratio",
+             "event_id % 5 = 0 AS coarse_pointer", "CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 7 = 0 END AS hover_none"]
+_S_TERMS = [(f"{a} AND NOT coalesce(coarse_pointer, false) AND NOT coalesce(hover_none, false)" if r == "no touch" else a, p, r) for a, p, r in _M_TERMS]
+query("t22_scrolled_mobile_score", f"""
+    WITH m AS (SELECT {', '.join(_SCROLLED)} FROM @events), s AS (SELECT *, CASE WHEN coalesce(overflow_ratio, 0) = 0 THEN 999 ELSE overflow_ratio END AS o, coalesce(max_small_tap_ratio, 0) AS st, max_offscreen_ratio AS os, max_tiny_text_ratio AS tt FROM m)
+    SELECT event_id, greatest(1, least(5, 5 - {c.total([(a, p) for a, p, _ in _S_TERMS])})) AS mobile_score, {c.reasons([(a, r) for a, _, r in _S_TERMS])} AS mobile_reasons FROM s""")(
+    lambda t: pages.mobile_score(t.events.selectExpr(*_SCROLLED)).select("event_id", "mobile_score", "mobile_reasons")
+)
+
 _DEP = ["event_id", *[f"(event_id * {k} + user_id) % {m} AS {n}" for n, k, m in (
     ("dependency_events", 7, 5), ("max_external_changes", 3, 5), ("max_disabled_delta", 11, 6), ("max_text_changes", 5, 4), ("max_selected_changes", 13, 3), ("max_total_delta", 17, 5),
     ("hint_count", 19, 6), ("validation_hint_count", 23, 4), ("disabled_total", 29, 15), ("density", 31, 8), ("stepper_count", 37, 3))]]

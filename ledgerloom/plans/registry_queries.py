@@ -210,6 +210,8 @@ def summary_sql(spec, source):
     parts += [f"arg_min({s}, (src_ordinal, src_tie)) AS {o}" for o, s in spec.first.items()]
     where = f"WHERE {spec.where_filled} <> ''" if spec.where_filled else ""
     inner = f"SELECT {', '.join(parts)} FROM {source} {where} GROUP BY {', '.join(spec.keys.values())}"
+    if spec.derived:
+        inner = f"SELECT *, {', '.join(f'({e})::int AS {o}' for o, e in spec.derived.items())} FROM ({inner})"
     return f"SELECT *, {_evidence_sql(spec.evidence)} AS evidence_text FROM ({inner})" if spec.evidence else inner
 
 
@@ -220,7 +222,7 @@ def stored(rows, spec):
 
 for _name, _spec in summaries.SUMMARIES.items():
     query(_name, ROWS + summary_sql(_spec, "reg"))(
-        lambda t, spec=_spec: summaries.summarise(stored(rows_view(t), spec), spec, ORDER)
+        lambda t, spec=_spec: summaries.summarise(stored(rows_view(t), spec), spec, ORDER).withColumns({o: F.col(o).cast("int") for o in spec.derived})
     )
 
 query("a23_flag_groups", ROWS + """
