@@ -40,6 +40,8 @@ PIECE = 256
 POOR, LARGE, SPARED = 3, 10, 25
 #: Bits of a compact sketch for each shingle of difference; rows of a shard; pairs of a head in one task.
 SHARP, SHARD, MEETINGS = 16, 1024, 256
+#: Bytes of the sketch that rows of keys carry, at most; pairs it lets pass meet by their whole sketches.
+SCREEN = 512
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,6 +119,13 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return rows
 
 
+def screened(sketch):
+    """A sketch folded to ``SCREEN`` bytes at most; no set has none."""
+    if sketch is None or len(sketch) <= SCREEN:
+        return sketch
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, SCREEN // 8), axis=0).tobytes()
+
+
 def band_keys(least: int):
     """Function from a set's hashes to its keys as a left and as a right partner, and its compact sketch."""
     bands = Bands(least)
@@ -137,7 +146,7 @@ def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text",
     and the compact sketch that ``keys_of()`` makes of its hashes, compressed text, and ``mark`` of the text, if asked for."""
     import pyarrow as pa
 
-    names = ["node", "doc_id", "n", "digest", "lefts", "rights", "sketch", "blob", "mark"]
+    names = ["node", "doc_id", "n", "digest", "lefts", "rights", "sketch", "screen", "blob", "mark"]
 
     def run(batches):
         import zstandard
@@ -149,14 +158,15 @@ def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text",
             rows = []
             for doc, said in zip(column(batch, "doc_id"), column(batch, "text")):
                 values = hashes(said, words, known)
-                rows.append((node, doc, len(values), hashlib.blake2b(values.tobytes(), digest_size=16).digest(), *keys(values), pack(said.encode("utf-8", "surrogatepass")), mark(said) if mark else None))
+                lefts, rights, sketch = keys(values)
+                rows.append((node, doc, len(values), hashlib.blake2b(values.tobytes(), digest_size=16).digest(), lefts, rights, sketch, screened(sketch), pack(said.encode("utf-8", "surrogatepass")), mark(said) if mark else None))
                 node += 1
             each = list(zip(*rows)) if rows else [()] * len(names)
-            kinds = [pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64()]
+            kinds = [pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(each, kinds)], names)
 
     rows = whole_texts(docs, doc_id, text)
-    return written(rows.mapInArrow(run, f"node long, doc_id {dict(rows.dtypes)['doc_id']}, n long, digest binary, lefts array<long>, rights array<long>, sketch binary, blob binary, mark long"))
+    return written(rows.mapInArrow(run, f"node long, doc_id {dict(rows.dtypes)['doc_id']}, n long, digest binary, lefts array<long>, rights array<long>, sketch binary, screen binary, blob binary, mark long"))
 
 
 def _alike(words: int, least: int):
@@ -260,7 +270,7 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
     ``table`` is made by ``sketched``, ``classes`` has the nodes to be linked; ``first`` are pairs (u, v) to be compared
     with those of the keys' heads.
     """
-    firsts = written(table.select("node", "n", "sketch", "lefts", "rights").join(classes.select("node"), "node", "left_semi"))
+    firsts = written(table.select("node", "n", "sketch", "screen", "lefts", "rights").join(classes.select("node"), "node", "left_semi"))
     side = lambda name, left: firsts.filter(f"{name} IS NOT NULL").select(F.explode(name).alias("key"), "node", F.lit(left).alias("is_left"))
     rows = side("lefts", True).unionByName(side("rights", False))
     keys = written(rows.groupBy("key").agg(F.min(F.when(F.col("is_left"), F.col("node"))).alias("head"), F.count("*").alias("size")).filter("size > 1 AND head IS NOT NULL").select("key", "head"))
@@ -269,7 +279,7 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
     pairs = written((pairs if first is None else pairs.unionByName(first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))).distinct())
     # texts and sketches of what meets no other class are not needed again
     met = written(shared.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct())
-    plain = written(firsts.select("node", "n", "sketch").filter("n > 0").join(met, "node", "left_semi"))
+    plain = written(firsts.select("node", "n", "sketch", "screen").filter("n > 0").join(met, "node", "left_semi"))
     texts = written(table.select("node", "blob").join(met, "node", "left_semi"))
     root = written(met.select("node", F.col("node").alias("root")))
 
@@ -284,8 +294,9 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
     seen = written(promising(pairs, plain, least))
     root = linked(root, seen)
     for forest in (True, False):
-        rows_now = shared.select("key", "node", "is_left").join(root.join(plain, "node"), "node")
-        pairs = written(open_pairs(rows_now, least, forest).distinct().join(seen, ["u", "v"], "left_anti"))
+        rows_now = shared.select("key", "node", "is_left").join(root.join(plain.select("node", "n", F.col("screen").alias("sketch")), "node"), "node")
+        open_ = written(open_pairs(rows_now, least, forest).distinct().join(seen, ["u", "v"], "left_anti"))
+        pairs = written(promising(open_, plain, least))
         root, seen = linked(root, pairs), seen.unionByName(pairs)
     return root
 

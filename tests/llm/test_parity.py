@@ -75,6 +75,8 @@ def test_sketch_distance_never_exceeds_the_difference():
             apart = len(np.setxor1d(one, two))
             a, b = parity.folded([parity.compact(one, n), parity.compact(two, 4 * n)])
             assert int(np.bitwise_count(a ^ b).sum()) <= apart
+            a, b = parity.folded([parity.screened(parity.compact(one, 4 * n)), parity.compact(two, 3 * n)])
+            assert a.nbytes <= parity.SCREEN and int(np.bitwise_count(a ^ b).sum()) <= apart
             for spare in (0, 1, 5):
                 keys = [set(parity.piece_keys(x, 3, apart + 1 + spare, spare).tolist()) for x in (one, two)]
                 assert keys[0] & keys[1]
