@@ -8,6 +8,7 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -204,6 +205,93 @@ def name_scores(lefts, rights):
     return scores
 
 
+# --- close names of two blocks -------------------------------------------------------------------
+
+SYMBOLS, LEVELS, TILE = 64, 4, 1 << 17
+
+
+class _Block:
+    """Names of one length as codes, bit sets of letter counts and hashed words."""
+
+    def __init__(self, names):
+        words = [sorted(set(n.split(" "))) for n in names]
+        fulls = [" ".join(w) for w in words]
+        self.names, size = np.array(names, dtype=object), len(fulls[0])
+        self.size = size
+        text = np.array(fulls, dtype=f"U{size}")
+        self.codes = text.view(np.uint32).reshape(len(fulls), size)
+        # Characters that share a symbol only make two names look closer.
+        symbols = self.codes % SYMBOLS
+        counts = np.zeros((len(fulls), SYMBOLS), dtype=np.int32)
+        np.add.at(counts, (np.arange(len(fulls))[:, None], symbols), 1)
+        levels = counts[:, :, None] > np.arange(LEVELS)
+        self.bits = np.packbits(levels.reshape(len(fulls), -1), axis=1).view(np.uint64)
+        self.words = np.full((len(fulls), max(map(len, words))), -1, dtype=np.int64)
+        for row, found in enumerate(words):
+            self.words[row, : len(found)] = [hash(w) >> 1 for w in found]
+
+
+def _share_word(a, b, i, j):
+    out = np.zeros(len(i), dtype=bool)
+    for x in range(a.words.shape[1]):
+        left = a.words[i, x]
+        for y in range(b.words.shape[1]):
+            out |= (left == b.words[j, y]) & (left != -1)
+    return out
+
+
+def _block_lcs(a, b, i, j):
+    """Common subsequences of rows i of a, up to one machine word long, and rows j of b."""
+    letters = np.unique(np.concatenate([a.codes.ravel(), b.codes.ravel()]))
+    mine, theirs = np.searchsorted(letters, a.codes), np.searchsorted(letters, b.codes)
+    masks = np.zeros((len(mine), len(letters)), dtype=np.uint64)
+    for at in range(a.size):
+        masks[np.arange(len(mine)), mine[:, at]] |= np.uint64(1 << at)
+    state = np.full(len(i), ~np.uint64(0))
+    for at in range(b.size):
+        used = state & masks[i, theirs[j, at]]
+        state = (state + used) | (state - used)
+    return np.bitwise_count(~state).astype(np.int64)
+
+
+def _close(a, b):
+    """Index pairs that letter counts and common subsequences leave; pairs with a common word pass the latter."""
+    allowed = int(0.2 * (a.size + b.size) + 1e-9)
+    used = np.flatnonzero((a.bits != 0).any(axis=0) | (b.bits != 0).any(axis=0))
+    rights = [np.ascontiguousarray(b.bits[:, w]) for w in used]
+    step = max(1, TILE // len(b.names))
+    for begin in range(0, len(a.names), step):
+        apart = np.zeros((min(step, len(a.names) - begin), len(b.names)), dtype=np.uint16)
+        for w, right in zip(used, rights):
+            apart += np.bitwise_count(a.bits[begin : begin + step, w][:, None] ^ right)
+        i, j = np.nonzero(apart <= allowed)
+        i += begin
+        if len(i) and a.size <= WORD:
+            near = a.size + b.size - 2 * _block_lcs(a, b, i, j) <= allowed
+            near[~near] = _share_word(a, b, i[~near], j[~near])
+            i, j = i[near], j[near]
+        if len(i):
+            yield i, j
+
+
+def close_names(batches):
+    """Pairs of names of (l_block, l_names, r_block, r_names) block pairs that may have close rests."""
+    kept = {}
+
+    def block(key, names):
+        if key not in kept:
+            if len(kept) >= 32:
+                kept.pop(next(iter(kept)))
+            kept[key] = _Block(names.as_py())
+        return kept[key]
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            a, b = (block(batch.column(f"{side}_block")[row].as_py(), batch.column(f"{side}_names")[row]) for side in "lr")
+            for i, j in _close(a, b):
+                yield pa.RecordBatch.from_arrays([pa.array(a.names[i], pa.string()), pa.array(b.names[j], pa.string())], ["left_name", "right_name"])
+
+
 def _by_distinct_pair(score, left, right):
     """Score each different pair of the batch once."""
     pairs = list(zip(left.fillna(""), right.fillna("")))

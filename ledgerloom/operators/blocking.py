@@ -1,50 +1,40 @@
 """Name pairs that can reach a token-set ratio of 80, without comparing all names.
 
-Names are distinct match keys. A pair at or above 80 takes one of three exact routes:
+Names are distinct match keys. A pair at or above 80 takes one of two exact routes:
 
 1. Shared words cover one name. Unshared words then weigh at most (W - 1) / 3 of that name, where a
    word weighs its length plus one and W is their sum, so one of its rarest words up to that weight
    is shared.
-2. The rests are close: at most 0.2 (La + Lb) insertions and deletions. Every edit of a name of
-   length L destroys few of its word bigrams, so at least g - 2L/3 of its g bigrams are shared.
-   When that is two or more for either name, the two rarest shared bigrams stand among the rarest
-   bigrams of both, and the pair meets on a pair of bigrams.
-3. Both names are too short for that: they share one of their L/3 + 1 rarest letters.
-
-Rare features come first in all three, so a word or bigram that a third of all names carry is
-joined on only by the few names that consist of little else.
+2. The rests are close: at most 0.2 (La + Lb) insertions and deletions, so the lengths, the letter
+   counts of each class and the letter counts themselves differ by no more than that. Names go into
+   blocks of one length and class counts; only blocks within that distance meet, and inside two
+   blocks bit sets of the letter counts, then common subsequences, drop the rest.
+
+Rare words come first in route 1, so a word that a third of all names carry is joined on only by the
+few names that consist of little else. Route 2 has no hot keys: a block holds ``BLOCK_NAMES`` names
+at most, and every pair of names meets in one pair of blocks.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.fuzzy import token_set_score
+from ledgerloom.functions.fuzzy import close_names, token_set_score
 from ledgerloom.operators.ordered import salted_join, top_n
 from ledgerloom.sources.sinks import written
 
 LOWEST_CUTOFF = 80.0
-
-
-def _numbered_repeats(features):
-    """Distinguish repeats of a feature inside one name: [ab, ab] gives [ab1, ab2]."""
-    return F.transform(
-        features,
-        lambda f, i: F.concat(f, F.size(F.filter(F.slice(features, F.lit(1), i + 1), lambda g: g == f)).cast("string")),
-    )
+BLOCK_NAMES = 4096
+#: Letter classes of the blocks; every other character is the last class.
+CLASSES = ["aeiou", "dlnrt"]
 
 
 def _features(names):
-    """Words, word bigrams and letters of every distinct name."""
-    words = F.array_sort(F.array_distinct(F.split("name", " ")))
-    bigrams = F.flatten(F.transform("words", lambda w: F.transform(
-        F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(F.concat(F.lit(" "), w), i, F.lit(2)))))
-    shaped = (
-        names.withColumn("words", words)
-        .withColumn("size", F.length(F.array_join("words", " ")))
-        .withColumn("bigrams", bigrams)
-        .withColumn("letters", F.filter(F.split(F.array_join("words", ""), ""), lambda c: c != ""))
-    )
-    return shaped.withColumns({"bigrams": _numbered_repeats(F.col("bigrams")), "letters": _numbered_repeats(F.col("letters"))})
+    """Words of every distinct name, its length, and its letters of each class."""
+    shaped = names.withColumn("words", F.array_sort(F.array_distinct(F.split("name", " "))))
+    full = F.array_join("words", " ")
+    shaped = shaped.withColumn("size", F.length(full))
+    counts = {f"class{i}": F.length(full) - F.length(F.translate(full, letters, "")) for i, letters in enumerate(CLASSES)}
+    return shaped.withColumns(counts).withColumn(f"class{len(CLASSES)}", F.col("size") - sum((F.col(c) for c in counts), F.lit(0)))
 
 
 def _rarest_first(names, feature):
@@ -62,11 +52,31 @@ def _word_prefix(words):
     return F.filter(words, lambda w, i: weight(F.slice(words, F.lit(1), i)) <= (total - 1) / 3 + 1e-9)
 
 
-def _bigram_pairs(prefix):
-    """Hashes of all ordered pairs of the prefix; a hash clash only adds a candidate."""
-    sized = F.size(prefix)
-    return F.array_distinct(F.flatten(F.transform(prefix, lambda f, i: F.transform(
-        F.slice(prefix, i + 2, F.greatest(sized - i - 1, F.lit(0))), lambda g: F.xxhash64(f, g)))))
+def close_pairs(shaped: DataFrame) -> DataFrame:
+    """(left_name, right_name) by route 2, from names with sides, size and class counts."""
+    classes = [f"class{i}" for i in range(len(CLASSES) + 1)]
+    cell = ["size", *classes]
+    # Few cells: neighbours in the order of their counts fill a block together, large ones are split.
+    cells = shaped.groupBy(*cell).count()
+    before = F.sum("count").over(Window.partitionBy("size").orderBy(*classes)) - F.col("count")
+    cells = cells.select(*cell, F.floor(before / BLOCK_NAMES).alias("_run"), F.ceil(F.col("count") / BLOCK_NAMES).alias("_parts"))
+    placed = shaped.join(cells, cell).withColumn("_part", F.pmod(F.xxhash64("name"), F.col("_parts")))
+
+    def blocks(side, prefix):
+        rows = placed.filter(F.col("sides").bitwiseAND(side) > 0).groupBy("size", "_run", "_part").agg(
+            F.collect_list("name").alias("names"), *[F.min(c).alias(f"least_{c}") for c in classes], *[F.max(c).alias(f"most_{c}") for c in classes])
+        named = rows.withColumn("block", F.concat_ws("/", F.lit(prefix), "size", "_run", "_part")).drop("_run", "_part")
+        return named.select(*[F.col(c).alias(f"{prefix}_{c}") for c in named.columns])
+
+    # Lengths of a pair differ by half of the shorter one at most.
+    lengths = F.sequence(F.ceil(F.col("l_size") * 2 / 3 - 1e-9).cast("int"), F.floor(F.col("l_size") * 1.5 + 1e-9).cast("int"))
+    met = blocks(1, "l").withColumn("r_size", F.explode(lengths)).join(blocks(2, "r"), "r_size")
+    gap = lambda c: F.greatest(F.lit(0), F.col(f"l_least_{c}") - F.col(f"r_most_{c}"), F.col(f"r_least_{c}") - F.col(f"l_most_{c}"))
+    met = met.filter(sum((gap(c) for c in classes), F.lit(0)) <= F.floor((F.col("l_size") + F.col("r_size")) * 0.2 + 1e-9))
+    # Pairs of blocks are few and each is much work, so they are dealt out by number.
+    tasks = 4 * shaped.sparkSession.sparkContext.defaultParallelism
+    dealt = met.select("l_block", "l_names", "r_block", "r_names").repartition(tasks, "l_block", "r_block")
+    return dealt.mapInArrow(close_names, "left_name string, right_name string")
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -76,41 +86,20 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     names = names.filter("name <> ''").groupBy("name").agg(F.bit_or("side").alias("sides"))
     # Names are far fewer than rows and are read by every route below.
     shaped = written(_features(names))
-    base = shaped.select("name", "sides", "size", F.size("bigrams").alias("grams"))
     words = _rarest_first(shaped, "words")
-    bigrams = _rarest_first(shaped, "bigrams")
-    needed = F.ceil(F.col("grams") - F.col("size") * 2 / 3 - 1e-9)
-
-    keyed = base.join(words, "name").withColumn("rare_words", _word_prefix(F.col("words")))
+    keyed = shaped.select("name", "sides").join(words, "name").withColumn("rare_words", _word_prefix(F.col("words")))
     on_left, on_right = F.col("sides").bitwiseAND(1) > 0, F.col("sides").bitwiseAND(2) > 0
 
-    def rows(side, column, source, *extra):
-        return source.filter(side).select("name", *extra, F.explode(column).alias("k"))
-
-    def meet(a, b, *extra):
-        b = b.select(F.col("name").alias("right_name"), *[F.col(e).alias(f"r_{e}") for e in extra], "k")
-        a = a.withColumnRenamed("name", "left_name")
-        return salted_join(a, b, "k", "left_name")
-
-    by_left = meet(rows(on_left, "rare_words", keyed), rows(on_right, "words", keyed))
-    by_right = meet(rows(on_left, "words", keyed), rows(on_right, "rare_words", keyed))
-
-    lettered = base.join(bigrams, "name").withColumn("needed", needed)
-    kept = F.when(F.col("needed") >= 2, F.col("grams") - F.col("needed") + 2).otherwise(F.col("grams"))
-    signed = lettered.withColumn("signature", _bigram_pairs(F.slice("bigrams", F.lit(1), kept.cast("int"))))
-    near = meet(rows(on_left, "signature", signed, "size"), rows(on_right, "signature", signed, "size"), "size")
-    close = F.abs(F.col("size") - F.col("r_size")) <= (F.col("size") + F.col("r_size")) * 0.2 + 1e-9
+    def rows(side, column):
+        return keyed.filter(side).select("name", F.explode(column).alias("k"))
 
-    weak = base.filter(needed < 2)
-    letters = weak.select("name", "sides", "size").join(_rarest_first(shaped.join(weak.select("name"), "name"), "letters"), "name")
-    letters = letters.withColumn("rare", F.slice("letters", F.lit(1), (F.floor(F.col("size") / 3) + 1).cast("int")))
-    tiny = meet(rows(on_left, "rare", letters, "size"), rows(on_right, "rare", letters, "size"), "size")
+    def meet(a, b):
+        return salted_join(a.withColumnRenamed("name", "left_name"), b.withColumnRenamed("name", "right_name"), "k", "left_name")
 
+    by_left = meet(rows(on_left, "rare_words"), rows(on_right, "words"))
+    by_right = meet(rows(on_left, "words"), rows(on_right, "rare_words"))
     pair = ["left_name", "right_name"]
-    return (
-        by_left.select(*pair).unionByName(by_right.select(*pair))
-        .unionByName(near.filter(close).select(*pair)).unionByName(tiny.filter(close).select(*pair)).distinct()
-    )
+    return by_left.select(*pair).unionByName(by_right.select(*pair)).unionByName(close_pairs(shaped)).distinct()
 
 
 def similar_names(left: DataFrame, right: DataFrame) -> DataFrame:

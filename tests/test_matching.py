@@ -53,6 +53,19 @@ def test_blocking_finds_every_pair(spark):
     assert got == want
 
 
+def test_close_pairs_of_small_blocks_are_exact_and_few(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "BLOCK_NAMES", 7)
+    left, right = names(5, 220), names(6, 220) + ["a" * 70 + " b", "a" * 71 + " b"]
+    left += ["a" * 70 + " c"]
+    frame = lambda ns: spark.createDataFrame([(n,) for n in ns], "name string")
+    scores = token_set_scores([a for a in left for _ in right], right * len(left))
+    want = {(a, b) for (a, b), s in zip(((a, b) for a in left for b in right), scores) if s >= 80 - 1e-9}
+    found = [(r.left_name, r.right_name) for r in blocking.candidate_pairs(frame(left), frame(right)).collect()]
+    assert len(found) == len(set(found)) and want <= set(found)
+    # Pairs that share frequent letters and bigrams alone are dropped before they are shuffled.
+    assert len(found) <= 3 * len(want)
+
+
 def test_salted_join_splits_hot_keys_and_keeps_every_pair(spark):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 3)], "k string, v int")
