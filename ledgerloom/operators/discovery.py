@@ -1,11 +1,11 @@
 """Supplier-source discovery: companies, candidate fan-out, page text and links, typing, scores."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
 from ledgerloom.functions import rules, text
-from ledgerloom.functions.text import clean, col
+from ledgerloom.functions.text import bound, clean, col
 from ledgerloom.operators.ordered import keep_first, top_n
 from ledgerloom.operators.summaries import Summary, summarise
 
@@ -161,12 +161,11 @@ def catalogue_queries(items: DataFrame, company="company", product="product", co
     joined = lambda *parts: clean(F.concat_ws(" ", *parts))
     listed = F.filter(F.array(
         *[joined(p, c, n, F.lit(w)) for w in CATALOGUE_SEARCH_WORDS], *[joined(p, c, F.lit(w)) for w in CATALOGUE_SEARCH_WORDS], joined(c, p, n)), lambda q: q != "")
-    places = F.posexplode(listed).alias("_at", "query")
-    rows = items.select("*", places)
-    first = rows.withColumn("_k", F.lower("query"))
-    kept = keep_first(first, [*items.columns, "_k"], "_at")
-    number = F.row_number().over(Window.partitionBy(*items.columns).orderBy("_at"))  # 19 rows at most
-    return kept.select(*items.columns, number.alias("query_number"), "query")
+    # All searches of a row stand in one array, so equal ones are found there and only rows are shuffled.
+    lowered = lambda found: F.transform(found, lambda q: F.lower(q))
+    kept = bound(listed, lambda found: bound(lowered(found), lambda keys: F.filter(found, lambda q, i: F.array_position(keys, F.lower(q)) == i + 1)))
+    rows = items.distinct().select("*", F.posexplode(kept).alias("_at", "query"))
+    return rows.select(*items.columns, (F.col("_at") + 1).alias("query_number"), "query")
 
 
 def candidate_urls(hosts: DataFrame, host="host", paths_per_host=35) -> DataFrame:

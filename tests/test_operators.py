@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import hub, lines, pages, registry
+from ledgerloom.operators import discovery, hub, lines, pages, registry
 from ledgerloom.operators.ordered import carry_forward, keep_first, running_total
 from ledgerloom.sources import registry_files
 from ledgerloom.streaming import jobs
@@ -143,3 +143,18 @@ def test_master_build_numbers_rows_by_file(spark, tmp_path):
     assert {r.certification for r in master.filter("certified_company <> 'Delta'").select("certification").collect()} == {"FSC"}
     assert {(r.source_file.rsplit("/", 1)[-1], r.rows, r.error) for r in inventory.collect()} == {("fsc_companies_1.csv", 2, ""), ("fsc_companies_2.csv", 2, ""), ("b_corp_companies.csv", 1, "")}
     assert listed.filter("files_selected > 0").count() == 2
+
+
+def test_catalogue_queries_shuffle_rows_and_not_their_searches(spark):
+    items = spark.createDataFrame([(1, "Acme", "ACME", ""), (1, "Acme", "ACME", ""), (2, "", " ", ""), (3, "Bo", "", "Italy")], "id int, company string, product string, country string")
+    found = discovery.catalogue_queries(items)
+    got = {}
+    for r in found.orderBy("id", "query_number").collect():
+        got.setdefault(r.id, []).append((r.query_number, r.query))
+    words = discovery.CATALOGUE_SEARCH_WORDS
+    # Without a country both forms are equal; equal rows count once; blank names leave the search words.
+    assert got[1] == list(enumerate([*[f"ACME Acme {w}" for w in words], "Acme ACME"], 1))
+    assert got[2] == list(enumerate(words, 1))
+    assert got[3] == list(enumerate([*[f"Bo Italy {w}" for w in words], *[f"Bo {w}" for w in words], "Bo Italy"], 1))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
