@@ -50,15 +50,19 @@ def prepare_registry(master: DataFrame) -> DataFrame:
     })
 
 
-def exact_blocks(items: DataFrame, registry: DataFrame, item_key, registry_key) -> DataFrame:
+def exact_blocks(items: DataFrame, registry: DataFrame, item_key, registry_key, usable=None) -> DataFrame:
     """Block sizes: per item and certification the registry rows that share the key, and the first.
 
-    The registry is aggregated before the join, so a name with very many rows meets each item once.
+    The registry is aggregated before the join, so a name with very many rows meets each item once. ``usable`` tells of a key whether it may match; blocks
+    are chosen after the aggregate, since a filter of the rows would work out their keys once more.
     """
-    blocks = registry.filter(F.col(registry_key) != "").groupBy("certification", F.col(registry_key).alias(item_key)).agg(
+    blocks = written(registry.groupBy("certification", F.col(registry_key).alias(item_key)).agg(
         F.count("*").alias("registry_rows"), F.min(F.struct("src_ordinal", "src_tie")).alias("_first")
-    )
-    joined = salted_join(items.select("id", item_key).filter(F.col(item_key) != ""), blocks, item_key, "id")
+    )).filter(F.col(item_key) != "")
+    if usable is not None:
+        blocks = blocks.filter(usable(item_key))
+    # The salted join reads both sides twice; their keys are computed once.
+    joined = salted_join(written(items.select("id", item_key).filter(F.col(item_key) != "")), blocks, item_key, "id")
     return joined.groupBy("id", "certification").agg(
         F.sum("registry_rows").alias("registry_rows"), F.min("_first").alias("_first")
     ).select("id", "certification", "registry_rows", F.col("_first.src_ordinal").alias("first_ordinal"), F.col("_first.src_tie").alias("first_tie"))

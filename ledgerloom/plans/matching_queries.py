@@ -37,7 +37,7 @@ query("j2_domain_blocks", SIDES + """
     , d AS (SELECT id, unnest(domains) AS h FROM cat),
     j AS (SELECT id, certification, src_ordinal, src_tie FROM d JOIN r ON h = registry_domain WHERE domain_matchable)
     SELECT id, certification, count(*) AS registry_rows, (min((src_ordinal, src_tie)))[1] AS first_ordinal, (min((src_ordinal, src_tie)))[2] AS first_tie FROM j GROUP BY 1, 2""")(
-    lambda t: matching.exact_blocks(items(t).select("id", F.explode("domains").alias("domain")), registry(t).filter("domain_matchable"), "domain", "registry_domain")
+    lambda t: matching.exact_blocks(items(t).select("id", F.explode("domains").alias("domain")), registry(t), "domain", "registry_domain", text.is_matchable_domain)
 )
 
 

@@ -66,6 +66,15 @@ def test_close_pairs_of_small_blocks_are_exact_and_few(spark, monkeypatch):
     assert len(found) <= 3 * len(want)
 
 
+def test_blocks_are_chosen_after_the_aggregate(spark):
+    items = spark.createDataFrame([(1, "a.com"), (2, "shop.org"), (3, ""), (4, "a.com")], "id int, domain string")
+    rows = [("GOTS", "a.com", 5, 1), ("GOTS", "a.com", 4, 9), ("B Corp", "a.com", 7, 0), ("GOTS", "shop.org", 1, 1), ("GOTS", "", 2, 2)]
+    registry = spark.createDataFrame(rows, "certification string, host string, src_ordinal int, src_tie int")
+    got = matching.exact_blocks(items, registry, "domain", "host", lambda k: F.col(k) != "shop.org")
+    want = [(i, *r) for i in (1, 4) for r in (("B Corp", 1, 7, 0), ("GOTS", 2, 4, 9))]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_salted_join_splits_hot_keys_and_keeps_every_pair(spark):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 3)], "k string, v int")
