@@ -11,8 +11,8 @@ Names are distinct match keys. A pair at or above 80 takes one of two exact rout
    blocks bit sets of the letter counts, then common subsequences, drop the rest.
 
 Rare words come first in route 1, so a word that a third of all names carry is joined on only by the
-few names that consist of little else. Route 2 has no hot keys: a block holds ``BLOCK_NAMES`` names
-at most, and every pair of names meets in one pair of blocks.
+few names that consist of little else. Route 2 has no hot keys: a block holds some ``BLOCK_NAMES``
+names, less than about twice as many, and a pair of names meets in one pair of blocks.
 """
 
 from pyspark.sql import DataFrame, Window
