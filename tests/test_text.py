@@ -44,3 +44,12 @@ def test_domains_and_urls(spark):
     hosts = spark.createDataFrame([("db.ewg.org",), ("notewg.org",), ("",)], "h string").select(text.is_matchable_domain("h").alias("m"))
     assert [r.m for r in hosts.collect()] == [False, True, False]
     assert spark.range(1).select(text.domain_suffixes(F.lit("a.b.c")).alias("s")).head().s == ["a.b.c", "b.c", "c"]
+
+
+def test_text_columns_stay_out_of_whole_stage_methods(spark):
+    """Many cleaned columns in one such method outgrow what the JVM compiles."""
+    rows = spark.createDataFrame([("  Café  A ",), ("A  b",), ("plain & simple",), (None,), ("a\n",)], "t string")
+    cleaned = rows.select(text.clean("t").alias("c"), text.match_key("t").alias("k"))
+    plan = rows.select(text.clean("t"))._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "*(" in line and "Project" in line]
+    assert [tuple(r) for r in cleaned.collect()] == [("Café A", "cafe a"), ("A b", "a b"), ("plain & simple", "plain and simple"), ("", ""), ("a", "a")]
