@@ -72,45 +72,71 @@ def _rows(registry):
     return registry.select(*EVIDENCE, "master_record_id", "src_ordinal", "src_tie")
 
 
-def evidence_rows(registry: DataFrame, keep=None) -> DataFrame:
-    """Rows of the registry; with ``keep`` only the first ones of every distinct evidence.
+#: Rows alike in these are candidates of the same items, by the same stages, with the same scores.
+CLASS = [*EVIDENCE, "company_head", "product_head"]
 
-    Rows of one evidence score alike and rank by source order, so a result of at most ``keep`` rows per
-    item and certification never shows later ones. All candidates need all rows.
+
+def _heads(rows, key, flag, rows_per_name):
+    """Places of the first ``rows_per_name`` rows of every name of a certification."""
+    filled = rows.filter(F.col(key) != "").select("certification", key, "master_record_id", "src_ordinal", "src_tie")
+    first = top_n(filled, ["certification", key], [F.asc("src_ordinal"), F.asc("src_tie")], rows_per_name, "_rank")
+    return first.select("master_record_id", F.lit(True).alias(flag))
+
+
+def classed_rows(registry: DataFrame, rows_per_name=5) -> DataFrame:
+    """Registry rows with what their class is made of: evidence, and whether they are among the first of their names."""
+    rows = _rows(registry)
+    rows = rows.join(_heads(rows, "entity_strict", "company_head", rows_per_name), "master_record_id", "left")
+    rows = rows.join(_heads(rows, "registry_product_strict", "product_head", rows_per_name), "master_record_id", "left")
+    return rows.fillna(False, subset=["company_head", "product_head"])
+
+
+def evidence_classes(rows: DataFrame, keep=1) -> DataFrame:
+    """One row per class of registry rows: ``class_id``, and its first ``keep`` rows as ``first_rows``.
+
+    Rows of one class rank by source order, so a result of at most ``keep`` rows per item and certification never shows
+    later ones. With ``keep`` 1 there is also the number of rows, ``evidence_rows``.
     """
-    if keep is None:
-        return _rows(registry)
-    return top_n(_rows(registry), EVIDENCE, [F.asc("src_ordinal"), F.asc("src_tie")], keep, "_rank").drop("_rank")
+    place = F.struct("src_ordinal", "src_tie", "master_record_id")
+    if keep == 1:
+        classes = rows.groupBy(*CLASS).agg(F.count("*").alias("evidence_rows"), F.array(F.min(place)).alias("first_rows"))
+    else:
+        first = top_n(rows, CLASS, [F.asc("src_ordinal"), F.asc("src_tie")], keep, "_rank")
+        classes = first.groupBy(*CLASS).agg(F.array_sort(F.collect_list(place)).alias("first_rows"))
+    return classes.withColumn("class_id", F.monotonically_increasing_id())
+
+
+# A pair's stages as numbers, so that merging stays a hash aggregate: the earliest position, the strongest hint.
+_RANKS = 1_000_000
 
 
 def _stage(pairs, number, rank, hint):
-    return pairs.withColumns({"stage": F.lit(number), "stage_rank": rank.cast("int"), "hint": F.lit(hint)})
+    return pairs.select("profile", "class_id", (F.lit(number * _RANKS) + rank).cast("long").alias("_at"), F.lit(HINTS.index(hint)).alias("_hint"))
 
 
 def exact_candidates(profiles: DataFrame, rows: DataFrame) -> DataFrame:
     left = profiles.filter("company_strict <> ''").withColumn("k", F.col("company_strict"))
     right = rows.filter("entity_strict <> ''").withColumn("k", F.col("entity_strict"))
-    return _stage(salted_join(left, right, "k", "profile"), 1, F.lit(0), HINTS[1]).drop("k")
+    return salted_join(left, right, "k", "profile").drop("k")
 
 
-def domain_candidates(profiles: DataFrame, rows: DataFrame) -> DataFrame:
-    left = profiles.select("*", F.posexplode("domains").alias("_at", "k"))
-    right = rows.filter("domain_matchable").withColumn("k", F.col("registry_domain"))
-    return _stage(salted_join(left, right, "k", "profile"), 2, F.col("_at"), HINTS[0]).drop("k", "_at")
+def domain_candidates(profiles: DataFrame, classes: DataFrame) -> DataFrame:
+    left = profiles.select("profile", F.posexplode("domains").alias("_place", "k"))
+    right = classes.filter("domain_matchable").select("class_id", F.col("registry_domain").alias("k"))
+    return _stage(salted_join(left, right, "k", "profile"), 2, F.col("_place"), HINTS[0])
 
 
-def fuzzy_candidates(profiles, registry, item_key, registry_key, cutoff, stage, hint, names=8, rows_per_name=5) -> DataFrame:
-    """Up to ``names`` similar registry names per item and certification, the first
-    ``rows_per_name`` registry rows of each."""
-    filled = _rows(registry).filter(F.col(registry_key) != "")
+def fuzzy_candidates(profiles, classes, item_key, registry_key, head, cutoff, stage, hint, names=8) -> DataFrame:
+    """Up to ``names`` similar registry names per item and certification, the first registry rows of each."""
+    filled = classes.filter(F.col(registry_key) != "")
     choices = filled.select("certification", F.col(registry_key).alias("name")).distinct()
     pairs = blocking.similar_names(
         profiles.select(F.col(item_key).alias("name")).distinct(), choices.select("name").distinct())
     best = blocking.best_names(pairs, choices, cutoff, names).select("left_name", "right_name", "certification", "name_rank")
-    heads = top_n(filled, ["certification", registry_key], [F.asc("src_ordinal"), F.asc("src_tie")], rows_per_name, "_rank").drop("_rank")
-    named = best.join(heads.withColumn("right_name", F.col(registry_key)), ["certification", "right_name"]).drop("right_name")
-    left = profiles.filter(F.col(item_key) != "").withColumn("left_name", F.col(item_key))
-    return _stage(salted_join(left, named, "left_name", "profile"), stage, F.col("name_rank"), hint).drop("left_name", "name_rank")
+    heads = filled.filter(head).select("class_id", "certification", F.col(registry_key).alias("right_name"))
+    named = best.join(heads, ["certification", "right_name"]).drop("right_name")
+    left = profiles.filter(F.col(item_key) != "").select("profile", F.col(item_key).alias("left_name"))
+    return _stage(salted_join(left, named, "left_name", "profile"), stage, F.col("name_rank"), hint)
 
 
 def merge_candidates(candidates: DataFrame, keys, carried) -> DataFrame:
@@ -137,35 +163,91 @@ def pair_features(pairs: DataFrame, score=name_score) -> DataFrame:
     })
 
 
-def all_candidates(items: DataFrame, registry: DataFrame, keep=None, company_cutoff=80, product_cutoff=82, names=8, rows_per_name=5) -> DataFrame:
-    """Merged candidates of the four blocking stages, per item profile and registry row: all, or those
-    that can be among the ``keep`` best of an item and certification."""
-    profiles = item_profiles(items)
-    # Keys are computed once; the stages then read narrow columns.
-    registry = written(_rows(registry))
-    rows = evidence_rows(registry, keep)
-    stages = [
-        exact_candidates(profiles, rows),
-        domain_candidates(profiles, rows),
-        fuzzy_candidates(profiles, registry, "company_strict", "entity_strict", company_cutoff, 3, HINTS[2], names, rows_per_name),
-        fuzzy_candidates(profiles, registry, "product_strict", "registry_product_strict", product_cutoff, 4, HINTS[3], names, rows_per_name),
-    ]
-    carried = [*PROFILE, *EVIDENCE, "src_ordinal", "src_tie"]
-    return merge_candidates(union_all(stages), ["profile", "master_record_id"], carried)
+def _name_ids(names, table, column, output):
+    return table.join(names.select(F.col("name").alias(column), F.col("name_id").alias(output)), column)
+
 
+def _pair_scores(pairs, names, left, right, output):
+    """Score of every different pair of names, by their ids."""
+    named = lambda column, text_: names.select(F.col("name_id").alias(column), F.col("name").alias(text_))
+    distinct = pairs.select(left, right).distinct().join(named(left, "_l"), left).join(named(right, "_r"), right)
+    # Few pairs, each of them work: dealt out over all tasks.
+    dealt = distinct.repartition(4 * pairs.sparkSession.sparkContext.defaultParallelism, left, right)
+    return written(dealt.select(left, right, name_score("_l", "_r").alias(output)))
 
-def match(items: DataFrame, registry: DataFrame, keep, keep_no_from=80.0, **limits):
-    """(decided candidates per item profile, profile of each item) for results of ``keep`` rows each;
-    ``limits`` are the cutoffs and limits of ``all_candidates``."""
-    decided = decisions.decide(pair_features(all_candidates(items, registry, keep, **limits)), keep_no_from)
-    members = items.join(item_profiles(items), PROFILE).select("id", "profile")
-    return decided, members
+
+def scored_classes(profiles: DataFrame, classes: DataFrame, company_cutoff=80, product_cutoff=82, names=8) -> DataFrame:
+    """Pairs of an item profile and a class of registry rows that one of the four blocking stages brings
+    together, with features, hint and insertion position.
+
+    Pairs are ids until they are merged, and each different pair of names is scored once, however many pairs hold it.
+    """
+    stages = [
+        _stage(exact_candidates(profiles.select("profile", "company_strict"), classes.select("class_id", "entity_strict")), 1, F.lit(0), HINTS[1]),
+        domain_candidates(profiles, classes),
+        fuzzy_candidates(profiles, classes, "company_strict", "entity_strict", "company_head", company_cutoff, 3, HINTS[2], names),
+        fuzzy_candidates(profiles, classes, "product_strict", "registry_product_strict", "product_head", product_cutoff, 4, HINTS[3], names),
+    ]
+    merged = union_all(stages).groupBy("profile", "class_id").agg(F.min("_at").alias("_at"), F.min("_hint").alias("_hint"))
+    words = [profiles.select(F.col(c).alias("name")) for c in ("company_strict", "product_strict")]
+    words += [classes.select(F.col(c).alias("name")) for c in ("entity_strict", "registry_product_strict")]
+    known = written(union_all(words).distinct().withColumn("name_id", F.monotonically_increasing_id()))
+    left = _name_ids(known, _name_ids(known, profiles, "company_strict", "_c"), "product_strict", "_p")
+    right = _name_ids(known, _name_ids(known, classes, "entity_strict", "_e"), "registry_product_strict", "_q")
+    pairs = written(merged.join(left.select("profile", "_c", "_p"), "profile").join(right.select("class_id", "_e", "_q"), "class_id"))
+    for sides, output in ((("_c", "_e"), "_score_company_strict"), (("_p", "_q"), "_score_product_strict")):
+        pairs = pairs.join(_pair_scores(pairs, known, *sides, output), list(sides))
+    full = pairs.drop("_c", "_e", "_p", "_q").join(profiles, "profile").join(classes.drop("company_head", "product_head"), "class_id")
+    placed = full.withColumns({
+        "stage": F.floor(F.col("_at") / _RANKS).cast("int"), "stage_rank": (F.col("_at") % _RANKS).cast("int"),
+        "hint": F.element_at(F.array(*[F.lit(h) for h in HINTS]), F.col("_hint") + 1),
+    }).drop("_at", "_hint")
+    return pair_features(placed, score=lambda name, _: F.col(f"_score_{name}"))
+
+
+def class_pairs(items: DataFrame, registry: DataFrame, rows_per_name=5, **limits) -> DataFrame:
+    """All candidates, as pairs of representatives: ``profile`` is the lowest id of ``profile_items`` items that match
+    alike, ``master_record_id`` the first of ``evidence_rows`` registry rows that do. Members are told by
+    ``item_members`` and ``evidence_members``."""
+    profiles = written(items.groupBy(*PROFILE).agg(F.min("id").alias("profile"), F.count("*").alias("profile_items")))
+    classes = written(evidence_classes(classed_rows(written(_rows(registry)), rows_per_name)))
+    return scored_classes(profiles, classes, **limits).withColumn("master_record_id", F.col("first_rows")[0]["master_record_id"])
+
+
+def item_members(items: DataFrame) -> DataFrame:
+    """(id, profile): the representative of every item."""
+    stored = written(items.select("id", *PROFILE))
+    return stored.join(item_profiles(stored), PROFILE).select("id", "profile")
+
+
+def evidence_members(registry: DataFrame, rows_per_name=5) -> DataFrame:
+    """(member_record_id, master_record_id): the representative of every registry row."""
+    rows = written(classed_rows(written(_rows(registry)), rows_per_name))
+    first = evidence_classes(rows).select(*CLASS, F.col("first_rows")[0]["master_record_id"].alias("_first"))
+    return rows.join(first, CLASS).select(F.col("master_record_id").alias("member_record_id"), F.col("_first").alias("master_record_id"))
+
+
+def match(items: DataFrame, registry: DataFrame, keep, keep_no_from=80.0, rows_per_name=5, **limits):
+    """(decided pairs of item profiles and classes of registry rows, profile of each item) for results of ``keep`` rows
+    each; ``limits`` are the cutoffs and limits of ``scored_classes``."""
+    members = written(item_members(items))
+    profiles = written(item_profiles(items))
+    classes = written(evidence_classes(classed_rows(registry, rows_per_name), keep))
+    pairs = scored_classes(profiles, classes, **limits)
+    first = F.col("first_rows")[0]
+    decided = decisions.decide(pairs, keep_no_from).withColumns({"src_ordinal": first["src_ordinal"], "src_tie": first["src_tie"]})
+    return decided.select("profile", "certification", "class_id", "first_rows", *OUTCOME, *POSITION), members
 
 
 OUTCOME = ["decision", "site_claim_type", "confidence", "final_score", "match_method", "review_reason",
            "company_score", "product_score", "domain_score", "entity_exact_match", "product_exact_match"]
 
 
+#: Registry columns that an audit row shows.
+AUDITED = ["registry_usage_mode", "evidence_level", "certified_entity_name", "certified_company", "certified_brand", "certified_product", "product_category",
+           "country_or_scope", "certificate_identifier", "source_file", "source_sheet", "source_row_number", "source_url", "evidence_text"]
+
+
 def audit_rows(chosen: DataFrame, items: DataFrame, registry: DataFrame, stamp=None) -> DataFrame:
     """The 35 audit columns for chosen (id, certification, outcome) rows; missing evidence is empty."""
     details = registry.select(
@@ -192,17 +274,30 @@ def audit_rows(chosen: DataFrame, items: DataFrame, registry: DataFrame, stamp=N
     return full.fillna("", subset=strings).select(*fixed.AUDIT_COLUMNS)
 
 
+def _stored(items, registry):
+    """Both sides with the columns of matching and audit; their keys are worked out once."""
+    return written(items), written(registry.select(*dict.fromkeys([*EVIDENCE, *AUDITED, "master_record_id", "src_ordinal", "src_tie"])))
+
+
 def best_matches(items: DataFrame, registry: DataFrame, certifications=None, stamp=None, **limits) -> DataFrame:
     """One audit row per item and certification."""
+    items, registry = _stored(items, registry)
     certifications = certifications or decisions.certification_names(registry)
     decided, members = match(items, registry, 1, **limits)
-    best = decisions.best_candidates(decided, ["profile", "certification"], POSITION).select("profile", "certification", "master_record_id", *OUTCOME)
+    best = decisions.best_candidates(decided, ["profile", "certification"], POSITION)
+    best = best.select("profile", "certification", F.col("first_rows")[0]["master_record_id"].alias("master_record_id"), *OUTCOME)
     full = decisions.with_no_match_rows(best, members, "profile", certifications)
     return audit_rows(members.join(full, "profile"), items, registry, stamp)
 
 
 def candidate_matches(items: DataFrame, registry: DataFrame, stamp=None, n=5, **limits) -> DataFrame:
-    """The ``n`` best candidates per item and certification."""
+    """The ``n`` best candidates per item and certification.
+
+    The ``n`` best rows lie in the ``n`` best classes, ranked by their first rows, and are among the first ``n`` of each.
+    """
+    items, registry = _stored(items, registry)
     decided, members = match(items, registry, n, **limits)
-    top = decisions.top_candidates(decided, ["profile", "certification"], POSITION, n)
+    classes = decisions.top_candidates(decided, ["profile", "certification"], POSITION, n).drop("candidate_rank", "src_ordinal", "src_tie")
+    rows = classes.select("*", F.inline("first_rows")).drop("first_rows")
+    top = decisions.top_candidates(rows, ["profile", "certification"], POSITION, n)
     return audit_rows(members.join(top, "profile"), items, registry, stamp)

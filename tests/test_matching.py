@@ -150,3 +150,18 @@ def test_result_does_not_depend_on_partitions(spark, sides):
         seen.append(sorted(map(tuple, matching.candidate_matches(catalogue, rows, stamp="-").collect()), key=str))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert seen[0] == seen[1]
+
+
+def test_copies_of_a_registry_row_are_one_class_and_are_told(spark):
+    """A thousand copies of one row: one pair with its item; only the first of a name may be fuzzy candidates."""
+    kinds = "certification string, entity_strict string, registry_product_strict string, registry_domain string, domain_matchable boolean, registry_usage_mode string, evidence_level string, has_product boolean, entity_short boolean, master_record_id string, src_ordinal int, src_tie int"
+    row = lambda i, entity: ("GOTS", entity, "ring", "acme.org", True, "direct_registry", "product", True, False, f"r{i}", i, 0)
+    registry = spark.createDataFrame([row(i, "acme mills") for i in range(1000)] + [row(5000, "acme mill")], kinds)
+    rows = matching.classed_rows(registry, 5)
+    classes = {(c.entity_strict, c.company_head): (c.evidence_rows, c.first_rows[0].master_record_id) for c in matching.evidence_classes(rows).collect()}
+    # Heads of the product are rows 0 to 4 too, so head flags split the copies in two.
+    assert classes == {("acme mills", True): (5, "r0"), ("acme mills", False): (995, "r5"), ("acme mill", True): (1, "r5000")}
+    members = {r.member_record_id: r.master_record_id for r in matching.evidence_members(registry).collect()}
+    assert len(members) == 1001 and {i: members[i] for i in ("r3", "r7", "r999", "r5000")} == {"r3": "r0", "r7": "r5", "r999": "r5", "r5000": "r5000"}
+    first = [sorted(x.master_record_id for x in c.first_rows) for c in matching.evidence_classes(rows, 3).collect() if c.entity_strict == "acme mills"]
+    assert sorted(first) == [["r0", "r1", "r2"], ["r5", "r6", "r7"]]
