@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import LIST_SEPARATOR
 from ledgerloom.operators.ordered import top_n
+from ledgerloom.sources.sinks import written
 
 
 @dataclass(frozen=True)
@@ -40,55 +41,113 @@ def group_key(columns):
     return F.unhex(F.md5(F.concat(*parts)))
 
 
-def summarise(df: DataFrame, spec: Summary, order) -> DataFrame:
-    """Group rows by the keys.
+#: Buckets of groups that are counted first; a group in one with more rows goes the way of huge groups.
+BUCKETS, HUGE = 1 << 16, 20_000
 
-    Groups go by one short key; the keys themselves are shuffled once. Counts, bounds, flags and
-    firsts aggregate map-side. Distinct counts and value lists work on one de-duplicated (group,
-    measure, value) table, so the values of a huge group spread over the
-    cluster, and a limited list never brings more than its limit per group and task together.
+
+def summarise(df: DataFrame, spec: Summary, order, late=None, huge=HUGE) -> DataFrame:
+    """Group rows by the keys. ``df`` is read three times, so it should be a written table.
+
+    Groups in buckets of at most ``huge`` rows are shuffled once as they are, and each is summed up
+    where it lies. The others aggregate map-side, and their distinct counts and value lists work on one
+    de-duplicated (group, measure, value) table, so the values of a huge group spread over the cluster,
+    and a limited list never brings more than its limit per group and task together.
+
+    ``late`` maps key columns to (column, expression): what follows from another key column is left out of
+    the grouping and of ``df``, and worked out once for each group.
     """
+    late = _late(spec, order, late)
     rows = df.filter(F.col(spec.where_filled) != "") if spec.where_filled else df
-    keys = list(spec.keys)
-    keyed = [F.col(source).alias(out) for out, source in spec.keys.items()]
-    base = rows.select(group_key([F.col(c) for c in spec.keys.values()]).alias("_g"), *keyed, *[F.col(c).alias(f"_in_{c}") for c in _inputs(spec, order)])
-    plain = base.groupBy("_g").agg(
-        *[F.first(k).alias(k) for k in keys],
+    grouped = [c for c in dict.fromkeys(spec.keys.values()) if c not in late]
+    measures = [c for c in _inputs(spec, order) if c not in grouped]
+    base = rows.select(*[F.col(c).alias(f"_k_{c}") for c in grouped], *[F.col(c).alias(f"_in_{c}") for c in measures])
+    both = {f"_in_{c}": F.col(f"_k_{c}") for c in _inputs(spec, order) if c in grouped}
+    keys = [f"_k_{c}" for c in grouped]
+    if spec.unique or spec.lists:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket")
+        crowded = written(base.groupBy(bucket).count().filter(F.col("count") > huge).select("_bucket"))
+        dealt = base.select("*", bucket)
+        small = dealt.join(crowded, "_bucket", "left_anti").drop("_bucket")
+        large = dealt.join(crowded, "_bucket", "left_semi").drop("_bucket")
+        result = _in_place(small, keys, both, spec, order).unionByName(_spread(large, keys, both, spec, order))
+    else:
+        result = _spread(base, keys, both, spec, order)
+    named = result.withColumnsRenamed({f"_k_{c}": c for c in grouped})
+    whole = named.select(*[(late[c] if c in late else F.col(c)).alias(o) for o, c in spec.keys.items()], *[c for c in result.columns if c not in keys])
+    whole = whole.select("*", *[F.expr(e).alias(o) for o, e in spec.derived.items()])
+    if spec.evidence:
+        whole = whole.withColumn("evidence_text", fill(spec.evidence))
+    return whole
+
+
+def _late(spec, order, late):
+    """The expressions of key columns that nothing else uses and that follow from another key column."""
+    used = {*_inputs(spec, order), spec.where_filled}
+    return {c: e for c, (source, e) in (late or {}).items() if c in spec.keys.values() and source in spec.keys.values() and c not in used}
+
+
+def _plain(spec, order):
+    """Counts, bounds, flags and firsts."""
+    return [
         F.count("*").alias(spec.rows),
         *[F.min(f"_in_{c}").alias(o) for o, c in spec.least.items()],
         *[F.max(f"_in_{c}").alias(o) for o, c in spec.greatest.items()],
         *[F.count_if(f"_in_{c}").alias(o) for o, c in spec.flags.items()],
         *[F.min_by(f"_in_{c}", F.struct(*[f"_in_{o}" for o in order])).alias(o_) for o_, c in spec.first.items()],
-    )
-    result = plain
-    if spec.unique or spec.lists:
-        result = _with_distincts(base, plain, spec)
-    result = result.drop("_g").select("*", *[F.expr(e).alias(o) for o, e in spec.derived.items()])
-    if spec.evidence:
-        result = result.withColumn("evidence_text", fill(spec.evidence))
-    return result
+    ]
+
+
+def _measured(spec):
+    """Columns whose distinct values are counted or listed."""
+    return list(dict.fromkeys([*spec.unique.values(), *[c for c, _ in spec.lists.values()]]))
+
+
+def _lists(spec, limited):
+    return {o: (c, n) for o, (c, n) in spec.lists.items() if bool(n) == limited}
+
+
+def _in_place(base, keys, both, spec, order):
+    """Groups of bounded size: one shuffle of the rows, then sets of values."""
+    moved = base.repartition(*keys).withColumns({"_hash": F.xxhash64(*keys), **both})  # the hash first, so that sorting compares numbers
+    sets = [F.collect_set(F.col(f"_in_{c}").cast("string")).alias(f"_set_{c}") for c in _measured(spec)]
+    plain = moved.groupBy("_hash", *keys).agg(*_plain(spec, order), *sets)
+
+    def listed(c, n):
+        values = F.array_sort(F.filter(f"_set_{c}", lambda x: x != ""))
+        return F.array_join(F.slice(values, 1, n) if n else values, LIST_SEPARATOR)
+
+    return plain.select("*", *[F.size(f"_set_{c}").cast("long").alias(o) for o, c in spec.unique.items()],
+                        *[listed(c, n).alias(o) for limited in (False, True) for o, (c, n) in _lists(spec, limited).items()]
+                        ).drop("_hash", *[f"_set_{c}" for c in _measured(spec)])
+
+
+def _spread(base, keys, both, spec, order):
+    """Groups of any size, by one short key; the keys themselves are shuffled once."""
+    base = base.select(group_key([F.col(k) for k in keys]).alias("_g"), "*").withColumns(both)
+    result = base.groupBy("_g").agg(*[F.first(k).alias(k) for k in keys], *_plain(spec, order))
+    return (_with_distincts(base, result, spec) if spec.unique or spec.lists else result).drop("_g")
 
 
 def _inputs(spec, order):
-    used = [*spec.unique.values(), *[c for c, _ in spec.lists.values()], *spec.least.values(),
-            *spec.greatest.values(), *spec.flags.values(), *spec.first.values(), *order]
+    used = [*_measured(spec), *spec.least.values(), *spec.greatest.values(), *spec.flags.values(), *spec.first.values(), *(order if spec.first else ())]
     return list(dict.fromkeys(used))
 
 
-def source_columns(spec, order):
+def source_columns(spec, order, late=None):
     """Input columns a summary needs."""
+    late = _late(spec, order, late)
     filled = [spec.where_filled] if spec.where_filled else []
-    return list(dict.fromkeys([*spec.keys.values(), *_inputs(spec, order), *filled]))
+    return list(dict.fromkeys([*[c for c in spec.keys.values() if c not in late], *_inputs(spec, order), *filled]))
 
 
 def _with_distincts(base, plain, spec):
-    sources = list(dict.fromkeys([*spec.unique.values(), *[c for c, _ in spec.lists.values()]]))
+    sources = _measured(spec)
     code = {c: i for i, c in enumerate(sources)}
     pairs = F.array(*[F.struct(F.lit(code[c]).alias("_m"), F.col(f"_in_{c}").cast("string").alias("_v")) for c in sources])
     distinct = base.select("_g", F.inline(pairs)).filter("_v IS NOT NULL").distinct()
     result = plain
-    limited = {o: (c, n) for o, (c, n) in spec.lists.items() if n}
-    unlimited = {o: c for o, (c, n) in spec.lists.items() if not n}
+    limited = _lists(spec, True)
+    unlimited = {o: c for o, (c, _) in _lists(spec, False).items()}
     filled = F.when(F.col("_v") != "", F.col("_v"))
     whole = [F.count_if(F.col("_m") == code[c]).alias(o) for o, c in spec.unique.items()]
     whole += [_list(F.when(F.col("_m") == code[c], filled)).alias(o) for o, c in unlimited.items()]
@@ -125,7 +184,7 @@ def flag_summary(df: DataFrame, flags, name, country) -> DataFrame:
     ).filter("_on").drop("_on")
     spec = Summary(keys={"standard_code": "standard_code"}, rows="brand_rows",
                    unique={"unique_brand_names": "_name"}, lists={"countries": ("_country", None)})
-    counted = summarise(long, spec, ["_name"])
+    counted = summarise(written(long), spec, ["_name"])
     joined = listed.join(counted, "standard_code", "left").fillna(0).fillna("", subset=["countries"])
     return joined.withColumn(
         "evidence_text", fill("{standard_label} has {brand_rows} brand row(s) in the directory."))

@@ -129,6 +129,9 @@ ROWS = f"""
                {c.key('licence')} AS licence_norm, {c.key('claim')} AS claim_norm, {c.key('brand')} AS brand_norm FROM rows_view)"""
 
 
+NORMALISED = ("company", "country", "product", "category", "licence", "claim", "brand")
+
+
 def rows_view(t):
     rows = t.a_registry.select(
         *ORDER, "certification",
@@ -141,7 +144,7 @@ def rows_view(t):
         text.domain_of("source_url").alias("domain"), F.col("source_file").alias("file"), F.col("certified_brand").alias("brand"), "country_id",
         F.concat(F.lit("V"), F.col("country_id")).alias("vat"), (F.col("quantity") % 2 == 0).alias("linked"),
     )
-    return rows.withColumns({f"{n}_norm": text.match_key(n) for n in ("company", "country", "product", "category", "licence", "claim", "brand")})
+    return rows.withColumns({f"{n}_norm": text.match_key(n) for n in NORMALISED})
 
 
 for _name, _keys in DEDUP_KEYS.items():
@@ -215,14 +218,20 @@ def summary_sql(spec, source):
     return f"SELECT *, {_evidence_sql(spec.evidence)} AS evidence_text FROM ({inner})" if spec.evidence else inner
 
 
-def stored(rows, spec):
+def following():
+    """Columns of the registry rows that follow from another one."""
+    return {f"{n}_norm": (n, text.match_key(n)) for n in NORMALISED} | {
+        "expiry": ("date_text", F.col("date_text")), "expiry_text": ("date_text", F.col("date_text")), "active": ("date_text", F.col("date_text") >= AS_OF)}
+
+
+def stored(rows, spec, late=None):
     """The columns a summary reads, with their keys computed once."""
-    return written(rows.select(*summaries.source_columns(spec, ORDER)))
+    return written(rows.select(*summaries.source_columns(spec, ORDER, late)))
 
 
 for _name, _spec in summaries.SUMMARIES.items():
     query(_name, ROWS + summary_sql(_spec, "reg"))(
-        lambda t, spec=_spec: summaries.summarise(stored(rows_view(t), spec), spec, ORDER).withColumns({o: F.col(o).cast("int") for o in spec.derived})
+        lambda t, spec=_spec: summaries.summarise(stored(rows_view(t), spec, following()), spec, ORDER, following()).withColumns({o: F.col(o).cast("int") for o in spec.derived})
     )
 
 query("a23_flag_groups", ROWS + """
