@@ -14,7 +14,7 @@ all. The candidates' whole texts are compared, so results are exact.
 Documents of equal sets are one class. Of the classes that share a key, all first meet the key's head
 (one pair for each row). What these pairs leave in different components meets in bounded shards, where
 the distance of compact sketches drops the unlike ones: first along a spanning forest, at last all
-pairs that are left. So a group of near copies costs pairs in proportion to its size, and no link
+pairs that are left. A key of two rows has no other pair than its head's. So a group of near copies costs pairs in proportion to its size, and no link
 between different texts is lost.
 """
 
@@ -248,15 +248,18 @@ def _open_pairs(least: int, forest: bool):
     return run
 
 
-def open_pairs(rows: DataFrame, least: int, forest: bool) -> DataFrame:
+def open_pairs(rows: DataFrame, least: int, forest: bool, sketches: DataFrame = None) -> DataFrame:
     """(u, v) of classes of different roots that share a key, as told by their compact sketches; with
     ``forest`` only so many of a shard that they join what all of them would.
 
-    Keys of one root are left out before; a key's rows are dealt to shards of bounded size.
+    Keys of one root are left out before sketches are looked up, and so are keys of two rows, whose one pair
+    is the head's; most keys that are shared by chance are such. A key's rows are dealt to shards of bounded size.
+    ``sketches`` has the size and sketch of every node, if ``rows`` has not.
     """
     keys = written(rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("is_left").alias("any_left"), F.count("*").alias("size"))
-                   .filter("low < high AND any_left").select("key", F.ceil(F.col("size") / SHARD).cast("int").alias("shards")))
-    dealt = rows.join(keys, "key").withColumn("shard", F.pmod(F.xxhash64("node"), "shards").cast("int"))
+                   .filter("low < high AND any_left AND size > 2").select("key", F.ceil(F.col("size") / SHARD).cast("int").alias("shards")))
+    dealt = rows.join(keys, "key") if sketches is None else written(rows.join(keys, "key")).join(sketches, "node")
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("node"), "shards").cast("int"))
     shards = written(dealt.groupBy("key", "shard").agg(F.collect_list(F.struct("node", "root", "is_left", "n", "sketch")).alias("own")))
     others = shards.select("key", F.col("shard").alias("shard_2"), F.col("own").alias("other"))
     between = shards.join(others, "key").filter("shard < shard_2").select("own", "other")
@@ -294,9 +297,10 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
     seen = written(promising(pairs, plain, least))
     root = linked(root, seen)
     for forest in (True, False):
-        rows_now = shared.select("key", "node", "is_left").join(root.join(plain.select("node", "n", F.col("screen").alias("sketch")), "node"), "node")
-        open_ = written(open_pairs(rows_now, least, forest).distinct().join(seen, ["u", "v"], "left_anti"))
-        pairs = written(promising(open_, plain, least))
+        rows_now = shared.select("key", "node", "is_left").join(root, "node")
+        open_ = written(open_pairs(rows_now, least, forest, plain.select("node", "n", F.col("screen").alias("sketch"))).distinct().join(seen, ["u", "v"], "left_anti"))
+        needed = written(open_.select(F.col("u").alias("node")).union(open_.select("v")).distinct())
+        pairs = written(promising(open_, plain.join(needed, "node", "left_semi"), least))
         root, seen = linked(root, pairs), seen.unionByName(pairs)
     return root
 

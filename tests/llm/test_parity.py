@@ -100,3 +100,12 @@ def test_edges_of_the_table(spark, corpus, clash):
     assert sorted(parity.joined(rows).collect(), key=str) == sorted([(4, 0, 4), (4, 0, 4), (9, 1, 7), (7, 1, 7), (None, 1, None)], key=str)
     named = corpus(["a b c d", "a b c d", "e"]).selectExpr("concat('k', doc_id) AS doc_id", "text")
     assert sorted(map(tuple, parity.joined(named).collect())) == [("k0", 2, "k0"), ("k1", 2, "k0"), ("k2", 1, "k2")]
+
+
+def test_keys_of_two_rows_are_not_looked_at_again(spark):
+    """Their pair is the head's, which was compared before; a third row may be like the second."""
+    sketch = bytearray(b"\x01" * 64)
+    rows = spark.createDataFrame([(1, 5, 5, True), (1, 6, 6, True), (2, 5, 5, True), (2, 7, 7, True), (2, 8, 8, False)], "key long, node long, root long, is_left boolean")
+    sketches = spark.createDataFrame([(n, 9, sketch) for n in range(5, 9)], "node long, n long, sketch binary")
+    assert sorted(map(tuple, parity.open_pairs(rows, 90, False, sketches).collect())) == [(5, 7), (5, 8), (7, 8)]
+    assert parity.open_pairs(rows.filter("key = 1"), 90, False, sketches).count() == 0
