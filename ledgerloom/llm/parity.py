@@ -24,11 +24,11 @@ import hashlib
 import numpy as np
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.anchors import mixed
-from ledgerloom.llm.common import column, whole_texts
+from ledgerloom.llm.common import column
 from ledgerloom.llm.components import components
 from ledgerloom.llm.encoding import remembered
 from ledgerloom.llm.repeats import ROW_BITS, unpacker
@@ -40,8 +40,9 @@ PIECE = 256
 POOR, LARGE, SPARED = 3, 10, 25
 #: Bits of a compact sketch for each shingle of difference; rows of a shard; pairs of a head in one task.
 SHARP, SHARD, MEETINGS = 16, 1024, 256
-#: Bytes of the sketch that rows of keys carry, at most; pairs it lets pass meet by their whole sketches.
-SCREEN = 512
+#: Bytes of the sketch that rows of keys carry, at most and (where the sketch has as many) at least; a quarter of the sketch
+#: lies between. Pairs it lets pass meet by their whole sketches.
+SCREEN, SMALL = 512, 32
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -120,10 +121,10 @@ def folded(sketches: list[bytes]) -> np.ndarray:
 
 
 def screened(sketch):
-    """A sketch folded to ``SCREEN`` bytes at most; no set has none."""
-    if sketch is None or len(sketch) <= SCREEN:
+    """A sketch folded to a quarter, within ``SMALL`` and ``SCREEN`` bytes; no set has none."""
+    if sketch is None or len(sketch) <= SMALL:
         return sketch
-    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, SCREEN // 8), axis=0).tobytes()
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, max(SMALL, min(SCREEN, len(sketch) // 4)) // 8), axis=0).tobytes()
 
 
 def band_keys(least: int):
@@ -141,9 +142,10 @@ def band_keys(least: int):
     return keys
 
 
-def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text", mark=None) -> DataFrame:
+def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text", mark=None, rest=None) -> DataFrame:
     """A written table with one row for each row of ``docs``: number, id, size and digest of its set, the keys
-    and the compact sketch that ``keys_of()`` makes of its hashes, compressed text, and ``mark`` of the text, if asked for."""
+    and the compact sketch that ``keys_of()`` makes of its hashes, compressed text, ``mark`` of the text, if asked for, and a
+    column ``rest``, if given. Numbers rise with the order of the rows."""
     import pyarrow as pa
 
     names = ["node", "doc_id", "n", "digest", "lefts", "rights", "sketch", "screen", "blob", "mark"]
@@ -163,10 +165,11 @@ def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text",
                 node += 1
             each = list(zip(*rows)) if rows else [()] * len(names)
             kinds = [pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(each, kinds)], names)
+            yield pa.RecordBatch.from_arrays([*[pa.array(list(x), kind) for x, kind in zip(each, kinds)], *batch.columns[2:]], [*names, *batch.schema.names[2:]])
 
-    rows = whole_texts(docs, doc_id, text)
-    return written(rows.mapInArrow(run, f"node long, doc_id {dict(rows.dtypes)['doc_id']}, n long, digest binary, lefts array<long>, rights array<long>, sketch binary, screen binary, blob binary, mark long"))
+    rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"), *([] if rest is None else [rest.alias("rest")]))
+    kinds = dict(rows.dtypes)
+    return written(rows.mapInArrow(run, f"node long, doc_id {kinds['doc_id']}, n long, digest binary, lefts array<long>, rights array<long>, sketch binary, screen binary, blob binary, mark long" + (f", rest {kinds['rest']}" if rest is not None else "")))
 
 
 def _alike(words: int, least: int):
@@ -220,7 +223,7 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
 
 
 def _open_pairs(least: int, forest: bool):
-    """Pairs of a shard or of two shards that differ in root and whose sketches are near enough."""
+    """Pairs of a shard or of two shards that differ in root and whose sketches are near enough; the key instead of a pair, if the forest left some out."""
     import pyarrow as pa
 
     def pairs(own, other):
@@ -228,7 +231,7 @@ def _open_pairs(least: int, forest: bool):
         first = len(own) if other else len(rows)
         words, n = folded([r["sketch"] for r in rows]), np.array([r["n"] for r in rows], np.int64)
         root, left = np.array([r["root"] for r in rows], np.int64), np.array([r["is_left"] for r in rows], bool)
-        parts = Forest()
+        parts, whole = Forest(), True
         for i in range(first):
             start = first if other else i + 1
             apart = np.bitwise_count(words[start:] ^ words[i]).sum(axis=1, dtype=np.int64)
@@ -237,34 +240,55 @@ def _open_pairs(least: int, forest: bool):
             for j in np.flatnonzero(near) + start:
                 if not forest or parts.joined(int(root[i]), int(root[j])):
                     yield rows[i]["node"], rows[j]["node"]
+                else:
+                    whole = False
+        if not whole:
+            yield None
 
     def run(batches):
         for batch in batches:
-            for own, other in zip(column(batch, "own"), column(batch, "other")):
-                found = [(min(p), max(p)) for p in pairs(own, other)]
-                u, v = zip(*found) if found else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(list(u), pa.int64()), pa.array(list(v), pa.int64())], ["u", "v"])
+            for key, own, other in zip(column(batch, "key"), column(batch, "own"), column(batch, "other")):
+                found = [(None, None, key) if p is None else (min(p), max(p), None) for p in pairs(own, other)]
+                each = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in each], ["u", "v", "key"])
 
     return run
 
 
+def open_rows(rows: DataFrame) -> DataFrame:
+    """The rows of keys with different roots, and the number of the key's shards.
+
+    Keys of one root are left out before sketches are looked up, and so are keys of two rows, whose one pair
+    is the head's; most keys that are shared by chance are such. Both stay so, hence a later pass needs no other rows.
+    """
+    key = Window.partitionBy("key")
+    over = rows.select("*", F.min("root").over(key).alias("low"), F.max("root").over(key).alias("high"), F.max("is_left").over(key).alias("any_left"), F.count("*").over(key).alias("size"))
+    return over.filter("low < high AND any_left AND size > 2").select(*rows.columns, F.ceil(F.col("size") / SHARD).cast("int").alias("shards"))
+
+
+def met(rows: DataFrame, least: int, forest: bool, sketches: DataFrame = None) -> DataFrame:
+    """(u, v, key): the pairs of ``open_pairs``, without a key, and the keys of which the forest left pairs out, without a pair."""
+    dealt = rows if "shards" in rows.columns else open_rows(rows)
+
+    def shards(dealt):
+        dealt = dealt if sketches is None else dealt.join(sketches, "node")
+        return dealt.withColumn("shard", F.pmod(F.xxhash64("node"), "shards").cast("int")).groupBy("key", "shard").agg(F.collect_list(F.struct("node", "root", "is_left", "n", "sketch")).alias("own"))
+
+    alone, several = shards(dealt.filter("shards = 1")), written(shards(dealt.filter("shards > 1")))  # most keys are of one shard, which goes nowhere else
+    others = several.select("key", F.col("shard").alias("shard_2"), F.col("own").alias("other"))
+    between = several.join(others, "key").filter("shard < shard_2").select("key", "own", "other")
+    alone = alone.unionByName(several).select("key", "own", F.lit(None).cast(dict(several.dtypes)["own"]).alias("other"))
+    return alone.unionByName(between).mapInArrow(_open_pairs(least, forest), "u long, v long, key long")
+
+
 def open_pairs(rows: DataFrame, least: int, forest: bool, sketches: DataFrame = None) -> DataFrame:
     """(u, v) of classes of different roots that share a key, as told by their compact sketches; with
     ``forest`` only so many of a shard that they join what all of them would.
 
-    Keys of one root are left out before sketches are looked up, and so are keys of two rows, whose one pair
-    is the head's; most keys that are shared by chance are such. A key's rows are dealt to shards of bounded size.
-    ``sketches`` has the size and sketch of every node, if ``rows`` has not.
+    A key's rows are dealt to shards of bounded size. ``sketches`` has the size and sketch of every node, if
+    ``rows`` has not; ``open_rows`` is applied to rows without shards.
     """
-    keys = written(rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("is_left").alias("any_left"), F.count("*").alias("size"))
-                   .filter("low < high AND any_left AND size > 2").select("key", F.ceil(F.col("size") / SHARD).cast("int").alias("shards")))
-    dealt = rows.join(keys, "key") if sketches is None else written(rows.join(keys, "key")).join(sketches, "node")
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("node"), "shards").cast("int"))
-    shards = written(dealt.groupBy("key", "shard").agg(F.collect_list(F.struct("node", "root", "is_left", "n", "sketch")).alias("own")))
-    others = shards.select("key", F.col("shard").alias("shard_2"), F.col("own").alias("other"))
-    between = shards.join(others, "key").filter("shard < shard_2").select("own", "other")
-    alone = shards.select("own", F.lit(None).cast(dict(shards.dtypes)["own"]).alias("other"))
-    return alone.unionByName(between).mapInArrow(_open_pairs(least, forest), "u long, v long")
+    return met(rows, least, forest, sketches).filter("u IS NOT NULL").select("u", "v")
 
 
 def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int, first: DataFrame = None) -> DataFrame:
@@ -273,18 +297,18 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
     ``table`` is made by ``sketched``, ``classes`` has the nodes to be linked; ``first`` are pairs (u, v) to be compared
     with those of the keys' heads.
     """
-    firsts = written(table.select("node", "n", "sketch", "screen", "lefts", "rights").join(classes.select("node"), "node", "left_semi"))
-    side = lambda name, left: firsts.filter(f"{name} IS NOT NULL").select(F.explode(name).alias("key"), "node", F.lit(left).alias("is_left"))
-    rows = side("lefts", True).unionByName(side("rights", False))
-    keys = written(rows.groupBy("key").agg(F.min(F.when(F.col("is_left"), F.col("node"))).alias("head"), F.count("*").alias("size")).filter("size > 1 AND head IS NOT NULL").select("key", "head"))
-    shared = written(rows.join(keys, "key"))
+    sided = lambda name, left: F.transform(F.coalesce(name, F.array().cast("array<long>")), lambda key: F.struct(key.alias("key"), F.lit(left).alias("is_left")))
+    firsts = table.filter("n > 0").select("node", "lefts", "rights").join(classes.select("node"), "node", "left_semi")
+    rows = firsts.select("node", F.explode(F.concat(sided("lefts", True), sided("rights", False))).alias("own")).select("own.key", "node", "own.is_left")
+    key = Window.partitionBy("key")  # one shuffle of all keys; most are of one row and end here
+    shared = written(rows.select("*", F.min(F.when(F.col("is_left"), F.col("node"))).over(key).alias("head"), F.count("*").over(key).alias("size")).filter("size > 1 AND head IS NOT NULL"))
     pairs = shared.filter("node <> head").select(F.least("head", "node").alias("u"), F.greatest("head", "node").alias("v"))
     pairs = written((pairs if first is None else pairs.unionByName(first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))).distinct())
-    # texts and sketches of what meets no other class are not needed again
-    met = written(shared.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct())
-    plain = written(firsts.select("node", "n", "sketch", "screen").filter("n > 0").join(met, "node", "left_semi"))
-    texts = written(table.select("node", "blob").join(met, "node", "left_semi"))
-    root = written(met.select("node", F.col("node").alias("root")))
+    # sketches of what meets no other class are not needed again
+    needed = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    plain = written(table.select("node", "n", "sketch", "screen").join(needed, "node", "left_semi"))
+    texts = table.select("node", "blob")
+    root = written(needed.select("node", F.col("node").alias("root")))
 
     def linked(root, pairs):
         """Roots after the links among the pairs; only edges between roots are looked at."""
@@ -296,12 +320,15 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
 
     seen = written(promising(pairs, plain, least))
     root = linked(root, seen)
+    rows = shared.filter("size > 2")
     for forest in (True, False):
-        rows_now = shared.select("key", "node", "is_left").join(root, "node")
-        open_ = written(open_pairs(rows_now, least, forest, plain.select("node", "n", F.col("screen").alias("sketch"))).distinct().join(seen, ["u", "v"], "left_anti"))
-        needed = written(open_.select(F.col("u").alias("node")).union(open_.select("v")).distinct())
+        rows = written(open_rows(rows.select("key", "node", "is_left").join(root, "node")))
+        found = written(met(rows, least, forest, plain.select("node", "n", F.col("screen").alias("sketch"))))
+        open_ = written(found.filter("u IS NOT NULL").select("u", "v").distinct().join(seen, ["u", "v"], "left_anti"))
+        needed = written(open_.select(F.explode(F.array("u", "v")).alias("node")).distinct())
         pairs = written(promising(open_, plain.join(needed, "node", "left_semi"), least))
         root, seen = linked(root, pairs), seen.unionByName(pairs)
+        rows = rows.join(found.filter("key IS NOT NULL").select("key").distinct(), "key", "left_semi")
     return root
 
 

@@ -5,7 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from ledgerloom.llm import parity
+from ledgerloom.llm import near_copies, parity
+from ledgerloom.sources.sinks import written
 
 
 def shingle_set(text, k=3):
@@ -109,3 +110,26 @@ def test_keys_of_two_rows_are_not_looked_at_again(spark):
     sketches = spark.createDataFrame([(n, 9, sketch) for n in range(5, 9)], "node long, n long, sketch binary")
     assert sorted(map(tuple, parity.open_pairs(rows, 90, False, sketches).collect())) == [(5, 7), (5, 8), (7, 8)]
     assert parity.open_pairs(rows.filter("key = 1"), 90, False, sketches).count() == 0
+
+
+def test_later_passes_see_only_what_a_forest_left_out(spark):
+    sketch = bytearray(b"\x01" * 64)
+    rows = spark.createDataFrame([(1, 5, 5, True), (1, 6, 6, True), (1, 7, 7, True), (2, 5, 5, True), (2, 9, 9, True), (2, 10, 10, True)], "key long, node long, root long, is_left boolean")
+    sketches = spark.createDataFrame([(n, 9 if n < 9 else 900, sketch) for n in range(5, 11)], "node long, n long, sketch binary")
+    assert [r.key for r in parity.met(rows, 90, True, sketches).filter("u IS NULL").collect()] == [1]  # key 2 has one near pair, which is told
+    assert parity.met(rows, 90, False, sketches).filter("u IS NULL").count() == 0
+
+
+def test_texts_and_shards_are_not_written_again(spark, corpus, monkeypatch):
+    tables = []
+
+    def recorded(df):
+        tables.append(written(df))
+        return tables[-1]
+
+    for module in (parity, near_copies):
+        monkeypatch.setattr(module, "written", recorded)
+    texts = near_texts(random.Random(7))
+    assert 0 < near_copies.without_near_copies(corpus(texts)).count() < len(texts)
+    assert sum("blob" in t.columns or "text" in t.columns for t in tables) == 1
+    assert all(t.count() == 0 for t in tables if "own" in t.columns)
