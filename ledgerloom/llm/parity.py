@@ -201,7 +201,7 @@ def alike(pairs: DataFrame, texts: DataFrame, words: int, least: int) -> DataFra
     counts = pairs.groupBy("u").agg(F.ceil(F.count("*") / MEETINGS).cast("int").alias("salts"))
     salted = written(pairs.join(written(counts), "u").select("u", "v", F.pmod(F.xxhash64("v"), "salts").cast("int").alias("salt")))
     heads = salted.select(F.col("u").alias("node"), "u", "salt", F.lit(None).cast("long").alias("v")).distinct()
-    needed = heads.unionByName(salted.select(F.col("v").alias("node"), "u", "salt", "v"))
+    needed = written(heads.unionByName(salted.select(F.col("v").alias("node"), "u", "salt", "v")))  # so Spark knows its size beside that of the texts
     rows = needed.join(texts, "node").select("u", "salt", "v", "blob").repartition("u", "salt").sortWithinPartitions("u", "salt", F.col("v").asc_nulls_first())
     return rows.mapInArrow(_alike(words, least), "u long, v long")
 
@@ -298,7 +298,8 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
     with those of the keys' heads.
     """
     sided = lambda name, left: F.transform(F.coalesce(name, F.array().cast("array<long>")), lambda key: F.struct(key.alias("key"), F.lit(left).alias("is_left")))
-    firsts = table.filter("n > 0").select("node", "lefts", "rights").join(classes.select("node"), "node", "left_semi")
+    copies = written(table.select("node").join(classes.select("node"), "node", "left_anti"))  # of few rows, where most texts differ; keys then go nowhere before they are dealt
+    firsts = table.filter("n > 0").select("node", "lefts", "rights").join(copies, "node", "left_anti")
     rows = firsts.select("node", F.explode(F.concat(sided("lefts", True), sided("rights", False))).alias("own")).select("own.key", "node", "own.is_left")
     key = Window.partitionBy("key")  # one shuffle of all keys; most are of one row and end here
     shared = written(rows.select("*", F.min(F.when(F.col("is_left"), F.col("node"))).over(key).alias("head"), F.count("*").over(key).alias("size")).filter("size > 1 AND head IS NOT NULL"))
