@@ -187,6 +187,20 @@ def test_toxic_documents_of_small_languages_are_found(spark, corpus):
             assert np.mean([rows[i].rejected for i in own if not toxic[i]]) <= 0.05, (sample, lang)
 
 
+def test_all_labelled_documents_are_learned_from(spark, corpus):
+    """Words that tell are spread thin, so no sixth of the documents knows them all."""
+    ran = random.Random(23)
+    spelt = lambda n: "".join("abcdefghij"[int(d)] for d in str(n))
+    toxic = [int(ran.random() < 0.3) for _ in range(1500)]
+    texts = [" ".join([*(f"w{spelt(ran.randrange(400))}" for _ in range(30)), *([f"bad{spelt(ran.randrange(60))}"] if y else [])]) for y in toxic]
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model, cuts = toxicity.fit(corpus(texts), labels, sample=150)
+    known = {i for i in range(60) if model.place[toxicity.bucket(f"bad{spelt(i)}")]}
+    assert len(known) >= 55
+    rows = [r for r in toxicity.score(corpus(texts), (model, cuts)).collect() if r.held_out]
+    assert np.mean([r.rejected == bool(toxic[r.doc_id]) for r in rows]) > 0.9
+
+
 def test_thresholds_lean_on_all_languages():
     scores, labels = np.concatenate((np.full(300, 0.1), np.full(60, 0.8))), np.concatenate((np.zeros(300, int), np.ones(60, int)))
     langs = ["en"] * 350 + ["es"] * 10
