@@ -11,7 +11,10 @@ some more pieces, ``spare`` ones: two documents then agree in spare + 1 pieces,
 more poor pieces than that leaves them out, since a rich one is left to meet by. Whoever has more keeps
 all. The candidates' whole texts are compared, so results are exact.
 
-Documents of equal sets are one class. Of the classes that share a key, all first meet the key's head
+Keys are sent in sorted blocks, one for each group of keys and task, of some five bytes for a key and its document. What a later pass
+needs of the documents is told by one bit for each, which goes to them; texts and sketches that no pass needs are not sent.
+
+Documents of equal sets are one class. Keys of the same classes are one key. Of the classes that share a key, all first meet the key's head
 (one pair for each row). What these pairs leave in different components meets in bounded shards, where
 the distance of compact sketches drops the unlike ones: first along a spanning forest, at last all
 pairs that are left. A key of two rows has no other pair than its head's. So a group of near copies costs pairs in proportion to its size, and no link
@@ -20,6 +23,7 @@ between different texts is lost.
 
 import bisect
 import hashlib
+import math
 
 import numpy as np
 import xxhash
@@ -43,6 +47,10 @@ SHARP, SHARD, MEETINGS = 16, 1024, 256
 #: Bytes of the sketch that rows of keys carry, at most and (where the sketch has as many) at least; a quarter of the sketch
 #: lies between. Pairs it lets pass meet by their whole sketches.
 SCREEN, SMALL = 512, 32
+#: Bytes of a key, and bits; keys that are brought together in one group, about. Keys of unlike texts that agree in these bits
+#: cost a comparison and nothing else.
+KEY_BYTES, KEYS_AT_ONCE = 5, 1 << 20
+KEY_BITS = 8 * KEY_BYTES
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -142,6 +150,17 @@ def band_keys(least: int):
     return keys
 
 
+def packed(keys):
+    """The low bytes of 64-bit keys, end to end."""
+    return None if keys is None else np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+
+
+def unpacked_keys(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // KEY_BYTES, 8), np.uint8)
+    wide[:, :KEY_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, KEY_BYTES)
+    return wide.view(np.int64).ravel()
+
+
 def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text", mark=None, rest=None) -> DataFrame:
     """A written table with one row for each row of ``docs``: number, id, size and digest of its set, the keys
     and the compact sketch that ``keys_of()`` makes of its hashes, compressed text, ``mark`` of the text, if asked for, and a
@@ -161,15 +180,104 @@ def sketched(docs: DataFrame, words: int, keys_of, doc_id="doc_id", text="text",
             for doc, said in zip(column(batch, "doc_id"), column(batch, "text")):
                 values = hashes(said, words, known)
                 lefts, rights, sketch = keys(values)
-                rows.append((node, doc, len(values), hashlib.blake2b(values.tobytes(), digest_size=16).digest(), lefts, rights, sketch, screened(sketch), pack(said.encode("utf-8", "surrogatepass")), mark(said) if mark else None))
+                rows.append((node, doc, len(values), hashlib.blake2b(values.tobytes(), digest_size=16).digest(), packed(lefts), packed(rights), sketch, screened(sketch), pack(said.encode("utf-8", "surrogatepass")), mark(said) if mark else None))
                 node += 1
             each = list(zip(*rows)) if rows else [()] * len(names)
-            kinds = [pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+            kinds = [pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
             yield pa.RecordBatch.from_arrays([*[pa.array(list(x), kind) for x, kind in zip(each, kinds)], *batch.columns[2:]], [*names, *batch.schema.names[2:]])
 
     rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"), *([] if rest is None else [rest.alias("rest")]))
     kinds = dict(rows.dtypes)
-    return written(rows.mapInArrow(run, f"node long, doc_id {kinds['doc_id']}, n long, digest binary, lefts array<long>, rights array<long>, sketch binary, screen binary, blob binary, mark long" + (f", rest {kinds['rest']}" if rest is not None else "")))
+    return written(rows.mapInArrow(run, f"node long, doc_id {kinds['doc_id']}, n long, digest binary, lefts binary, rights binary, sketch binary, screen binary, blob binary, mark long" + (f", rest {kinds['rest']}" if rest is not None else "")))
+
+
+def picked(table: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those rows of a ``sketched`` table whose ``node`` is among the given ones. A bit for each row goes to the table,
+    which Spark may broadcast for long, so that its texts stay where they are."""
+    import pyarrow as pa
+
+    def run(group):
+        row = group.column("row").to_numpy()
+        bits = np.zeros((int(row.max()) >> 6) + 1, np.uint64)
+        np.bitwise_or.at(bits, row >> 6, np.uint64(1) << (row & 63).astype(np.uint64))
+        return pa.Table.from_arrays([group.column("part").slice(0, 1), pa.array([bits.view(np.int64)], pa.list_(pa.int64()))], ["part", "bits"])
+
+    own = nodes.select(F.shiftright("node", ROW_BITS).alias("part"), F.col("node").bitwiseAND((1 << ROW_BITS) - 1).alias("row"))
+    bits = written(own.groupBy("part").applyInArrow(run, "part long, bits array<long>"))
+    found = table.join(bits, F.shiftright("node", ROW_BITS) == F.col("part"))
+    word = f"get(bits, cast((node & {(1 << ROW_BITS) - 1}) >> 6 as int))"
+    return found.filter(F.expr(f"({word} >>> cast(node & 63 as int)) & 1 = 1")).select(*table.columns)
+
+
+def _blocks(groups: int):
+    """Deals keys to groups: a row for each group of up to ``KEYS_AT_ONCE`` keys or so, sorted by key."""
+    import pyarrow as pa
+
+    def run(batches):
+        import zstandard
+
+        pack, parts, held = zstandard.ZstdCompressor(level=1).compress, [], 0
+
+        def sent():
+            key, node, left = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(key, kind="stable")
+            key, node, left = key[order], node[order], left[order]
+            cuts = np.flatnonzero(np.diff((key * groups) >> KEY_BITS)) + 1
+            starts, base, rows = np.concatenate(([0], cuts)), int(node.min()), []
+            for a, b in zip(starts, np.append(cuts, len(key))):
+                planes = [x.view(np.uint8).reshape(b - a, 8)[:, :size].T for x, size in ((key[a:b], KEY_BYTES), (node[a:b] - base, 8))]
+                rows.append(base.to_bytes(8, "little") + (b - a).item().to_bytes(8, "little") + pack(b"".join(np.ascontiguousarray(x).tobytes() for x in (*planes, left[a:b]))))
+            return pa.RecordBatch.from_arrays([pa.array((key[starts] * groups) >> KEY_BITS), pa.array(rows, pa.binary())], ["group", "block"])
+
+        for batch in batches:
+            for node, *sides in zip(column(batch, "node"), column(batch, "lefts"), column(batch, "rights")):
+                for left, blob in zip((1, 0), sides):
+                    if blob:
+                        keys = unpacked_keys(blob)
+                        parts.append((keys, np.full(len(keys), node, np.int64), np.full(len(keys), left, np.uint8)))
+                        held += len(keys)
+            if held >= KEYS_AT_ONCE:
+                yield sent()
+                parts, held = [], 0
+        if parts:
+            yield sent()
+
+    return run
+
+
+def _shared(blocks):
+    """(key, node, is_left, head, size, alike) of the keys of a group that several rows have, a left one among them."""
+    import pyarrow as pa
+    import zstandard
+
+    unpack, found = zstandard.ZstdDecompressor().decompress, []
+    for block in blocks.column("block").to_pylist():
+        base, n = int.from_bytes(block[:8], "little"), int.from_bytes(block[8:16], "little")
+        planes = np.frombuffer(unpack(block[16:]), np.uint8).reshape(-1, n)
+        key, node = np.zeros((n, 8), np.uint8), np.ascontiguousarray(planes[KEY_BYTES : KEY_BYTES + 8].T)
+        key[:, :KEY_BYTES] = planes[:KEY_BYTES].T
+        found.append((key.view(np.int64).ravel(), node.view(np.int64).ravel() + base, planes[-1]))
+    key, node, left = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((node, key))
+    key, node, left = key[order], node[order], left[order] == 1
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1))
+    size, none = np.diff(np.append(starts, len(key))), np.iinfo(np.int64).max
+    head = np.minimum.reduceat(np.where(left, node, none), starts)
+    # equal for keys of the same rows
+    alike = np.add.reduceat(mixed((2 * node + left).astype(np.uint64) * _FACTOR + np.uint64(1)), starts).view(np.int64)
+    kept = np.repeat((size > 1) & (head < none), size)
+    each = [key, node, left, *[np.repeat(x, size) for x in (head, size, alike)]]
+    return pa.Table.from_arrays([pa.array(x[kept]) for x in each], ["key", "node", "is_left", "head", "size", "alike"])
+
+
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """(key, node, is_left, head, size) of the keys that several of a ``sketched`` table's rows have; of keys of the same rows one is kept."""
+    total = rows.agg(F.sum(F.coalesce(F.length("lefts"), F.lit(0)) + F.coalesce(F.length("rights"), F.lit(0)))).first()[0] or 0
+    groups = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(total / KEY_BYTES / KEYS_AT_ONCE))
+    blocks = rows.select("node", "lefts", "rights").mapInArrow(_blocks(groups), "group long, block binary")
+    found = written(blocks.groupBy("group").applyInArrow(_shared, "key long, node long, is_left boolean, head long, size long, alike long"))
+    one = written(found.groupBy("alike", "size").agg(F.min("key").alias("key")).select("key"))
+    return found.join(one, "key", "left_semi").drop("alike")
 
 
 def _alike(words: int, least: int):
@@ -202,7 +310,7 @@ def alike(pairs: DataFrame, texts: DataFrame, words: int, least: int) -> DataFra
     salted = written(pairs.join(written(counts), "u").select("u", "v", F.pmod(F.xxhash64("v"), "salts").cast("int").alias("salt")))
     heads = salted.select(F.col("u").alias("node"), "u", "salt", F.lit(None).cast("long").alias("v")).distinct()
     needed = written(heads.unionByName(salted.select(F.col("v").alias("node"), "u", "salt", "v")))  # so Spark knows its size beside that of the texts
-    rows = needed.join(texts, "node").select("u", "salt", "v", "blob").repartition("u", "salt").sortWithinPartitions("u", "salt", F.col("v").asc_nulls_first())
+    rows = needed.join(picked(texts, needed), "node").select("u", "salt", "v", "blob").repartition("u", "salt").sortWithinPartitions("u", "salt", F.col("v").asc_nulls_first())
     return rows.mapInArrow(_alike(words, least), "u long, v long")
 
 
@@ -297,17 +405,12 @@ def linked_classes(table: DataFrame, classes: DataFrame, words: int, least: int,
     ``table`` is made by ``sketched``, ``classes`` has the nodes to be linked; ``first`` are pairs (u, v) to be compared
     with those of the keys' heads.
     """
-    sided = lambda name, left: F.transform(F.coalesce(name, F.array().cast("array<long>")), lambda key: F.struct(key.alias("key"), F.lit(left).alias("is_left")))
-    copies = written(table.select("node").join(classes.select("node"), "node", "left_anti"))  # of few rows, where most texts differ; keys then go nowhere before they are dealt
-    firsts = table.filter("n > 0").select("node", "lefts", "rights").join(copies, "node", "left_anti")
-    rows = firsts.select("node", F.explode(F.concat(sided("lefts", True), sided("rights", False))).alias("own")).select("own.key", "node", "own.is_left")
-    key = Window.partitionBy("key")  # one shuffle of all keys; most are of one row and end here
-    shared = written(rows.select("*", F.min(F.when(F.col("is_left"), F.col("node"))).over(key).alias("head"), F.count("*").over(key).alias("size")).filter("size > 1 AND head IS NOT NULL"))
+    shared = written(shared_keys(picked(table.filter("n > 0").select("node", "lefts", "rights"), classes)))
     pairs = shared.filter("node <> head").select(F.least("head", "node").alias("u"), F.greatest("head", "node").alias("v"))
     pairs = written((pairs if first is None else pairs.unionByName(first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))).distinct())
     # sketches of what meets no other class are not needed again
     needed = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    plain = written(table.select("node", "n", "sketch", "screen").join(needed, "node", "left_semi"))
+    plain = written(picked(table.select("node", "n", "sketch", "screen"), needed))
     texts = table.select("node", "blob")
     root = written(needed.select("node", F.col("node").alias("root")))
 

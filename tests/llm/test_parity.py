@@ -133,3 +133,42 @@ def test_texts_and_shards_are_not_written_again(spark, corpus, monkeypatch):
     assert 0 < near_copies.without_near_copies(corpus(texts)).count() < len(texts)
     assert sum("blob" in t.columns or "text" in t.columns for t in tables) == 1
     assert all(t.count() == 0 for t in tables if "own" in t.columns)
+
+
+def test_keys_of_the_same_rows_are_one(spark, corpus, monkeypatch):
+    """Copies of one text share many keys, of which one is looked at; keys travel in few bytes."""
+    tables = []
+    monkeypatch.setattr(parity, "written", lambda df: tables.append(written(df)) or tables[-1])
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base + [f"x{k}"] * 3) for k in range(6)] + [" ".join(f"v{k}.{i}" for i in range(300)) for k in range(3)]
+    got = sorted(tuple(r) for r in parity.joined(corpus(texts)).collect())
+    assert got == brute(range(len(texts)), texts)
+    keyed = next(t for t in tables if {"key", "head"} <= set(t.columns) and "alike" not in t.columns)
+    sets = keyed.groupBy("key").agg({"node": "collect_set"}).collect()
+    assert sets and len({frozenset(r[1]) for r in sets}) == len(sets)
+    table = next(t for t in tables if "lefts" in t.columns)
+    assert all(len(r.lefts) % parity.KEY_BYTES == 0 for r in table.select("lefts").collect())
+
+
+def test_shared_keys_of_both_sides(spark, monkeypatch):
+    """Every key of several rows with a left one, whatever the blocks; against a plain count."""
+    ran = random.Random(3)
+    sides = [[[ran.randrange(40) << 33 for _ in range(ran.randrange(4))] for _ in range(2)] for _ in range(60)]
+    blob = lambda keys: parity.packed(np.array(sorted(set(keys)), np.int64)) if keys else None
+    rows = spark.createDataFrame([((k % 3 << 36) + k // 3, blob(a), blob(b)) for k, (a, b) in enumerate(sides)], "node long, lefts binary, rights binary")
+    held = {}
+    for k, (a, b) in enumerate(sides):
+        for left, keys in ((True, a), (False, b)):
+            for key in set(keys):
+                held.setdefault(key, set()).add(((k % 3 << 36) + k // 3, left))
+    want = {frozenset(v) for v in held.values() if len(v) > 1 and any(left for _, left in v)}
+    for size in (1 << 20, 8):
+        monkeypatch.setattr(parity, "KEYS_AT_ONCE", size)
+        got = {}
+        for r in parity.shared_keys(rows.repartition(3)).collect():
+            got.setdefault(r.key, set()).add((r.node, r.is_left))
+            assert r["size"] > 1
+        assert {frozenset(v) for v in got.values()} == want and len(got) == len(want)
+    first = rows.filter("node % 2 = 0").select("node")
+    assert sorted(r.node for r in parity.picked(rows, first).collect()) == sorted(r.node for r in first.collect())
+    assert parity.picked(rows, first.limit(0)).count() == 0
