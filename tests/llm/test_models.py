@@ -277,3 +277,16 @@ def test_search_edges(spark, clash, monkeypatch):
     best = exact(vectors, 5, 20)
     assert {q: [v for _, v in sorted(x)] for q, x in got.items()} == {q: [j for _, j in b] for q, b in best.items()}
     assert neighbours.search(df.limit(0)).count() == 0
+
+
+def test_only_texts_that_may_have_a_label_are_learned_from(spark, corpus):
+    """Texts without a label are left out before any shuffle; labelled ones all stay."""
+    docs = corpus(["a" * (k + 1) for k in range(300)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(0, 300, 3)], "doc_id long, toxic int").withColumn("doc_id", F.col("doc_id").cast(dict(docs.dtypes)["doc_id"]))
+    rows = toxicity._learning(docs, labels, "doc_id", "text")
+    want = labels.filter(toxicity.fold(F.col("doc_id")) != 0).count()
+    assert rows.count() == want == rows.select("ids").distinct().count()
+    bits = toxicity._bits(labels)
+    assert int(np.bitwise_count(bits).sum()) == 100
+    held = spark.range(300).select(F.xxhash64(F.col("id").cast(dict(docs.dtypes)["doc_id"]))).toArrow()[0].to_numpy() & (toxicity.BITS - 1)
+    assert [k for k in range(300) if bits[held[k] >> 3] >> (held[k] & 7) & 1] == list(range(0, 300, 3))
