@@ -106,6 +106,16 @@ def supplier_decision() -> Column:
     )
 
 
+#: Company score below which a product row's decision depends on equal products alone, once domains match.
+LEAST_COMPANY = 75
+
+
+def open_by_domain() -> Column:
+    """Whether a row's decision depends on names though the domains match: product rows of direct registries. All others then
+    have one outcome."""
+    return (F.col("registry_usage_mode") != "supplier_oriented_registry") & (F.lower("evidence_level") == "product")
+
+
 def decide(pairs: DataFrame, keep_no_from=80.0) -> DataFrame:
     """Add the outcome columns; "No" rows stay only from ``keep_no_from`` up."""
     is_supplier = F.col("registry_usage_mode") == "supplier_oriented_registry"

@@ -1,6 +1,6 @@
 """Catalogue to registry matching: exact, domain and fuzzy candidates, scores, audit."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fixed
@@ -126,6 +126,36 @@ def domain_candidates(profiles: DataFrame, classes: DataFrame) -> DataFrame:
     return _stage(salted_join(left, right, "k", "profile"), 2, F.col("_place"), HINTS[0])
 
 
+def leading_domain_candidates(left, right, names, keep) -> DataFrame:
+    """Those pairs of ``domain_candidates`` that may be among the ``keep`` best of an item and certification; with ``keep`` 1 by
+    the order of ``decisions.best_candidates``, else of ``top_candidates``. ``left`` and ``right`` have name ids.
+
+    A domain match leaves the decision open only for product rows of direct registries, and there a different product counts
+    only next to a company score from ``decisions.LEAST_COMPANY`` up. All other pairs of a domain, certification and kind are
+    decided alike, so their order is that of the rows (of company scores first, where one is kept), whatever the item.
+    """
+    lefts = written(left.select("profile", "_c", "_p", F.posexplode("domains").alias("_place", "k")))
+    rights = written(right.filter("domain_matchable").select(
+        "class_id", "certification", "_e", "_q", F.col("registry_domain").alias("k"), decisions.open_by_domain().alias("_open"),
+        F.col("first_rows")[0]["src_ordinal"].alias("_ordinal"), F.col("first_rows")[0]["src_tie"].alias("_tie")))
+    opened, kind, pair = rights.filter("_open"), ["k", "certification", "_open"], ["profile", "class_id", "_place"]
+    # names of a domain meet once, however many products and rows have them
+    met = written(salted_join(lefts.select("k", "_c").distinct(), (rights if keep == 1 else opened).select("k", "_e").distinct(), "k", "_c"))
+    scored = written(met.join(_pair_scores(met, names, "_c", "_e", "_score"), ["_c", "_e"]).withColumn("_score", F.round("_score", 2)))
+    near = F.col("_score") >= decisions.LEAST_COMPANY
+    if keep == 1:
+        first = lambda rows, keys: rows.withColumn("_rank", F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("_score"))))
+        kinds = first(scored.join(rights.select(*kind, "_e").distinct(), ["k", "_e"]), [*kind, "_c"]).filter((F.col("_rank") == 1) | (F.col("_open") & near))
+        found = [kinds.join(rights, [*kind, "_e"]).join(lefts, ["k", "_c"])]
+        same = lefts.select("k", "_c", "_p").distinct().join(opened.withColumn("_p", F.col("_q")), ["k", "_p"]).join(scored, ["k", "_c", "_e"])
+        found.append(first(same, ["k", "_c", "_p", "certification"]).filter("_rank = 1").join(lefts, ["k", "_c", "_p"]))
+    else:
+        heads = lambda rows, keys: top_n(rows, keys, [F.asc("_ordinal"), F.asc("_tie")], keep, "_rank")
+        found = [lefts.join(heads(rights, kind), "k"), lefts.join(heads(opened, ["k", "certification", "_q"]).withColumn("_p", F.col("_q")), ["k", "_p"]),
+                 scored.filter(near).join(opened, ["k", "_e"]).join(lefts, ["k", "_c"])]
+    return _stage(union_all([f.select(*pair) for f in found]), 2, F.col("_place"), HINTS[0])
+
+
 def fuzzy_candidates(profiles, classes, item_key, registry_key, head, cutoff, stage, hint, names=8) -> DataFrame:
     """Up to ``names`` similar registry names per item and certification, the first registry rows of each."""
     filled = classes.filter(F.col(registry_key) != "")
@@ -176,24 +206,25 @@ def _pair_scores(pairs, names, left, right, output):
     return written(dealt.select(left, right, name_score("_l", "_r").alias(output)))
 
 
-def scored_classes(profiles: DataFrame, classes: DataFrame, company_cutoff=80, product_cutoff=82, names=8) -> DataFrame:
+def scored_classes(profiles: DataFrame, classes: DataFrame, company_cutoff=80, product_cutoff=82, names=8, keep=None) -> DataFrame:
     """Pairs of an item profile and a class of registry rows that one of the four blocking stages brings
     together, with features, hint and insertion position.
 
-    Pairs are ids until they are merged, and each different pair of names is scored once, however many pairs hold it.
+    Pairs are ids until they are merged, and each different pair of names is scored once, however many pairs hold it. With
+    ``keep``, pairs of a domain that can't be among the ``keep`` best are left out.
     """
+    words = [profiles.select(F.col(c).alias("name")) for c in ("company_strict", "product_strict")]
+    words += [classes.select(F.col(c).alias("name")) for c in ("entity_strict", "registry_product_strict")]
+    known = written(union_all(words).distinct().withColumn("name_id", F.monotonically_increasing_id()))
+    left = _name_ids(known, _name_ids(known, profiles, "company_strict", "_c"), "product_strict", "_p")
+    right = _name_ids(known, _name_ids(known, classes, "entity_strict", "_e"), "registry_product_strict", "_q")
     stages = [
         _stage(exact_candidates(profiles.select("profile", "company_strict"), classes.select("class_id", "entity_strict")), 1, F.lit(0), HINTS[1]),
-        domain_candidates(profiles, classes),
+        domain_candidates(profiles, classes) if keep is None else leading_domain_candidates(left, right, known, keep),
         fuzzy_candidates(profiles, classes, "company_strict", "entity_strict", "company_head", company_cutoff, 3, HINTS[2], names),
         fuzzy_candidates(profiles, classes, "product_strict", "registry_product_strict", "product_head", product_cutoff, 4, HINTS[3], names),
     ]
     merged = union_all(stages).groupBy("profile", "class_id").agg(F.min("_at").alias("_at"), F.min("_hint").alias("_hint"))
-    words = [profiles.select(F.col(c).alias("name")) for c in ("company_strict", "product_strict")]
-    words += [classes.select(F.col(c).alias("name")) for c in ("entity_strict", "registry_product_strict")]
-    known = written(union_all(words).distinct().withColumn("name_id", F.monotonically_increasing_id()))
-    left = _name_ids(known, _name_ids(known, profiles, "company_strict", "_c"), "product_strict", "_p")
-    right = _name_ids(known, _name_ids(known, classes, "entity_strict", "_e"), "registry_product_strict", "_q")
     pairs = written(merged.join(left.select("profile", "_c", "_p"), "profile").join(right.select("class_id", "_e", "_q"), "class_id"))
     for sides, output in ((("_c", "_e"), "_score_company_strict"), (("_p", "_q"), "_score_product_strict")):
         pairs = pairs.join(_pair_scores(pairs, known, *sides, output), list(sides))
@@ -202,7 +233,10 @@ def scored_classes(profiles: DataFrame, classes: DataFrame, company_cutoff=80, p
         "stage": F.floor(F.col("_at") / _RANKS).cast("int"), "stage_rank": (F.col("_at") % _RANKS).cast("int"),
         "hint": F.element_at(F.array(*[F.lit(h) for h in HINTS]), F.col("_hint") + 1),
     }).drop("_at", "_hint")
-    return pair_features(placed, score=lambda name, _: F.col(f"_score_{name}"))
+    featured = pair_features(placed, score=lambda name, _: F.col(f"_score_{name}"))
+    # names are alike as well in pairs of a domain that were left out
+    of_domain = F.col("domain_score") == 100
+    return featured if keep is None else featured.filter(~of_domain | (F.col("stage") < 3)).withColumn("hint", F.when(of_domain, HINTS[0]).otherwise(F.col("hint")))
 
 
 def class_pairs(items: DataFrame, registry: DataFrame, rows_per_name=5, **limits) -> DataFrame:
@@ -233,7 +267,7 @@ def match(items: DataFrame, registry: DataFrame, keep, keep_no_from=80.0, rows_p
     members = written(item_members(items))
     profiles = written(item_profiles(items))
     classes = written(evidence_classes(classed_rows(registry, rows_per_name), keep))
-    pairs = scored_classes(profiles, classes, **limits)
+    pairs = scored_classes(profiles, classes, keep=keep, **limits)
     first = F.col("first_rows")[0]
     decided = decisions.decide(pairs, keep_no_from).withColumns({"src_ordinal": first["src_ordinal"], "src_tie": first["src_tie"]})
     return decided.select("profile", "certification", "class_id", "first_rows", *OUTCOME, *POSITION), members
