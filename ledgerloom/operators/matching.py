@@ -255,10 +255,31 @@ def item_members(items: DataFrame) -> DataFrame:
 
 
 def evidence_members(registry: DataFrame, rows_per_name=5) -> DataFrame:
-    """(member_record_id, master_record_id): the representative of every registry row."""
-    rows = written(classed_rows(written(_rows(registry)), rows_per_name))
-    first = evidence_classes(rows).select(*CLASS, F.col("first_rows")[0]["master_record_id"].alias("_first"))
-    return rows.join(first, CLASS).select(F.col("master_record_id").alias("member_record_id"), F.col("_first").alias("master_record_id"))
+    """(member_record_id, master_record_id): the representative of every registry row.
+
+    Classes are those of ``evidence_classes``. Rows travel as hashes (128 bits for a class), positions and ids, once, to the other rows of
+    their name, which hold all of their class.
+    """
+    told = lambda columns, *salt: F.xxhash64(*salt, *[x for c in columns for x in (F.col(c), F.col(c).isNull())])
+    named, sold = F.col("entity_strict") != "", F.col("registry_product_strict") != ""
+    # an id of hexadecimal digits takes half its length
+    hexed = F.col("master_record_id").rlike("^([0-9a-f]{2})+$")
+    packed = F.when(hexed, F.concat(F.lit(bytes([1])), F.unhex("master_record_id"))).otherwise(F.concat(F.lit(bytes([0])), F.encode("master_record_id", "UTF-8")))
+    rows = written(registry.select(
+        F.when(named, told(["certification", "entity_strict"])).otherwise(told(EVIDENCE)).alias("_name"), F.coalesce(named, F.lit(False)).alias("_named"),
+        F.when(sold, told(["certification", "registry_product_strict"])).otherwise(F.xxhash64("master_record_id")).alias("_product"), F.coalesce(sold, F.lit(False)).alias("_sold"),
+        told(EVIDENCE).alias("_h1"), told(EVIDENCE, F.lit(1)).alias("_h2"), "src_ordinal", "src_tie", packed.alias("_id")))
+    place = ["src_ordinal", "src_tie", "_id"]
+    at = F.struct(*place)
+    first = top_n(rows.filter("_sold").select("_product", *place), "_product", [F.asc(c) for c in place], rows_per_name, "_rank")
+    last = written(first.groupBy("_product").agg(F.max(at).alias("_last")))
+    placed = rows.join(last, "_product", "left").withColumn("product_head", F.col("_sold") & F.coalesce(at <= F.col("_last"), F.lit(False))).drop("_product", "_sold", "_last")
+    rank = F.row_number().over(Window.partitionBy("_name").orderBy(*place))
+    placed = placed.withColumn("company_head", F.col("_named") & (rank <= rows_per_name))
+    alike = Window.partitionBy("_name", "_h1", "_h2", "company_head", "product_head").orderBy(*place)
+    plain = lambda c: F.when(F.substring(c, 1, 1) == F.lit(bytes([1])), F.lower(F.hex(F.substring(c, 2, 1 << 30)))).otherwise(F.decode(F.substring(c, 2, 1 << 30), "UTF-8"))
+    found = placed.select("_id", F.first("_id").over(alike).alias("_first"))
+    return found.select(plain(F.col("_id")).alias("member_record_id"), plain(F.col("_first")).alias("master_record_id"))
 
 
 def match(items: DataFrame, registry: DataFrame, keep, keep_no_from=80.0, rows_per_name=5, **limits):

@@ -165,3 +165,37 @@ def test_copies_of_a_registry_row_are_one_class_and_are_told(spark):
     assert len(members) == 1001 and {i: members[i] for i in ("r3", "r7", "r999", "r5000")} == {"r3": "r0", "r7": "r5", "r999": "r5", "r5000": "r5000"}
     first = [sorted(x.master_record_id for x in c.first_rows) for c in matching.evidence_classes(rows, 3).collect() if c.entity_strict == "acme mills"]
     assert sorted(first) == [["r0", "r1", "r2"], ["r5", "r6", "r7"]]
+
+
+def test_pairs_of_a_domain_that_cannot_lead_are_left_out(spark, sides, monkeypatch):
+    """With all rows on one host the audits are those of all pairs, from far fewer."""
+    catalogue, rows = sides
+    catalogue = catalogue.filter("id % 4 = 0").withColumn("domains", F.array(F.lit("one.example.com")))
+    rows = rows.filter("src_ordinal % 9 = 0").withColumns({"registry_domain": F.lit("one.example.com"), "domain_matchable": F.lit(True)})
+    every, counts = matching.scored_classes, []
+
+    def counted(*args, **limits):
+        pairs = every(*args, **limits)
+        counts.append(pairs.count())
+        return pairs
+
+    for find in (matching.best_matches, matching.candidate_matches):
+        monkeypatch.setattr(matching, "scored_classes", counted)
+        got = sorted(map(tuple, find(catalogue, rows, stamp="-").collect()), key=str)
+        monkeypatch.setattr(matching, "scored_classes", lambda *args, keep=None, **limits: counted(*args, **limits))
+        assert got == sorted(map(tuple, find(catalogue, rows, stamp="-").collect()), key=str)
+        assert counts[-2] < counts[-1] / 3, counts
+
+
+def test_members_of_evidence_equal_the_classes(spark, sides):
+    """Representatives are the first rows of the classes, with any ids and blank names."""
+    _, rows = sides
+    rows = rows.filter("src_ordinal % 5 = 0").withColumns({
+        "master_record_id": F.when(F.col("src_ordinal") % 3 == 0, F.concat(F.lit("Z é "), "master_record_id")).otherwise(F.col("master_record_id")),
+        "entity_strict": F.when(F.col("src_ordinal") % 7 == 0, "").otherwise(F.col("entity_strict"))})
+    classed = matching.classed_rows(matching._rows(rows))
+    first = matching.evidence_classes(classed).select(*matching.CLASS, F.col("first_rows")[0]["master_record_id"].alias("first"))
+    want = classed.join(first, matching.CLASS).select("master_record_id", "first")
+    found = matching.evidence_members(rows)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert "entity_strict" not in found._jdf.queryExecution().executedPlan().toString()
