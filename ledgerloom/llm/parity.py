@@ -49,7 +49,7 @@ SHARP, SHARD, MEETINGS = 16, 1024, 256
 SCREEN, SMALL = 512, 32
 #: Bytes of a key, and bits; keys that are brought together in one group, about. Keys of unlike texts that agree in these bits
 #: cost a comparison and nothing else.
-KEY_BYTES, KEYS_AT_ONCE = 5, 1 << 20
+KEY_BYTES, KEYS_AT_ONCE = 5, 1 << 18
 KEY_BITS = 8 * KEY_BYTES
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -216,6 +216,7 @@ def _blocks(groups: int):
     def run(batches):
         import zstandard
 
+        remembered("no words", None)  # those of the pass before are given up
         pack, parts, held = zstandard.ZstdCompressor(level=1).compress, [], 0
 
         def sent():
@@ -250,6 +251,7 @@ def _shared(blocks):
     import pyarrow as pa
     import zstandard
 
+    remembered("no words", None)
     unpack, found = zstandard.ZstdDecompressor().decompress, []
     for block in blocks.column("block").to_pylist():
         base, n = int.from_bytes(block[:8], "little"), int.from_bytes(block[8:16], "little")
